@@ -1,0 +1,125 @@
+"""Queries that train: clusterings, classifiers, attributions, factor models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortviews import dims
+from cohortviews.operators import evaluate as ev
+from cohortviews.operators import factors as fa
+from cohortviews.operators import merge as mg
+from cohortviews.operators import model as md
+from cohortviews.operators import reshape as rs
+from cohortviews.operators.ranking import best_row
+from cohortviews.plans import adapters as ad
+from cohortviews.plans.catalogue import query
+from cohortviews.plans.queries_matrix import _six_cells
+from cohortviews.session import cut
+
+
+def _points(spark, sf_dir):
+    return cut(ad.vectors(spark, sf_dir).select("vec_id", "vector", "label"))
+
+
+def _examples(spark, sf_dir):
+    return cut(
+        ad.vectors(spark, sf_dir).select(
+            F.col("vec_id").alias("id"), "label", F.col("vector").alias("features")
+        )
+    )
+
+
+def _view_cells(spark, sf_dir):
+    """Protein- and count-like cells, one per (entity, feature)."""
+    parts = [
+        rs.mean_cells(rs.prefixed(ad.protein(spark, sf_dir), "RPPA_")).withColumn("view", F.lit("RPPA")),
+        rs.mean_cells(rs.prefixed(ad.mirna(spark, sf_dir), "MIR_")).withColumn("view", F.lit("miRNA")),
+    ]
+    return mg.stack_cohorts(parts)
+
+
+@query(
+    "standardised_cells",
+    f"""WITH {ad.SQL_PROTEIN}, {ad.SQL_MIRNA},
+c AS (SELECT 'RPPA' AS view, patient_id, 'RPPA_' || feature_id AS feature_id, avg(value) AS value FROM protein GROUP BY 2, 3
+  UNION ALL SELECT 'miRNA', patient_id, 'MIR_' || feature_id, avg(value) FROM mirna GROUP BY 2, 3),
+m AS (SELECT view, feature_id, avg(value) AS mean, count(*) AS n, var_pop(value) * count(*) AS m2 FROM c GROUP BY 1, 2),
+s AS (SELECT view, sqrt(sum(m2) / sum(n)) AS scale FROM m GROUP BY view)
+SELECT c.view, c.patient_id, c.feature_id, round((c.value - m.mean) / s.scale + 0.0, 8) AS value
+FROM c JOIN m ON c.view = m.view AND c.feature_id = m.feature_id JOIN s ON c.view = s.view""",
+)
+def standardised_cells(spark, sf_dir):
+    cells = fa.standardised(_view_cells(spark, sf_dir))
+    return cells.select("view", "patient_id", "feature_id", F.round(F.col("value") + 0.0, 8).alias("value"))
+
+
+@query("kmeans_sweep")
+def kmeans_sweep(spark, sf_dir):
+    return fa.kmeans_sweep(_points(spark, sf_dir), "vec_id", k_range=range(2, 6), restarts=2, exact=False)
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf_dir):
+    points = _points(spark, sf_dir)
+    sweep = fa.kmeans_sweep(points, "vec_id", k_range=range(2, 4), restarts=2)
+    placed = fa.best_clustering(points, sweep, restarts=2)
+    return ev.cluster_purity(placed)
+
+
+@query("best_k")
+def best_k(spark, sf_dir):
+    sweep = fa.kmeans_sweep(_points(spark, sf_dir), "vec_id", k_range=range(2, 5), restarts=2, exact=False)
+    return best_row(sweep, "silhouette", "k")
+
+
+@query("cv_classifier")
+def cv_classifier(spark, sf_dir):
+    """Out-of-fold predictions with per-fold selection; scores per fold."""
+    predictions = md.cross_validate(
+        _examples(spark, sf_dir), top_n=40, must_keep=[0, 63], trees=20, depth=5
+    )
+    predictions = cut(predictions)
+    return ev.summary_scores(predictions, ["fold"]).join(ev.log_loss(predictions, ["fold"]), "fold")
+
+
+@query("feature_importances")
+def feature_importances(spark, sf_dir):
+    model, positions, _ = md.final_model(_examples(spark, sf_dir), top_n=40, trees=20, depth=5)
+    return md.importances(spark, model, positions)
+
+
+@query("linear_attribution")
+def linear_attribution(spark, sf_dir):
+    return md.linear_attribution(_examples(spark, sf_dir), max_iter=20)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    """Losses of the five most important features of the refitted model."""
+    data = _examples(spark, sf_dir)
+    model, positions, means = md.final_model(data, top_n=20, trees=10, depth=5)
+    first = [r.ordinal for r in md.importances(spark, model, positions).limit(5).collect()]
+    which = [positions.index(p) for p in first]
+    return md.permutation_importance(data, model, positions, means, which=which)
+
+
+def _factors(spark, sf_dir):
+    cells, people = _six_cells(spark, sf_dir)
+    gated = fa.gated_views(cells, people, dims.view_config(spark, max_missing=0.9))
+    return fa.fit_factors(fa.standardised(gated), factors=5, max_iter=6)
+
+
+@query("factor_model")
+def factor_model(spark, sf_dir):
+    return _factors(spark, sf_dir).r2
+
+
+@query("factor_loadings")
+def factor_loadings(spark, sf_dir):
+    return ev.top_loadings(fa.loading_rows(_factors(spark, sf_dir).loadings), 10)
+
+
+@query("factor_scores")
+def factor_scores(spark, sf_dir):
+    model = _factors(spark, sf_dir)
+    return fa.score_columns(model.scores, model.factors)

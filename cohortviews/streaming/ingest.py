@@ -57,5 +57,5 @@ def load_new_files(
     )
 
 
-def loaded_rows(spark: SparkSession, target: str, layout_schema) -> DataFrame:
-    return spark.read.schema(layout_schema).parquet(f"{target}/rows")
+def loaded_rows(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{target}/rows").drop("batch_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -142,8 +142,26 @@ MAX_MISSING = 0.20
 ARM_COLUMNS = [name[3:] + side for name in CENTROMERES for side in "pq"]
 
 
+def inline_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A fixed small table as a local relation, without a Python worker."""
+
+    def literal(value: object) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{value!r}D" if isinstance(value, float) else str(value)
+
+    columns = [c.strip().split(" ") for c in ddl.split(",")]
+    typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in columns)
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(name for name, _ in columns)
+    if not rows:
+        empty = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in columns)
+        return spark.sql(f"SELECT {empty} WHERE false")
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({names})")
+
+
 def centromeres(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CENTROMERES.items()), "chromosome string, centromere long")
+    return inline_table(spark, list(CENTROMERES.items()), "chromosome string, centromere bigint")
 
 
 def panels(
@@ -151,7 +169,7 @@ def panels(
 ) -> DataFrame:
     """``(panel, symbol, base_id)``, one row per panel gene."""
     rows = [(p, s, g) for p, genes in definition.items() for s, g in genes.items()]
-    return spark.createDataFrame(rows, "panel string, symbol string, base_id string")
+    return inline_table(spark, rows, "panel string, symbol string, base_id string")
 
 
 def panel_ids(panel: DataFrame) -> DataFrame:
@@ -165,4 +183,4 @@ def view_config(spark: SparkSession, max_missing: float | None = None) -> DataFr
         (view, rate if max_missing is None else float(max_missing), likelihood)
         for view, (rate, likelihood) in VIEW_CONFIG.items()
     ]
-    return spark.createDataFrame(rows, "view string, max_missing double, likelihood string")
+    return inline_table(spark, rows, "view string, max_missing double, likelihood string")

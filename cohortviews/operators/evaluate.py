@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.operators.ranking import running_totals, top_per_key
-from cohortviews.session import cut
+from cohortviews.session import cut, small_side
 
 # --- classification --------------------------------------------------------
 
@@ -209,8 +209,8 @@ def roc_points(rows: DataFrame, origin: bool = True) -> DataFrame:
         {"tp": F.col("pos"), "fp": F.col("neg")},
         ["class"],
     )
-    totals = rows.groupBy("class").agg(
-        F.sum("is_pos").alias("p"), F.sum(1 - F.col("is_pos")).alias("q")
+    totals = cut(
+        rows.groupBy("class").agg(F.sum("is_pos").alias("p"), F.sum(1 - F.col("is_pos")).alias("q"))
     )
     points = running.select("class", F.col("score").alias("threshold"), "tp", "fp")
     if origin:
@@ -220,7 +220,7 @@ def roc_points(rows: DataFrame, origin: bool = True) -> DataFrame:
                 "class", F.lit(None).cast("double").alias("threshold"), zero.alias("tp"), zero.alias("fp")
             )
         )
-    return points.join(totals, "class").select(
+    return points.join(small_side(totals), "class").select(
         "class",
         "threshold",
         "tp",
@@ -418,7 +418,7 @@ def silhouette_exact(
         .groupBy("id", "c", "target")
         .agg(F.sum("total").alias("total"))
     )
-    sizes = df.groupBy(F.col(cluster).alias("target")).agg(F.count("*").alias("n"))
+    sizes = small_side(cut(df.groupBy(F.col(cluster).alias("target")).agg(F.count("*").alias("n"))))
     own = F.col("c") == F.col("target")
     means = sums.join(sizes, "target").withColumn(
         "mean", F.try_divide("total", F.when(own, F.col("n") - 1).otherwise(F.col("n")))

@@ -17,11 +17,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.dims import inline_table
 from cohortviews.functions.values import known, view_transform
 from cohortviews.operators.evaluate import silhouette_exact, variance_explained
 from cohortviews.operators.quality import view_gate
 from cohortviews.operators.ranking import best_row, ranked
-from cohortviews.session import cut
+from cohortviews.session import cut, small_side
 
 
 def zero_filled(vector: str) -> Column:
@@ -62,7 +63,7 @@ def kmeans_sweep(
             ready = placed.withColumn("__v", array_to_vector(zero_filled(vector)))
             score = ClusteringEvaluator(featuresCol="__v", predictionCol="cluster").evaluate(ready)
         rows.append((int(k), float(score), float(fit.summary.trainingCost)))
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double")
+    return inline_table(df.sparkSession, rows, "k int, silhouette double, inertia double")
 
 
 def best_clustering(df: DataFrame, sweep: DataFrame, vector: str = "vector", restarts: int = 10, seed: int = 42) -> DataFrame:
@@ -78,8 +79,8 @@ def gated_views(cells: DataFrame, entities: DataFrame, config: DataFrame) -> Dat
         .agg(F.count_if(known(F.col("value"))).alias("n_observed"))
         .withColumn("missing_rate", 1 - F.col("n_observed") / entities.agg(F.count("*").alias("n")).scalar())
     )
-    kept = view_gate(rates, config).where("kept").select("view", "feature_id")
-    return cells.join(kept, ["view", "feature_id"], "left_semi").withColumn(
+    kept = cut(view_gate(rates, config).where("kept").select("view", "feature_id"))
+    return cells.join(small_side(kept), ["view", "feature_id"], "left_semi").withColumn(
         "value", view_transform(F.col("view"), F.col("value"))
     )
 
@@ -99,7 +100,7 @@ def standardised(cells: DataFrame) -> DataFrame:
         )
     )
     scale = moments.groupBy("view").agg(F.sqrt(F.sum("m2") / F.sum("n")).alias("scale"))
-    shift = moments.join(scale, "view").select("view", "feature_id", "mean", "scale")
+    shift = small_side(cut(moments.join(scale, "view").select("view", "feature_id", "mean", "scale")))
     return seen.join(shift, ["view", "feature_id"]).withColumn(
         "value", F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("scale")), F.lit(0.0))
     ).drop("mean", "scale")
@@ -135,7 +136,7 @@ def fit_factors(
     items = cut(items.withColumn("i", F.col("i").cast("int")))
     coded = cut(
         cells.join(people, entity)
-        .join(items, ["view", "feature_id"])
+        .join(small_side(items), ["view", "feature_id"])
         .select("u", "i", "view", F.col("value").cast("float").alias("value"))
     )
     als = ALS(
@@ -149,7 +150,7 @@ def fit_factors(
     z = z.withColumn("z", _rotate("z", to_z))
     w = w.withColumn("w", _rotate("w", to_w))
 
-    fitted = coded.join(z, "u").join(w, "i")
+    fitted = coded.join(z, "u").join(small_side(w), "i")
     r2 = cut(variance_explained(fitted, factors))
     live = [
         r.factor
@@ -221,5 +222,5 @@ def loading_rows(loadings: DataFrame) -> DataFrame:
 def factor_scatter(scores: DataFrame, labels: DataFrame, label: str, entity: str = "patient_id") -> DataFrame:
     """First two factors with label and the label's number of rows."""
     joined = scores.join(labels.where(F.col(label).isNotNull()).select(entity, label), entity)
-    sizes = joined.groupBy(label).agg(F.count("*").alias("n_label"))
+    sizes = small_side(cut(joined.groupBy(label).agg(F.count("*").alias("n_label"))))
     return joined.join(sizes, label).select(entity, label, "factor_1", "factor_2", "n_label")

@@ -7,19 +7,19 @@ dictionary order. Missing cells are null and imputed from training rows only.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.dims import inline_table
 from cohortviews.functions.values import argmax_code
 from cohortviews.operators.labels import balanced_weights
 from cohortviews.operators.ranking import ranked
 from cohortviews.operators.reshape import array_rows
 from cohortviews.operators.select import fold_top_features
-from cohortviews.session import cut
+from cohortviews.session import cut, small_side, together
 
 
 def stratified_folds(
@@ -65,7 +65,7 @@ def _prepared(df: DataFrame, positions: Sequence[int], means: Sequence[float]) -
 
 
 def _weighted(train: DataFrame, label: str) -> DataFrame:
-    weights = balanced_weights(train, label).select(label, "weight")
+    weights = small_side(cut(balanced_weights(train, label).select(label, "weight")))
     return train.join(weights, label)
 
 
@@ -92,7 +92,7 @@ def selected_positions(
     """
     spark = df.sparkSession
     cells = array_rows(df, "features", [fold], "feature_id")
-    panel = spark.createDataFrame([(p,) for p in must_keep], "feature_id int")
+    panel = inline_table(spark, [(p,) for p in must_keep], "feature_id int")
     chosen = fold_top_features(cells, folds, top_n, panel, fold)
     out: dict[int, list[int]] = {f: [] for f in range(folds)}
     for row in chosen.select(fold, "feature_id").distinct().collect():
@@ -110,7 +110,6 @@ def cross_validate(
     seed: int = 42,
     trees: int = 60,
     depth: int = 8,
-    parallelism: int = 3,
 ) -> DataFrame:
     """Out-of-fold predictions: every row is predicted once, by a model that
     selected features, imputed and weighted on the other folds only.
@@ -135,8 +134,7 @@ def cross_validate(
             "probabilities",
         )
 
-    with ThreadPool(parallelism) as pool:
-        parts = pool.map(inheritable_thread_target(one_fold), range(folds))
+    parts = together(*[partial(one_fold, k) for k in range(folds)])
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -164,7 +162,7 @@ def importances(spark, model, positions: Sequence[int], names: DataFrame | None
     """Importances, largest first; ``names`` is ``(ordinal, feature_id)``."""
     vector = model.featureImportances
     rows = [(int(p), float(vector[i])) for i, p in enumerate(positions)]
-    table = spark.createDataFrame(rows, "ordinal int, importance double")
+    table = inline_table(spark, rows, "ordinal int, importance double")
     if names is not None:
         table = table.join(names, "ordinal")
     return table.orderBy(F.desc("importance"), F.asc("ordinal"))
@@ -233,4 +231,4 @@ def permutation_importance(
     for i in range(len(positions)) if which is None else which:
         swapped = F.transform("x", lambda v, at: F.when(at == i, F.get("d", at)).otherwise(v))
         rows.append((int(positions[i]), base - accuracy(swapped)))
-    return df.sparkSession.createDataFrame(rows, "ordinal int, accuracy_loss double")
+    return inline_table(df.sparkSession, rows, "ordinal int, accuracy_loss double")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortviews.session import cut
+from cohortviews.session import stage
 
 SLICE = "__slice"
 
@@ -31,7 +31,7 @@ def running_totals(
     staged = df.withColumns({f"__{n}": c for n, c in totals.items()})
     staged = staged.repartitionByRange(*[F.col(k) for k in keys], *order)
     # The slice number has to survive task retries, hence the written copy.
-    staged = cut(staged.withColumn(SLICE, F.spark_partition_id()))
+    staged = stage(staged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

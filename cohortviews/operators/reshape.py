@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortviews.dims import centromeres
 from cohortviews.functions.genome import arm_of, arm_ordinal, canonical_chromosome, view_of
 from cohortviews.functions.values import nan_to_null
-from cohortviews.session import cut, small_side
+from cohortviews.session import BROADCAST_ROWS, cut
 
 
 def quoted(name: str) -> str:
@@ -91,10 +91,11 @@ def dense_arrays(
     array length. Entities without any row of the dictionary have no array.
     """
     width = dictionary.count()
+    small = F.broadcast(dictionary) if width <= BROADCAST_ROWS else dictionary
     gap = F.lit(fill).cast("double")
     cell = F.avg(nan_to_null(F.col(value)))
     entries = (
-        rows.join(small_side(dictionary), feature)
+        rows.join(small, feature)
         .groupBy(*keys, "ordinal")
         .agg(cell.alias("x") if fill is None else F.coalesce(cell, F.lit(fill)).alias("x"))
         # at most one struct per dictionary entry
@@ -119,7 +120,9 @@ def array_columns(
     df: DataFrame, array: str, names: Sequence[str], keep: Sequence[str] = ("patient_id",)
 ) -> DataFrame:
     """Spread an array into named columns, for a wide sink."""
-    return df.select(*keep, *[F.get(F.col(array), F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return df.selectExpr(
+        *keep, *[f"get({quoted(array)}, {i}) AS {quoted(n)}" for i, n in enumerate(names)]
+    )
 
 
 def array_rows(
@@ -172,16 +175,9 @@ def arm_means(segments: DataFrame, keys: Sequence[str] = ("patient_id",)) -> Dat
     )
 
 
-def arm_rows(segments: DataFrame, keys: Sequence[str] = ("patient_id",)) -> DataFrame:
-    """Segments as measurement rows of their arm."""
-    return segment_arms(segments).select(
-        *keys, F.col("arm").alias("feature_id"), F.col("copy_number").alias("value")
-    )
-
-
-def arm_dictionary(rows: DataFrame) -> DataFrame:
+def arm_dictionary(cells: DataFrame) -> DataFrame:
     """Arms that occur, in natural chromosome order."""
-    return feature_dictionary(rows, order=[arm_ordinal(F.col("feature_id"))])
+    return feature_dictionary(cells, order=[arm_ordinal(F.col("feature_id"))])
 
 
 def distinct_indicators(

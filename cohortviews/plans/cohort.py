@@ -15,15 +15,16 @@ from cohortviews.operators.merge import inner_merge
 from cohortviews.operators.quality import gate_features, require_unique
 from cohortviews.operators.reshape import (
     arm_dictionary,
-    arm_rows,
+    arm_means,
     array_columns,
     dense_arrays,
     feature_dictionary,
     mean_cells,
     prefixed,
+    quoted,
 )
 from cohortviews.operators.select import keep_features, recurrent_features, top_variance_features
-from cohortviews.session import cut
+from cohortviews.session import cut, small_side, stage, together
 
 
 @dataclass(frozen=True)
@@ -55,16 +56,17 @@ def ranked_view(
 
 
 def arm_view(segments: DataFrame, keys: Sequence[str] = ("patient_id",), name: str = "CNV") -> View:
-    rows = arm_rows(segments, keys)
-    dictionary = arm_dictionary(rows)
-    return View(name, dense_arrays(rows, dictionary, keys), dictionary)
+    """Arm means; segments are read once, the rest works on the means."""
+    cells = stage(arm_means(segments, keys), "arms")
+    dictionary = arm_dictionary(cells)
+    return View(name, dense_arrays(cells, dictionary, keys), dictionary)
 
 
 def whole_view(name: str, rows: DataFrame, prefix: str, keys: Sequence[str] = ("patient_id",)) -> View:
     """Every feature of a panel-sized modality, with prefixed names."""
-    rows = prefixed(rows, prefix)
-    dictionary = feature_dictionary(rows)
-    return View(name, dense_arrays(rows, dictionary, keys), dictionary)
+    cells = stage(mean_cells(prefixed(rows, prefix), keys), "cells")
+    dictionary = feature_dictionary(cells)
+    return View(name, dense_arrays(cells, dictionary, keys), dictionary)
 
 
 def indicator_view(
@@ -77,10 +79,10 @@ def indicator_view(
 ) -> View:
     """Recurrent genes as 0/1. An entity without any kept gene has no row unless
     ``keep_unmutated`` asks for all entities that have a mutation at all."""
-    rows = prefixed(
-        mutations.select(*keys, F.col("hugo_symbol").alias("feature_id"), F.col("mutated").alias("value")),
-        prefix,
+    pairs = mutations.select(
+        *keys, F.col("hugo_symbol").alias("feature_id"), F.col("mutated").alias("value")
     )
+    rows = stage(prefixed(pairs, prefix), "pairs")
     dictionary = feature_dictionary(recurrent_features(rows, min_fraction))
     arrays = dense_arrays(rows, dictionary, keys, fill=0.0)
     if keep_unmutated:
@@ -111,11 +113,11 @@ def three_views(
     The older form is ``n=500, min_coverage=0, must_keep=None, ddof=1``.
     """
     keys = ("cohort", "patient_id")
-    views = [
-        ranked_view("RNA", rna, n_rna, min_coverage, must_keep, keys, ddof),
-        arm_view(segments, keys),
-        ranked_view("methylation", methylation, n_methylation, min_coverage, None, keys, ddof),
-    ]
+    views = together(
+        lambda: ranked_view("RNA", rna, n_rna, min_coverage, must_keep, keys, ddof),
+        lambda: arm_view(segments, keys),
+        lambda: ranked_view("methylation", methylation, n_methylation, min_coverage, None, keys, ddof),
+    )
     return merge(views, keys), views
 
 
@@ -134,14 +136,14 @@ def six_views(
     keep_unmutated: bool = False,
 ) -> tuple[DataFrame, list[View]]:
     """One cohort, six views, selection on that cohort only."""
-    views = [
-        ranked_view("RNA", rna, n_rna, min_coverage, must_keep),
-        arm_view(segments),
-        ranked_view("methylation", methylation, n_methylation, min_coverage),
-        whole_view("RPPA", protein, "RPPA_"),
-        whole_view("miRNA", mirna, "MIR_"),
-        indicator_view(mutations, min_recurrence, keep_unmutated=keep_unmutated),
-    ]
+    views = together(
+        lambda: ranked_view("RNA", rna, n_rna, min_coverage, must_keep),
+        lambda: arm_view(segments),
+        lambda: ranked_view("methylation", methylation, n_methylation, min_coverage),
+        lambda: whole_view("RPPA", protein, "RPPA_"),
+        lambda: whole_view("miRNA", mirna, "MIR_"),
+        lambda: indicator_view(mutations, min_recurrence, keep_unmutated=keep_unmutated),
+    )
     return merge(views), views
 
 
@@ -157,9 +159,9 @@ def wide_table(
     for view in views:
         position = {n: i for i, n in enumerate(view.names())}
         for n in (declared or {}).get(view.name, position):
-            cell = F.get(F.col(view.name), F.lit(position[n])) if n in position else F.lit(None)
-            columns.append(cell.cast("double").alias(n))
-    return merged.select(*keys, *columns)
+            cell = f"get({quoted(view.name)}, {position[n]})" if n in position else "CAST(NULL AS DOUBLE)"
+            columns.append(f"{cell} AS {quoted(n)}")
+    return merged.selectExpr(*keys, *columns)
 
 
 def merged_cells(
@@ -179,7 +181,7 @@ def merged_cells(
     cells = by_view.select(
         *keys, F.col("__v.view").alias("view"), F.posexplode("__v.x").alias("ordinal", "value")
     )
-    return cells.join(cut(positions), ["view", "ordinal"]).select(*keys, "view", "feature_id", "value")
+    return cells.join(small_side(cut(positions)), ["view", "ordinal"]).select(*keys, "view", "feature_id", "value")
 
 
 @dataclass(frozen=True)
@@ -241,7 +243,7 @@ def _model_table(
     arrays = dense_arrays(cells, dictionary)
     nothing = F.array_repeat(F.lit(None).cast("double"), dictionary.count())
     rows = (
-        roster.join(codes, label)
+        roster.join(small_side(codes), label)
         .join(arrays, "patient_id", "left")
         .select("patient_id", label, code, F.coalesce("values", nothing).alias("values"))
     )

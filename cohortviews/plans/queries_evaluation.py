@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortviews.dims import inline_table
 from cohortviews.functions.values import argmax_code
 from cohortviews.operators import evaluate as ev
 from cohortviews.operators import factors as fa
@@ -44,7 +45,7 @@ SELECT fold, feature_id, round(variance, 8) AS variance FROM r
 WHERE k <= {FOLD_TOP} OR feature_id IN ('dim_00', 'dim_63')""",
 )
 def fold_feature_selection(spark, sf_dir):
-    panel = spark.createDataFrame([("dim_00",), ("dim_63",)], "feature_id string")
+    panel = inline_table(spark, [("dim_00",), ("dim_63",)], "feature_id string")
     chosen = sel.fold_top_features(ad.vector_cells(spark, sf_dir), 5, FOLD_TOP, panel)
     return _round(chosen, 8, "variance")
 

@@ -14,7 +14,7 @@ from cohortviews.operators.factors import gated_views
 from cohortviews.plans import adapters as ad
 from cohortviews.plans import cohort as co
 from cohortviews.plans.catalogue import query
-from cohortviews.session import cut
+from cohortviews.session import cut, stage
 from cohortviews.sources.files import altering
 
 COVERAGE = 0.30
@@ -37,8 +37,8 @@ def wide_sql(names, source: str, keys: str, value: str = "value", digits: int =
 
 
 def rounded(df, names, keep, digits: int = 4):
-    return df.select(
-        *keep, *[(F.round(F.col(rs.quoted(n)) + 0.0, digits)).alias(n) for n in names]
+    return df.selectExpr(
+        *keep, *[f"round({rs.quoted(n)} + 0.0D, {digits}) AS {rs.quoted(n)}" for n in names]
     )
 
 
@@ -245,9 +245,9 @@ def prefixed_views_wide(spark, sf_dir):
 
 def three(spark, sf_dir):
     return co.three_views(
-        ad.expression(spark, sf_dir),
+        stage(ad.expression(spark, sf_dir), "rna"),
         ad.segments(spark, sf_dir),
-        ad.methylation(spark, sf_dir),
+        stage(ad.methylation(spark, sf_dir), "methylation"),
         n_rna=TOP,
         n_methylation=TOP,
         min_coverage=COVERAGE,
@@ -257,9 +257,9 @@ def three(spark, sf_dir):
 
 def six(spark, sf_dir):
     return co.six_views(
-        ad.expression(spark, sf_dir).drop("cohort"),
+        stage(ad.expression(spark, sf_dir).drop("cohort"), "rna"),
         ad.segments(spark, sf_dir).drop("cohort"),
-        ad.methylation(spark, sf_dir).drop("cohort"),
+        stage(ad.methylation(spark, sf_dir).drop("cohort"), "methylation"),
         ad.protein(spark, sf_dir),
         ad.mirna(spark, sf_dir),
         mutations(spark, sf_dir),
@@ -305,10 +305,10 @@ def merge_three_views(spark, sf_dir):
 
 def _rounded_views(wide, keys):
     digits = {n: 6 for n in dims.ARM_COLUMNS + MIR_COLUMNS} | {n: 8 for n in ad.PROBES}
-    return wide.select(
+    return wide.selectExpr(
         *keys,
         *[
-            F.round(F.col(rs.quoted(c)) + 0.0, digits.get(c, 4)).alias(c)
+            f"round({rs.quoted(c)} + 0.0D, {digits.get(c, 4)}) AS {rs.quoted(c)}"
             for c in wide.columns
             if c not in keys
         ],

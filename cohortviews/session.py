@@ -8,9 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+T = TypeVar("T")
+
 #: A side of at most this many rows may be hinted as a broadcast. Rows of the
 #: sides concerned hold an id and a few numbers, so this stays far below 100 MB.
 BROADCAST_ROWS = 200_000
@@ -25,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -66,6 +73,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and scan that instead.
+
+    For larger intermediate tables: later passes read only the columns they use,
+    and the planner knows the size.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent builders at the same time, results in order.
+
+    Each one submits its own Spark jobs, so executors that one job leaves idle
+    work on another.
+    """
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPool(len(jobs)) as pool:
+        waiting = [pool.apply_async(inheritable_thread_target(job)) for job in jobs]
+        return [w.get() for w in waiting]
+
+
 def small_side(materialised: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the (already written) side is proven small.
 

@@ -206,7 +206,8 @@ def usable_rows(
     errors = cut(file_errors(raw, layout))
     rows = long_rows(raw, layout, columns)
     good = rows.join(small_side(errors.select("file_id")), "file_id", "left_anti")
-    out = good.join(manifest.select("file_id", "patient_id"), "file_id")
+    owners = small_side(cut(manifest.select("file_id", "patient_id")))
+    out = good.join(owners, "file_id")
     return (
         out.select("patient_id", *[c for c in good.columns if c != "file_id"]),
         ledger(errors, manifest),
@@ -260,7 +261,7 @@ def ingest_mutations(
     """``(rows, ledger)``: set of (patient, gene) with a protein-altering variant."""
     rows, heads = lines_by_name(spark, paths, ("Hugo_Symbol", "Variant_Classification"))
     kept = altering(rows, "Hugo_Symbol", "Variant_Classification", classes).join(
-        manifest.select("file_id", "patient_id"), "file_id"
+        small_side(cut(manifest.select("file_id", "patient_id"))), "file_id"
     )
     bad = manifest.join(heads.select("file_id").distinct(), "file_id", "left_anti").select(
         "patient_id", "file_id", F.lit("unexpected header").alias("error")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.operators.ranking import running_totals, top_per_key
-from cohortviews.session import cut, small_side
+from cohortviews.session import small_side, stage
 
 # --- classification --------------------------------------------------------
 
@@ -95,7 +95,7 @@ def classification_report(
     df: DataFrame, actual: str = "actual_code", predicted: str = "predicted_code"
 ) -> DataFrame:
     """Per-class rows plus accuracy, macro avg and weighted avg rows."""
-    scores = cut(class_scores(class_outcomes(confusion_counts(df, (), actual, predicted))))
+    scores = stage(class_scores(class_outcomes(confusion_counts(df, (), actual, predicted))))
     columns = ["precision", "recall", "f1", "support"]
     per_class = scores.select(F.col("class").cast("string").alias("label"), *columns)
     whole = F.sum("support")
@@ -130,7 +130,7 @@ def confusion_matrix(
 
     The grid is spanned by the class list, taken from the data if not given.
     """
-    counts = cut(confusion_counts(df, (), actual, predicted))
+    counts = stage(confusion_counts(df, (), actual, predicted))
     if classes is None:
         found = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
         classes = [r.c for r in found.orderBy("c").collect()]  # the class vocabulary
@@ -209,7 +209,7 @@ def roc_points(rows: DataFrame, origin: bool = True) -> DataFrame:
         {"tp": F.col("pos"), "fp": F.col("neg")},
         ["class"],
     )
-    totals = cut(
+    totals = stage(
         rows.groupBy("class").agg(F.sum("is_pos").alias("p"), F.sum(1 - F.col("is_pos")).alias("q"))
     )
     points = running.select("class", F.col("score").alias("threshold"), "tp", "fp")
@@ -299,7 +299,7 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 def cluster_agreement(df: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
     """One row: n, adjusted Rand index, normalised mutual information."""
-    cells = cut(
+    cells = stage(
         df.where(F.col(label).isNotNull()).groupBy(cluster, label).agg(F.count("*").alias("n"))
     )
 
@@ -418,7 +418,7 @@ def silhouette_exact(
         .groupBy("id", "c", "target")
         .agg(F.sum("total").alias("total"))
     )
-    sizes = small_side(cut(df.groupBy(F.col(cluster).alias("target")).agg(F.count("*").alias("n"))))
+    sizes = small_side(stage(df.groupBy(F.col(cluster).alias("target")).agg(F.count("*").alias("n"))))
     own = F.col("c") == F.col("target")
     means = sums.join(sizes, "target").withColumn(
         "mean", F.try_divide("total", F.when(own, F.col("n") - 1).otherwise(F.col("n")))

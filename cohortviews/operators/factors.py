@@ -22,7 +22,7 @@ from cohortviews.functions.values import known, view_transform
 from cohortviews.operators.evaluate import silhouette_exact, variance_explained
 from cohortviews.operators.quality import view_gate
 from cohortviews.operators.ranking import best_row, ranked
-from cohortviews.session import cut, small_side
+from cohortviews.session import small_side, stage
 
 
 def zero_filled(vector: str) -> Column:
@@ -79,7 +79,7 @@ def gated_views(cells: DataFrame, entities: DataFrame, config: DataFrame) -> Dat
         .agg(F.count_if(known(F.col("value"))).alias("n_observed"))
         .withColumn("missing_rate", 1 - F.col("n_observed") / entities.agg(F.count("*").alias("n")).scalar())
     )
-    kept = cut(view_gate(rates, config).where("kept").select("view", "feature_id"))
+    kept = stage(view_gate(rates, config).where("kept").select("view", "feature_id"))
     return cells.join(small_side(kept), ["view", "feature_id"], "left_semi").withColumn(
         "value", view_transform(F.col("view"), F.col("value"))
     )
@@ -92,7 +92,7 @@ def standardised(cells: DataFrame) -> DataFrame:
     so the view's scale follows from the features' moments.
     """
     seen = cells.where(known(F.col("value")))
-    moments = cut(
+    moments = stage(
         seen.groupBy("view", "feature_id").agg(
             F.avg("value").alias("mean"),
             F.count("*").alias("n"),
@@ -100,7 +100,7 @@ def standardised(cells: DataFrame) -> DataFrame:
         )
     )
     scale = moments.groupBy("view").agg(F.sqrt(F.sum("m2") / F.sum("n")).alias("scale"))
-    shift = small_side(cut(moments.join(scale, "view").select("view", "feature_id", "mean", "scale")))
+    shift = small_side(stage(moments.join(scale, "view").select("view", "feature_id", "mean", "scale")))
     return seen.join(shift, ["view", "feature_id"]).withColumn(
         "value", F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("scale")), F.lit(0.0))
     ).drop("mean", "scale")
@@ -132,9 +132,9 @@ def fit_factors(
     """
     people = ranked(cells.select(entity).distinct(), [F.asc(entity)], name="u")
     items = ranked(cells.select("view", "feature_id").distinct(), [F.asc("view"), F.asc("feature_id")], name="i")
-    people = cut(people.withColumn("u", F.col("u").cast("int")))
-    items = cut(items.withColumn("i", F.col("i").cast("int")))
-    coded = cut(
+    people = stage(people.withColumn("u", F.col("u").cast("int")))
+    items = stage(items.withColumn("i", F.col("i").cast("int")))
+    coded = stage(
         cells.join(people, entity)
         .join(small_side(items), ["view", "feature_id"])
         .select("u", "i", "view", F.col("value").cast("float").alias("value"))
@@ -143,15 +143,15 @@ def fit_factors(
         rank=factors, maxIter=max_iter, regParam=reg, userCol="u", itemCol="i", ratingCol="value",
         seed=seed, checkpointInterval=5,
     ).fit(coded)
-    z = cut(als.userFactors.select(F.col("id").alias("u"), F.col("features").cast("array<double>").alias("z")))
-    w = cut(als.itemFactors.select(F.col("id").alias("i"), F.col("features").cast("array<double>").alias("w")))
+    z = stage(als.userFactors.select(F.col("id").alias("u"), F.col("features").cast("array<double>").alias("z")))
+    w = stage(als.itemFactors.select(F.col("id").alias("i"), F.col("features").cast("array<double>").alias("w")))
 
     to_z, to_w = _rotations(_gram(z, "z", factors), _gram(w, "w", factors))
     z = z.withColumn("z", _rotate("z", to_z))
     w = w.withColumn("w", _rotate("w", to_w))
 
     fitted = coded.join(z, "u").join(small_side(w), "i")
-    r2 = cut(variance_explained(fitted, factors))
+    r2 = stage(variance_explained(fitted, factors))
     live = [
         r.factor
         for r in r2.groupBy("factor").agg(F.max("r2").alias("top")).where(F.col("top") >= 100 * min_r2)
@@ -222,5 +222,5 @@ def loading_rows(loadings: DataFrame) -> DataFrame:
 def factor_scatter(scores: DataFrame, labels: DataFrame, label: str, entity: str = "patient_id") -> DataFrame:
     """First two factors with label and the label's number of rows."""
     joined = scores.join(labels.where(F.col(label).isNotNull()).select(entity, label), entity)
-    sizes = small_side(cut(joined.groupBy(label).agg(F.count("*").alias("n_label"))))
+    sizes = small_side(stage(joined.groupBy(label).agg(F.count("*").alias("n_label"))))
     return joined.join(sizes, label).select(entity, label, "factor_1", "factor_2", "n_label")

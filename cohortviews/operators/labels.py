@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortviews.functions.values import remap
-from cohortviews.session import cut, small_side
+from cohortviews.session import small_side, stage
 
 NULL_LABEL = "__null__"
 
@@ -40,7 +40,7 @@ def label_codes(df: DataFrame, label: str, code: str) -> DataFrame:
 
 
 def with_codes(df: DataFrame, label: str, code: str) -> DataFrame:
-    return df.join(small_side(cut(label_codes(df, label, code))), label)
+    return df.join(small_side(stage(label_codes(df, label, code))), label)
 
 
 def labels_of_type(

@@ -89,10 +89,18 @@ def coverage_funnel(
 def modality_volume(
     rows: DataFrame, entity: str = "patient_id", view: str = "modality", file: str | None = None
 ) -> DataFrame:
-    """Rows, entities and, if there is a file column, files per modality."""
-    size = rows.groupBy(view).agg(F.count("*").alias("n_rows"))
-    people = rows.groupBy(view).agg(F.count_distinct(entity).alias("n_entities"))
-    out = size.join(people, view)
+    """Rows, entities and, if there is a file column, files per modality.
+
+    Counting per (modality, entity) first gives both numbers from one scan.
+    """
+
+    def sizes(column: str, name: str) -> DataFrame:
+        each = rows.groupBy(view, column).agg(F.count("*").alias("n"))
+        return each.groupBy(view).agg(
+            F.sum("n").alias("n_rows"), F.count(column).alias(name)
+        )
+
+    out = sizes(entity, "n_entities")
     if file is not None:
-        out = out.join(rows.groupBy(view).agg(F.count_distinct(file).alias("n_files")), view)
+        out = out.join(sizes(file, "n_files").drop("n_rows"), view)
     return out

@@ -19,7 +19,7 @@ from cohortviews.operators.labels import balanced_weights
 from cohortviews.operators.ranking import ranked
 from cohortviews.operators.reshape import array_rows
 from cohortviews.operators.select import fold_top_features
-from cohortviews.session import cut, small_side, together
+from cohortviews.session import small_side, stage, together
 
 
 def stratified_folds(
@@ -65,7 +65,7 @@ def _prepared(df: DataFrame, positions: Sequence[int], means: Sequence[float]) -
 
 
 def _weighted(train: DataFrame, label: str) -> DataFrame:
-    weights = small_side(cut(balanced_weights(train, label).select(label, "weight")))
+    weights = small_side(stage(balanced_weights(train, label).select(label, "weight")))
     return train.join(weights, label)
 
 
@@ -116,7 +116,7 @@ def cross_validate(
 
     Columns: id, fold, actual_code, predicted_code, probabilities.
     """
-    data = cut(stratified_folds(df, label, id_col, folds, seed))
+    data = stage(stratified_folds(df, label, id_col, folds, seed))
     positions = selected_positions(data, folds, top_n, must_keep)
 
     def one_fold(k: int) -> DataFrame:
@@ -217,10 +217,10 @@ def permutation_importance(
         id_col, F.col(label).alias("y"), vector_to_array("vector").alias("x")
     )
     order = [F.asc(F.xxhash64(F.col(id_col), F.lit(seed))), F.asc(id_col)]
-    placed = cut(ranked(ready, order, name="r"))
+    placed = stage(ranked(ready, order, name="r"))
     n = placed.count()
     donors = placed.select((F.col("r") % n + 1).alias("r"), F.col("x").alias("d"))
-    paired = cut(placed.join(donors, "r"))
+    paired = stage(placed.join(donors, "r"))
 
     def accuracy(column: Column) -> float:
         scored = model.transform(paired.select("y", array_to_vector(column).alias("vector")))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortviews.dims import centromeres
 from cohortviews.functions.genome import arm_of, arm_ordinal, canonical_chromosome, view_of
 from cohortviews.functions.values import nan_to_null
-from cohortviews.session import BROADCAST_ROWS, cut
+from cohortviews.session import BROADCAST_ROWS, stage
 
 
 def quoted(name: str) -> str:
@@ -67,7 +67,7 @@ def feature_dictionary(
     is no more than a task handles per entity anyway.
     """
     window = Window.orderBy(*(order or [F.asc(feature)]))
-    return cut(
+    return stage(
         features.select(feature)
         .distinct()
         .select(feature, (F.row_number().over(window) - 1).alias("ordinal"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortviews.functions.ids import base_id
 from cohortviews.functions.values import coverage_floor, finite_or_null, known, nan_to_null
 from cohortviews.operators.ranking import ranked
-from cohortviews.session import cut, small_side
+from cohortviews.session import small_side, stage
 
 ENTITY = "patient_id"
 FEATURE = "feature_id"
@@ -39,6 +39,7 @@ def feature_statistics(
     ``distinct_entities`` an entity counts once. NaN counts as no value.
     """
     x = nan_to_null(F.col(value))
+    df = df.where(F.col(feature).isNotNull())
     spread = df.groupBy(feature).agg(F.count(x).alias("n_obs"), variance(x, ddof).alias("variance"))
     if not distinct_entities:
         return spread
@@ -86,9 +87,12 @@ def top_variance_features(
     )
     if must_keep is None:
         return top
-    forced = stats.join(
-        must_keep, base_id(F.col(feature)) == F.col("base_id"), "left_semi"
-    ).withColumn("forced", F.lit(True))
+    # an inner join stays above the aggregate (a semi join would be pushed below
+    # it and scan the long table again), so both branches share one exchange
+    ids = must_keep.select("base_id").distinct()
+    forced = stats.join(ids, base_id(F.col(feature)) == F.col("base_id")).select(
+        *stats.columns, F.lit(True).alias("forced")
+    )
     return top.unionByName(forced).groupBy(feature).agg(
         F.max("n_obs").alias("n_obs"),
         F.max("variance").alias("variance"),
@@ -114,7 +118,7 @@ def keep_features(df: DataFrame, chosen: DataFrame, feature: str = FEATURE) -> D
     The chosen set is written once (it comes from a full scan) and broadcast if
     its size allows, so the long table is filtered where it lies.
     """
-    return df.join(small_side(cut(chosen.select(feature))), feature, "left_semi")
+    return df.join(small_side(stage(chosen.select(feature))), feature, "left_semi")
 
 
 def fold_moments(df: DataFrame, fold: str, feature: str = FEATURE, value: str = VALUE) -> DataFrame:

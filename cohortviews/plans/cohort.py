@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from cohortviews import dims
-from cohortviews.functions.genome import feature_family
+from cohortviews.dims import inline_table
+from cohortviews.functions.genome import feature_family, view_of
 from cohortviews.functions.values import pick_by_cohort
 from cohortviews.operators.labels import join_labels, label_codes, labels_of_type
 from cohortviews.operators.merge import inner_merge
@@ -24,7 +26,7 @@ from cohortviews.operators.reshape import (
     quoted,
 )
 from cohortviews.operators.select import keep_features, recurrent_features, top_variance_features
-from cohortviews.session import cut, small_side, stage, together
+from cohortviews.session import small_side, stage, together
 
 
 @dataclass(frozen=True)
@@ -164,24 +166,59 @@ def wide_table(
     return merged.selectExpr(*keys, *columns)
 
 
+def merged_dictionary(views: Sequence[View]) -> DataFrame:
+    """``(view, feature_id, ordinal)`` of all views."""
+    parts = [v.dictionary.select(F.lit(v.name).alias("view"), "feature_id", "ordinal") for v in views]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def merged_cells(
     merged: DataFrame, views: Sequence[View], keys: Sequence[str] = ("patient_id",)
 ) -> DataFrame:
     """Every cell of the merged matrix, null ones included: ``(keys, view, feature_id, value)``."""
-    positions = None
-    for view in views:
-        part = view.dictionary.select(F.lit(view.name).alias("view"), "feature_id", "ordinal")
-        positions = part if positions is None else positions.unionByName(part)
+    return array_cells(merged, merged_dictionary(views), keys)
+
+
+def array_cells(
+    merged: DataFrame, positions: DataFrame, keys: Sequence[str] = ("patient_id",)
+) -> DataFrame:
+    """The same from stored arrays (one column per view) and their dictionary."""
+    names = [c for c in merged.columns if c not in keys]
     by_view = merged.select(
         *keys,
         F.explode(
-            F.array(*[F.struct(F.lit(v.name).alias("view"), F.col(v.name).alias("x")) for v in views])
+            F.array(*[F.struct(F.lit(n).alias("view"), F.col(n).alias("x")) for n in names])
         ).alias("__v"),
     )
     cells = by_view.select(
         *keys, F.col("__v.view").alias("view"), F.posexplode("__v.x").alias("ordinal", "value")
     )
-    return cells.join(small_side(cut(positions)), ["view", "ordinal"]).select(*keys, "view", "feature_id", "value")
+    return cells.join(small_side(stage(positions)), ["view", "ordinal"]).select(*keys, "view", "feature_id", "value")
+
+
+def arrays_of_wide(
+    wide: DataFrame, keys: Sequence[str] = ("patient_id",), rna_prefix: str = "ENSG"
+) -> tuple[DataFrame, DataFrame]:
+    """A wide table back to one array per view, with its dictionary.
+
+    Views come from the column names; a view without columns is left out.
+    """
+    spark = wide.sparkSession
+    features = [c for c in wide.columns if c not in keys]
+    names = inline_table(spark, [(i, c) for i, c in enumerate(features)], "at bigint, feature_id string")
+    placed = names.select("at", "feature_id", view_of(F.col("feature_id"), rna_prefix).alias("view"))
+    by_view: dict[str, list[str]] = {}
+    for row in placed.orderBy("at").collect():  # column names of the given table
+        by_view.setdefault(row.view, []).append(row.feature_id)
+    arrays = [
+        f"array({', '.join(f'CAST({quoted(c)} AS DOUBLE)' for c in columns)}) AS {quoted(view)}"
+        for view, columns in by_view.items()
+    ]
+    entries = [(view, c, i) for view, columns in by_view.items() for i, c in enumerate(columns)]
+    return (
+        wide.selectExpr(*keys, *arrays),
+        inline_table(spark, entries, "view string, feature_id string, ordinal int"),
+    )
 
 
 @dataclass(frozen=True)
@@ -237,9 +274,9 @@ class ModelTable:
 def _model_table(
     cells: DataFrame, roster: DataFrame, status: DataFrame, label: str, code: str
 ) -> ModelTable:
-    status = cut(status)
+    status = stage(status)
     dictionary = feature_dictionary(status.where(F.col("status") == "kept"))
-    codes = cut(label_codes(roster, label, code))
+    codes = stage(label_codes(roster, label, code))
     arrays = dense_arrays(cells, dictionary)
     nothing = F.array_repeat(F.lit(None).cast("double"), dictionary.count())
     rows = (
@@ -280,7 +317,7 @@ def subtype_model(
     """
     picked = labels_of_type(labels.select("patient_id", label), label, cancer_type, rules)
     present = cells.select("patient_id").distinct()
-    roster = cut(
+    roster = stage(
         picked.join(present, "patient_id", "left_semi").select("patient_id", F.col(label).alias("subtype"))
     )
     own = cells.join(roster.select("patient_id"), "patient_id", "left_semi")

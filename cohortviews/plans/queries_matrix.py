@@ -14,7 +14,7 @@ from cohortviews.operators.factors import gated_views
 from cohortviews.plans import adapters as ad
 from cohortviews.plans import cohort as co
 from cohortviews.plans.catalogue import query
-from cohortviews.session import cut, stage
+from cohortviews.session import stage
 from cohortviews.sources.files import altering
 
 COVERAGE = 0.30
@@ -441,7 +441,7 @@ status AS (SELECT feature_id, CASE
 
 def _part_model(spark, sf_dir):
     rows = ad.part_expression(spark, sf_dir)
-    cells = cut(rs.mean_cells(rows, ("cohort", "patient_id")))
+    cells = stage(rs.mean_cells(rows, ("cohort", "patient_id")))
     roster_ = cells.select("patient_id", "cohort").distinct()
     return co.cohort_model(cells, roster_, MAX_MISSING)
 
@@ -560,7 +560,7 @@ def view_gate_counts(spark, sf_dir):
 
 def _six_cells(spark, sf_dir):
     merged, views = six(spark, sf_dir)
-    merged = cut(merged)
+    merged = stage(merged)
     return co.merged_cells(merged, views), merged.select("patient_id")
 
 

@@ -14,15 +14,15 @@ from cohortviews.operators.ranking import best_row
 from cohortviews.plans import adapters as ad
 from cohortviews.plans.catalogue import query
 from cohortviews.plans.queries_matrix import _six_cells
-from cohortviews.session import cut
+from cohortviews.session import stage
 
 
 def _points(spark, sf_dir):
-    return cut(ad.vectors(spark, sf_dir).select("vec_id", "vector", "label"))
+    return stage(ad.vectors(spark, sf_dir).select("vec_id", "vector", "label"))
 
 
 def _examples(spark, sf_dir):
-    return cut(
+    return stage(
         ad.vectors(spark, sf_dir).select(
             F.col("vec_id").alias("id"), "label", F.col("vector").alias("features")
         )
@@ -78,7 +78,7 @@ def cv_classifier(spark, sf_dir):
     predictions = md.cross_validate(
         _examples(spark, sf_dir), top_n=40, must_keep=[0, 63], trees=20, depth=5
     )
-    predictions = cut(predictions)
+    predictions = stage(predictions)
     return ev.summary_scores(predictions, ["fold"]).join(ev.log_loss(predictions, ["fold"]), "fold")
 
 

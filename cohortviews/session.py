@@ -63,21 +63,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/staged-{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and read it back from there.
-
-    Used where a small result of a large scan is needed more than once, or where
-    a partition id has to stay the same when a task is run again.
-    """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and scan that instead.
 
-    For larger intermediate tables: later passes read only the columns they use,
-    and the planner knows the size.
+    Cuts the lineage where a result is needed more than once, or where a
+    partition number has to stay the same when a task is run again. The copy
+    outlives executors, later passes read only the columns they use, and the
+    planner knows its size.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)

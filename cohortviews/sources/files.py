@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortviews import dims
 from cohortviews.functions.ids import file_id_of_path
-from cohortviews.session import cut, small_side
+from cohortviews.session import small_side, stage
 
 CORRUPT = "_corrupt"
 
@@ -203,10 +203,10 @@ def ingest(
 def usable_rows(
     raw: DataFrame, manifest: DataFrame, layout: Layout, columns: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    errors = cut(file_errors(raw, layout))
+    errors = stage(file_errors(raw, layout))
     rows = long_rows(raw, layout, columns)
     good = rows.join(small_side(errors.select("file_id")), "file_id", "left_anti")
-    owners = small_side(cut(manifest.select("file_id", "patient_id")))
+    owners = small_side(stage(manifest.select("file_id", "patient_id")))
     out = good.join(owners, "file_id")
     return (
         out.select("patient_id", *[c for c in good.columns if c != "file_id"]),
@@ -233,7 +233,7 @@ def lines_by_name(
         "path", "file_id", F.split(clean, sep, -1).alias("f")
     )
     header = reduce(lambda a, b: a & b, [F.array_contains("f", n) for n in names])
-    heads = cut(
+    heads = stage(
         lines.where(header)
         .groupBy("path", "file_id")
         .agg(F.min("f").alias("h"))
@@ -261,7 +261,7 @@ def ingest_mutations(
     """``(rows, ledger)``: set of (patient, gene) with a protein-altering variant."""
     rows, heads = lines_by_name(spark, paths, ("Hugo_Symbol", "Variant_Classification"))
     kept = altering(rows, "Hugo_Symbol", "Variant_Classification", classes).join(
-        small_side(cut(manifest.select("file_id", "patient_id"))), "file_id"
+        small_side(stage(manifest.select("file_id", "patient_id"))), "file_id"
     )
     bad = manifest.join(heads.select("file_id").distinct(), "file_id", "left_anti").select(
         "patient_id", "file_id", F.lit("unexpected header").alias("error")

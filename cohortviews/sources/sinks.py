@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame
 
 from cohortviews.operators.quality import require_unique
 
@@ -19,18 +19,16 @@ def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort"
 def write_table(df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result") -> int:
     """Parquet write that raises if nothing, or a repeated key, was written.
 
-    The row count is observed during the write; the key check reads the key
-    columns of the written file.
+    The row count comes from the written file footers; the key check reads the
+    key columns of the written table.
     """
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(path)
-    rows = seen.get["rows"]
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = written.count()
     if rows == 0:
         raise RuntimeError(f"{what} has no rows")
     if unique:
-        require_unique(df.sparkSession.read.parquet(path), unique, what)
+        require_unique(written, unique, what)
     return rows
 
 

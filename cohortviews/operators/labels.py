@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.functions.values import remap
+from cohortviews.operators.ranking import ordinals
 from cohortviews.session import small_side, stage
 
 NULL_LABEL = "__null__"
@@ -33,10 +34,8 @@ def join_labels(base: DataFrame, sources: Sequence[DataFrame], entity: str = "pa
 
 def label_codes(df: DataFrame, label: str, code: str) -> DataFrame:
     """``(label, code)``: 0-based codes in label order, over the class vocabulary."""
-    window = Window.orderBy(label)
-    return df.select(label).where(F.col(label).isNotNull()).distinct().select(
-        label, (F.row_number().over(window) - 1).cast("long").alias(code)
-    )
+    classes = df.select(label).where(F.col(label).isNotNull()).distinct()
+    return ordinals(classes, [F.asc(label)], code)
 
 
 def with_codes(df: DataFrame, label: str, code: str) -> DataFrame:

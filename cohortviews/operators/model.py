@@ -205,13 +205,12 @@ def permutation_importance(
     label: str = "label",
     id_col: str = "id",
     seed: int = 7,
-    which: Sequence[int] | None = None,
 ) -> DataFrame:
     """Loss of accuracy when one feature is taken from another row.
 
     Every row gets one donor: its neighbour in a hashed order. Each feature is
     one scoring pass over the paired rows, so memory does not grow with the
-    number of features. ``which`` limits the features scored.
+    number of features.
     """
     ready = _prepared(df, positions, means).select(
         id_col, F.col(label).alias("y"), vector_to_array("vector").alias("x")
@@ -228,7 +227,7 @@ def permutation_importance(
 
     base = accuracy(F.col("x"))
     rows = []
-    for i in range(len(positions)) if which is None else which:
+    for i in range(len(positions)):
         swapped = F.transform("x", lambda v, at: F.when(at == i, F.get("d", at)).otherwise(v))
         rows.append((int(positions[i]), base - accuracy(swapped)))
     return inline_table(df.sparkSession, rows, "ordinal int, accuracy_loss double")

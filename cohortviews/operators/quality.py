@@ -77,29 +77,39 @@ def missing_summary(rates: DataFrame) -> DataFrame:
     )
 
 
+def _observed(cells: DataFrame, keys: Sequence[str], features: DataFrame | None, feature: str) -> DataFrame:
+    """``(feature, n_observed, n_groups)``: values, and groups that have any.
+
+    One pass over the cells; features without any value are counted as such.
+    ``features`` adds those that have no cell at all.
+    """
+    per_group = cells.groupBy(*keys).agg(F.count_if(known(F.col("value"))).alias("n"))
+    per_feature = per_group.groupBy(feature).agg(
+        F.sum("n").alias("n_observed"), F.count_if(F.col("n") > 0).alias("n_groups")
+    )
+    if features is None:
+        return per_feature
+    every = features.select(feature).distinct()
+    return every.join(per_feature, feature, "left").fillna(0, subset=["n_observed", "n_groups"])
+
+
 def structurally_missing(
-    cells: DataFrame, cohorts: DataFrame, features: DataFrame, feature: str = "feature_id", cohort: str = "cohort"
+    cells: DataFrame,
+    cohorts: DataFrame,
+    features: DataFrame | None = None,
+    feature: str = "feature_id",
+    cohort: str = "cohort",
 ) -> DataFrame:
     """Features without any value in at least one cohort."""
-    seen = (
-        cells.where(known(F.col("value")))
-        .groupBy(feature)
-        .agg(F.count_distinct(cohort).alias("n_cohorts"))
-    )
     total = cohorts.agg(F.count_distinct(cohort).alias("n")).scalar()
-    return (
-        features.select(feature)
-        .distinct()
-        .join(seen, feature, "left")
-        .where(F.coalesce("n_cohorts", F.lit(0)) < total)
-        .select(feature)
-    )
+    found = _observed(cells, [feature, cohort], features, feature)
+    return found.where(F.col("n_groups") < total).select(feature)
 
 
 def gate_features(
     cells: DataFrame,
     roster: DataFrame,
-    features: DataFrame,
+    features: DataFrame | None,
     max_missing_rate: float,
     structural: bool = True,
     feature: str = "feature_id",
@@ -111,21 +121,14 @@ def gate_features(
     the threshold. Both come from one aggregate per (feature, cohort).
     """
     require_rate(max_missing_rate)
-    keys = [feature, cohort] if structural else [feature]
-    per_group = (
-        cells.where(known(F.col("value"))).groupBy(*keys).agg(F.count("*").alias("n"))
-    )
-    per_feature = per_group.groupBy(feature).agg(
-        F.sum("n").alias("n_observed"), F.count("*").alias("n_cohorts")
-    )
-    everything = features.select(feature).distinct().join(per_feature, feature, "left")
+    found = _observed(cells, [feature, cohort] if structural else [feature], features, feature)
     people = roster.agg(F.count("*").alias("n")).scalar()
-    rate = 1 - F.try_divide(F.coalesce("n_observed", F.lit(0)), people)
+    rate = 1 - F.try_divide("n_observed", people)
     status = F.when(rate > max_missing_rate, "sparse").otherwise("kept")
     if structural:
         groups = roster.agg(F.count_distinct(cohort).alias("n")).scalar()
-        status = F.when(F.coalesce("n_cohorts", F.lit(0)) < groups, "structural").otherwise(status)
-    return everything.select(feature, status.alias("status"))
+        status = F.when(F.col("n_groups") < groups, "structural").otherwise(status)
+    return found.select(feature, status.alias("status"))
 
 
 def view_gate(rates: DataFrame, config: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortviews.session import stage
+from cohortviews.session import BROADCAST_ROWS, small_side, stage
 
 SLICE = "__slice"
 
@@ -28,7 +28,7 @@ def running_totals(
     ``order`` must be total inside a key (end it with an id).
     """
     names = list(totals)
-    staged = df.withColumns({f"__{n}": c for n, c in totals.items()})
+    staged = df.withColumns({f"__v_{n}": c for n, c in totals.items()})
     staged = staged.repartitionByRange(*[F.col(k) for k in keys], *order)
     # The slice number has to survive task retries, hence the written copy.
     staged = stage(staged.withColumn(SLICE, F.spark_partition_id()), "slices")
@@ -36,10 +36,10 @@ def running_totals(
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy(*keys, SLICE)
-        .agg(*[F.sum(f"__{n}").alias(f"__s_{n}") for n in names])
+        .agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in names])
         .select(
             *[F.col(k).alias(f"__k_{k}") for k in keys],
-            F.col(SLICE).alias("__at"),
+            F.col(SLICE).alias("__slice_of"),
             *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in names],
         )
     )
@@ -48,11 +48,13 @@ def running_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = staged.withColumns({f"__l_{n}": F.sum(f"__{n}").over(inside) for n in names})
-    same = F.col(SLICE) == F.col("__at")
+    local = staged.withColumns({f"__l_{n}": F.sum(f"__v_{n}").over(inside) for n in names})
+    same = F.col(SLICE) == F.col("__slice_of")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return local.join(offsets, same).select(
+    # one row per slice and key in it: broadcast unless there are very many keys,
+    # so that the rows themselves are not moved a third time
+    return local.join(small_side(stage(offsets, "offsets")), same).select(
         *df.columns, *[(F.col(f"__l_{n}") + F.col(f"__o_{n}")).alias(n) for n in names]
     )
 
@@ -64,6 +66,18 @@ def ranked(
     return running_totals(df, order, {name: F.lit(1).cast("long")}, keys)
 
 
+def ordinals(names: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Positions from 0 of distinct rows in ``order``.
+
+    Vocabularies (features of a row, classes of a model) are numbered by one
+    window while they are proven small, and by range partitions beyond that.
+    """
+    names = stage(names, "names")
+    if names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return names.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+    return ranked(names, order, name=name).withColumn(name, F.col(name) - 1)
+
+
 def top_per_key(df: DataFrame, order: Sequence[Column], k: int, keys: Sequence[str]) -> DataFrame:
     """Rows of rank 1..k inside each key, with their rank.
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.dims import centromeres
 from cohortviews.functions.genome import arm_of, arm_ordinal, canonical_chromosome, view_of
 from cohortviews.functions.values import nan_to_null
+from cohortviews.operators.ranking import ordinals
 from cohortviews.session import BROADCAST_ROWS, stage
 
 
@@ -61,17 +62,9 @@ def pivot_mean(
 def feature_dictionary(
     features: DataFrame, feature: str = "feature_id", order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """``(feature, ordinal)``, written, with ordinals from 0 in the given (or name) order.
-
-    A dictionary is as long as one output row is wide, so ranking it in one task
-    is no more than a task handles per entity anyway.
-    """
-    window = Window.orderBy(*(order or [F.asc(feature)]))
-    return stage(
-        features.select(feature)
-        .distinct()
-        .select(feature, (F.row_number().over(window) - 1).alias("ordinal"))
-    )
+    """``(feature, ordinal)``, written, with ordinals from 0 in the given (or name) order."""
+    numbered = ordinals(features.select(feature).distinct(), order or [F.asc(feature)], "ordinal")
+    return stage(numbered.select(feature, F.col("ordinal").cast("int").alias("ordinal")), "dictionary")
 
 
 def dense_arrays(

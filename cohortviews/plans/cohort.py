@@ -298,7 +298,7 @@ def cohort_model(
     scaled here.
     """
     require_unique(roster, ["patient_id"], "roster")
-    status = gate_features(cells, roster, cells, max_missing_rate)
+    status = gate_features(cells, roster, None, max_missing_rate)
     return _model_table(cells, roster.select("patient_id", "cohort"), status, "cohort", "cohort_code")
 
 

@@ -51,6 +51,11 @@ def label_audit(spark, sf_dir):
     return _audit(spark, sf_dir)
 
 
+@query("label_coalesce", f"WITH {SQL_AUDIT} SELECT patient_id, cohort, marker_subtype FROM audit")
+def label_coalesce(spark, sf_dir):
+    return _audit(spark, sf_dir).select("patient_id", "cohort", "marker_subtype")
+
+
 def _sources(audit):
     return [c for c in audit.columns if "subtype" in c.lower()]
 

@@ -449,7 +449,7 @@ def _part_model(spark, sf_dir):
 @query("structural_missing_features", f"WITH {SQL_GATE} SELECT feature_id FROM status WHERE status = 'structural'")
 def structural_missing_features(spark, sf_dir):
     rows = ad.part_expression(spark, sf_dir)
-    return ql.structurally_missing(rows, rows.select("cohort").distinct(), rows)
+    return ql.structurally_missing(rows, rows.select("cohort").distinct())
 
 
 @query("gated_feature_status", f"WITH {SQL_GATE} SELECT feature_id, status FROM status")

@@ -95,12 +95,10 @@ def linear_attribution(spark, sf_dir):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    """Losses of the five most important features of the refitted model."""
+    """Loss of accuracy for every feature of the refitted model."""
     data = _examples(spark, sf_dir)
-    model, positions, means = md.final_model(data, top_n=20, trees=10, depth=5)
-    first = [r.ordinal for r in md.importances(spark, model, positions).limit(5).collect()]
-    which = [positions.index(p) for p in first]
-    return md.permutation_importance(data, model, positions, means, which=which)
+    model, positions, means = md.final_model(data, top_n=12, trees=10, depth=5)
+    return md.permutation_importance(data, model, positions, means)
 
 
 def _factors(spark, sf_dir):

@@ -173,7 +173,7 @@ def test_cohort_model(gate_case, tmp_path):
 
 def test_gate_threshold_is_strict(gate_case):
     cells, roster = gate_case
-    status = {r.feature_id: r.status for r in ql.gate_features(cells, roster, cells, 0.5).collect()}
+    status = {r.feature_id: r.status for r in ql.gate_features(cells, roster, None, 0.5).collect()}
     assert status["cg_sparse"] == "kept"
     with pytest.raises(ValueError):
         ql.gate_features(cells, roster, cells, 1.0)
@@ -181,7 +181,7 @@ def test_gate_threshold_is_strict(gate_case):
 
 def test_structural_gap(gate_case):
     cells, roster = gate_case
-    assert [r[0] for r in ql.structurally_missing(cells, roster, cells).collect()] == ["cg_structural"]
+    assert [r[0] for r in ql.structurally_missing(cells, roster).collect()] == ["cg_structural"]
 
 
 def test_subtype_model(spark, gate_case):

@@ -403,18 +403,9 @@ def silhouette_exact(
         "id", "c", "v", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
 
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        left = pdf[pdf["block"] == i]
-        right = pdf[pdf["block"] == j]
-        parts = [_distance_sums(left, right)]
-        if i != j:
-            parts.append(_distance_sums(right, left))
-        return pd.concat(parts, ignore_index=True)
-
     sums = (
         tiles.groupBy("i", "j")
-        .applyInPandas(tile, f"id {kind}, c {ckind}, target {ckind}, total double")
+        .applyInPandas(_tile_sums(), f"id {kind}, c {ckind}, target {ckind}, total double")
         .groupBy("id", "c", "target")
         .agg(F.sum("total").alias("total"))
     )
@@ -436,26 +427,45 @@ def silhouette_exact(
     )
 
 
-def _distance_sums(rows: pd.DataFrame, against: pd.DataFrame) -> pd.DataFrame:
-    """Per row of the first block, distance sums to the second block by cluster."""
-    if rows.empty or against.empty:
-        return pd.DataFrame({"id": rows["id"].iloc[:0], "c": rows["c"].iloc[:0], "target": rows["c"].iloc[:0], "total": []})
-    x, y = np.stack(rows["v"].to_numpy()), np.stack(against["v"].to_numpy())
-    names, code = np.unique(against["c"].to_numpy(), return_inverse=True)
-    member = np.zeros((len(y), len(names)))
-    member[np.arange(len(y)), code] = 1.0
-    totals = np.empty((len(x), len(names)))
-    for at in range(0, len(x), 64):  # 64 x block x dims doubles at a time
-        gap = x[at : at + 64, None, :] - y[None, :, :]
-        totals[at : at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap)) @ member
-    return pd.DataFrame(
-        {
-            "id": np.repeat(rows["id"].to_numpy(), len(names)),
-            "c": np.repeat(rows["c"].to_numpy(), len(names)),
-            "target": np.tile(names, len(x)),
-            "total": totals.ravel(),
-        }
-    )
+def _tile_sums():
+    """Task function for one pair of blocks.
+
+    It is built inside a function so that it travels with the job: workers need
+    numpy and pandas, not this package.
+    """
+
+    def distance_sums(rows: pd.DataFrame, against: pd.DataFrame) -> pd.DataFrame:
+        """Per row of the first block, distance sums to the second block by cluster."""
+        if rows.empty or against.empty:
+            none = rows.iloc[:0]
+            return pd.DataFrame({"id": none["id"], "c": none["c"], "target": none["c"], "total": []})
+        x, y = np.stack(rows["v"].to_numpy()), np.stack(against["v"].to_numpy())
+        names, code = np.unique(against["c"].to_numpy(), return_inverse=True)
+        member = np.zeros((len(y), len(names)))
+        member[np.arange(len(y)), code] = 1.0
+        totals = np.empty((len(x), len(names)))
+        for at in range(0, len(x), 64):  # 64 x block x dims doubles at a time
+            gap = x[at : at + 64, None, :] - y[None, :, :]
+            totals[at : at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap)) @ member
+        return pd.DataFrame(
+            {
+                "id": np.repeat(rows["id"].to_numpy(), len(names)),
+                "c": np.repeat(rows["c"].to_numpy(), len(names)),
+                "target": np.tile(names, len(x)),
+                "total": totals.ravel(),
+            }
+        )
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+        left = pdf[pdf["block"] == i]
+        right = pdf[pdf["block"] == j]
+        parts = [distance_sums(left, right)]
+        if i != j:
+            parts.append(distance_sums(right, left))
+        return pd.concat(parts, ignore_index=True)
+
+    return tile
 
 
 # --- factors and attributions ------------------------------------------------

@@ -384,12 +384,14 @@ def silhouette_exact(
     """``(id, cluster, silhouette)`` under Euclidean distance.
 
     The measure itself needs every distance once. Rows are hashed into blocks of
-    about ``block_rows``; each unordered pair of blocks is one task that holds
+    at most about ``block_rows``; each unordered pair of blocks is one task that holds
     two blocks and returns, per row, distance sums per cluster. Distances never
     become rows, and no task sees more than two blocks.
     """
     n = df.count()
-    blocks = max(1, math.ceil(n / block_rows))
+    # enough pairs of blocks for every core, though no block gets tiny for it
+    for_cores = math.ceil(math.sqrt(2 * df.sparkSession.sparkContext.defaultParallelism))
+    blocks = max(1, math.ceil(n / block_rows), min(for_cores, math.ceil(n / 64)))
     kind = df.schema[id_col].dataType.simpleString()
     ckind = df.schema[cluster].dataType.simpleString()
     rows = df.select(
@@ -505,3 +507,9 @@ def attribution_summary(contributions: DataFrame) -> DataFrame:
 def top_loadings(loadings: DataFrame, k: int) -> DataFrame:
     """Top k per (view, factor) by magnitude: ``rank`` added."""
     return top_per_key(loadings, [F.desc(F.abs("loading")), F.asc("feature")], k, ["view", "factor"])
+
+
+def loading_bars(loadings: DataFrame, factor: object, k: int) -> DataFrame:
+    """One factor's top k per view by magnitude, listed by signed loading."""
+    own = loadings.where(F.col("factor") == factor)
+    return top_loadings(own, k).orderBy("view", "loading", "feature")

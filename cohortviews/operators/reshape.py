@@ -15,7 +15,7 @@ from cohortviews.dims import centromeres
 from cohortviews.functions.genome import arm_of, arm_ordinal, canonical_chromosome, view_of
 from cohortviews.functions.values import nan_to_null
 from cohortviews.operators.ranking import ordinals
-from cohortviews.session import BROADCAST_ROWS, stage
+from cohortviews.session import BROADCAST_ROWS
 
 
 def quoted(name: str) -> str:
@@ -62,9 +62,12 @@ def pivot_mean(
 def feature_dictionary(
     features: DataFrame, feature: str = "feature_id", order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """``(feature, ordinal)``, written, with ordinals from 0 in the given (or name) order."""
+    """``(feature, ordinal)`` with ordinals from 0 in the given (or name) order.
+
+    The names are written once, so using the dictionary again costs no scan.
+    """
     numbered = ordinals(features.select(feature).distinct(), order or [F.asc(feature)], "ordinal")
-    return stage(numbered.select(feature, F.col("ordinal").cast("int").alias("ordinal")), "dictionary")
+    return numbered.select(feature, F.col("ordinal").cast("int").alias("ordinal"))
 
 
 def dense_arrays(

@@ -258,19 +258,34 @@ loadings AS (SELECT 'v' || CAST(dim // 16 AS VARCHAR) AS view, label AS factor,
   FROM cells GROUP BY 1, 2, 3)"""
 
 
+def _loadings(spark, sf_dir):
+    """Class means per dimension as loadings; blocks of 16 dimensions as views."""
+    view = F.concat(F.lit("v"), F.floor(F.col("dim") / 16))
+    return (
+        ad.vector_cells(spark, sf_dir)
+        .groupBy(view.alias("view"), F.col("label").alias("factor"), F.col("feature_id").alias("feature"))
+        .agg(F.avg("value").alias("loading"))
+    )
+
+
+@query(
+    "loading_bars",
+    f"""WITH {SQL_LOADINGS} SELECT view, feature, round(loading, 8) AS loading FROM (
+  SELECT *, row_number() OVER (PARTITION BY view ORDER BY abs(loading) DESC, feature) AS rank FROM loadings WHERE factor = 1) t
+WHERE rank <= 10 ORDER BY view, loading""",
+)
+def loading_bars(spark, sf_dir):
+    bars = ev.loading_bars(_loadings(spark, sf_dir), 1, 10)
+    return _round(bars.select("view", "feature", "loading"), 8, "loading")
+
+
 @query(
     "top_loadings",
     f"""WITH {SQL_LOADINGS} SELECT view, factor, feature, round(loading, 8) AS loading, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY view, factor ORDER BY abs(loading) DESC, feature) AS rank FROM loadings) t WHERE rank <= 5""",
 )
 def top_loadings(spark, sf_dir):
-    view = F.concat(F.lit("v"), F.floor(F.col("dim") / 16))
-    loadings = (
-        ad.vector_cells(spark, sf_dir)
-        .groupBy(view.alias("view"), F.col("label").alias("factor"), F.col("feature_id").alias("feature"))
-        .agg(F.avg("value").alias("loading"))
-    )
-    top = ev.top_loadings(loadings, 5)
+    top = ev.top_loadings(_loadings(spark, sf_dir), 5)
     return _round(top, 8, "loading").withColumn("rank", F.col("rank").cast("long"))
 
 

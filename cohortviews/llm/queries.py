@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import mixing, sharding
+from cohortviews.llm import mixing, sharding, simhash
 from cohortviews.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mixing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(documents(spark, sf_dir))
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), 4, 4)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import mixing, sharding, simhash
+from cohortviews.llm import mixing, secret_scan, sharding, simhash
 from cohortviews.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), 4, 4)
+
+
+@query("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, sf_dir))

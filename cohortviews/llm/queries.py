@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import mixing, secret_scan, sharding, simhash
+from cohortviews.llm import mixing, pieces, secret_scan, sharding, simhash
 from cohortviews.llm.common import documents, embeddings
 
+
+def piece_model() -> str:
+    """Where the public SentencePiece model lies; it is read there, never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +94,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_secrets")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf_dir))
+
+
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf_dir), piece_model())

@@ -25,7 +25,7 @@ from cohortviews.llm.common import map_texts
 
 SPACE = "▁"
 #: Parts that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 NONE, START = -2, -1
 
 
@@ -44,6 +44,29 @@ def vocabulary(model_file: str) -> dict:
     }
 
 
+class Memory:
+    """A dictionary of short keys in two generations: when the new one is full, it becomes the old one."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most // 2, {}, {}
+
+    def get(self, key: str):
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value):
+        if len(key) <= 64:
+            if len(self.new) >= self.most:
+                self.old = self.new.copy()
+                self.new.clear()
+            self.new[key] = value
+        return value
+
+
 class Encoder:
     """Encodes and decodes with one vocabulary; remembers parts and pair tests."""
 
@@ -59,12 +82,11 @@ class Encoder:
         self.reached = {p: i for p, i in self.ids.items() if self.merged(p) == [p]}
         self.tokens = ahocorasick.Automaton()
         for p, i in self.reached.items():
-            self.tokens.add_word(p, (len(p), i))
+            self.tokens.add_word(p, (len(p), i, {}))  # with the pair tests of the token as the right one
         self.tokens.make_automaton()
-        self.known = {p for p in self.reached if len(p) == 1}
-        self.pairs: dict[int, bool] = {}
-        self.parts: dict[str, tuple[str, str]] = {}
-        self.words: dict[str, tuple[str, str]] = {}
+        self.known = frozenset(p for p in self.reached if len(p) == 1)
+        self.parts = Memory(REMEMBERED)  # parts without white space before them
+        self.words = Memory(REMEMBERED)  # texts between two white spaces
         self.cut = self._cut()
 
     def _cut(self) -> re.Pattern:
@@ -78,7 +100,9 @@ class Encoder:
                 break
             marks -= linked
         if any(b == SPACE and a != SPACE for a, b in joined):  # a token ends in white space: one part
+            self.cuts_words = False
             return re.compile(r"(?s).+")
+        self.cuts_words = True
         mark = "".join(map(re.escape, sorted(marks)))
         return re.compile(f"{SPACE}*[^{SPACE}{mark}]+|{SPACE}*[{mark}]+|{SPACE}+" if mark else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -97,42 +121,40 @@ class Encoder:
         return parts
 
     def compatible(self, a: int, b: int) -> bool:
-        key = a * self.width + b
-        seen = self.pairs.get(key)
-        if seen is None:
-            left, right = self.names[a], self.names[b]
-            seen = self.pairs[key] = self.merged(left + right) == [left, right]
-        return seen
+        left, right = self.names[a], self.names[b]
+        return self.merged(left + right) == [left, right]
 
     def table(self, text: str) -> list[int]:
         """Ids of a text of known characters: last tokens of all prefixes, then the way back."""
         n = len(text)
         last, before = [NONE] * (n + 1), [0] * (n + 1)
         last[0] = START
-        pairs, width, compatible = self.pairs, self.width, self.compatible
-        for at, (length, token) in self.tokens.iter(text):
+        for at, (length, token, fits_after) in self.tokens.iter(text):
             end = at + 1
             if last[end] != NONE:
                 continue
             start = end - length
             prev = last[start]
-            if prev == NONE:
-                continue
-            if prev != START:
-                fits = pairs.get(prev * width + token)
+            if prev >= 0:
+                fits = fits_after.get(prev)
                 if fits is None:
-                    fits = compatible(prev, token)
+                    fits = fits_after[prev] = self.compatible(prev, token)
                 if not fits:
                     continue
+            elif prev == NONE:
+                continue
             last[end], before[end] = token, start
         out = []
         while n:
             out.append(last[n])
             n = before[n]
-        return out[::-1]
+        out.reverse()
+        return out
 
     def encode_part(self, text: str) -> list[int]:
         """Ids of a part; characters without a piece become bytes."""
+        if self.known.issuperset(text):
+            return self.table(text)
         out, at = [], 0
         for i, c in enumerate(text):
             if c not in self.known:
@@ -142,7 +164,11 @@ class Encoder:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids`` with white space restored; bytes that are no UTF-8 become U+FFFD each."""
-        out, run = [], bytearray()
+        out, run, names = [], bytearray(), self.names
+        try:  # no bytes, as mostly
+            return "".join([names[i] for i in ids]).replace(SPACE, " ")
+        except KeyError:
+            pass
         for i in [*ids, None]:
             if i is not None and i in self.byte_of:
                 run.append(self.byte_of[i])
@@ -154,19 +180,26 @@ class Encoder:
                 out.append(self.names.get(i, ""))
         return "".join(out).replace(SPACE, " ")
 
-    def _part(self, text: str) -> tuple[str, str]:
-        seen = self.parts.get(text)
-        if seen is None:
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            ids = self.encode_part(text)
-            seen = ",".join(map(str, ids)), self.decode(ids)
-            if len(text) <= 64:
-                self.parts[text] = seen
-        return seen
+    def _fresh(self, text: str) -> tuple[str, str]:
+        ids = self.encode_part(text)
+        return ",".join(map(str, ids)), self.decode(ids)
+
+    def word(self, word: str) -> tuple[str, str]:
+        """A text between two white spaces, with the white space before it."""
+        seen = self.words.get(word)
+        if seen:
+            return seen
+        parts = (SPACE + word,) if word.isalnum() and self.cuts_words else self.cut.findall(SPACE + word)
+        if len(parts) == 1:
+            found = self._fresh(parts[0])
+        else:
+            head = self.word(parts[0][1:]) if parts[0][1:2] and SPACE not in parts[0][1:] else self._fresh(parts[0])
+            rest = [self.parts.get(p) or self.parts.put(p, self._fresh(p)) for p in parts[1:]]
+            found = ",".join([head[0], *[r[0] for r in rest]]), head[1] + "".join([r[1] for r in rest])
+        return self.words.put(word, found)
 
     def _joined(self, escaped: str) -> tuple[str, str]:
-        parts = [self._part(p) for p in self.cut.findall(escaped)]
+        parts = [self.parts.get(p) or self.parts.put(p, self._fresh(p)) for p in self.cut.findall(escaped)]
         return ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])
 
     def encode(self, text: str) -> tuple[str, str]:
@@ -174,19 +207,15 @@ class Encoder:
         if not text:
             return "", ""
         text = text.replace(SPACE, " ")
-        if "  " in text or text[0] == " " or text[-1] == " ":
+        if not self.cuts_words or "  " in text or text[0] == " " or text[-1] == " ":
             ids, back = self._joined(SPACE + text.replace(" ", SPACE))
             return ids, back[1:]
-        words, seen = text.split(" "), self.words
-        found = [seen.get(w) for w in words]
-        for i, f in enumerate(found):
-            if f is None:
-                w = words[i]
-                f = found[i] = seen.get(w) or self._joined(SPACE + w)
-                if len(w) <= 64:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen[w] = f
+        words = text.split(" ")
+        found = list(map(self.words.new.get, words))
+        if None in found:
+            for i, f in enumerate(found):
+                if f is None:
+                    found[i] = self.word(words[i])
         return ",".join([f[0] for f in found]), "".join([f[1] for f in found])[1:]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import mixing, pieces, secret_scan, sharding, simhash
+from cohortviews.llm import language, mixing, pieces, secret_scan, sharding, simhash
 from cohortviews.llm.common import documents, embeddings
 
 
@@ -99,3 +99,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), piece_model())
+
+
+@query("op9_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import language, mixing, pieces, secret_scan, sharding, simhash
+from cohortviews.llm import language, lattice, mixing, multi_index, pieces, secret_scan, sharding, simhash
 from cohortviews.llm.common import documents, embeddings
 
 
@@ -104,3 +104,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
+
+
+@query("op3_lattice")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(embeddings(spark, sf_dir), 0.9)
+
+
+@query("op10_multi_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(embeddings(spark, sf_dir), 100, 10)

@@ -200,9 +200,9 @@ def near_duplicates(docs: DataFrame, tau: int = 4, shingle: int = 4) -> DataFram
     labels = stage(grouped(prints, tau), "labels")
     lowest = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).join(labels, "fp")
     named = lowest.groupBy("label").agg(F.min("low").alias("component_id"))
+    named = labels.join(named, "label").select("fp", "component_id")
     return (
-        prints.join(labels, "fp")
-        .join(named, "label")
+        prints.join(named, "fp")
         .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import language, lattice, mixing, multi_index, pieces, secret_scan, sharding, simhash
+from cohortviews.llm import language, lattice, mixing, multi_index, pieces, secret_scan, sharding, simhash, substring_dedup
 from cohortviews.llm.common import documents, embeddings
 
 
@@ -114,3 +114,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_multi_index")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(embeddings(spark, sf_dir), 100, 10)
+
+
+@query("op2_suffix_array")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(documents(spark, sf_dir), 100).drop("kept")

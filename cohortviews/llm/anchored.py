@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.llm.common import stage
+
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 POSITION_BITS = 24
 CHUNK = 1 << 21  # units looked at together; below 2 ** POSITION_BITS
@@ -66,16 +68,29 @@ class Powers:
         return np.multiply.accumulate(out)
 
 
+def digests(units: np.ndarray, powers: Powers) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of ``first`` and ``until`` that digests units[first:until]."""
+    sums = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * powers.up[: len(units)], out=sums[1:])
+
+    def of(first: np.ndarray, until: np.ndarray) -> np.ndarray:
+        size = (until - first).astype(np.uint64)
+        return mixed((sums[until] - sums[first]) * powers.down[first] + size * BASES[0]).view(np.int64)
+
+    return of
+
+
 def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Powers):
     """Runs of windows of the documents that end at ``ends`` in ``units``.
 
-    Returns document number, first window (a position in ``units``), windows, anchor hash, digest.
+    Returns document number, first window (a position in ``units``), windows, anchor hash, digest, and digests of the
+    anchor extended to twice its length, to the left and to the right (0 where that would leave the document).
     """
     n, wide = len(units), length - gram + 1
     windows = n - length + 1
     empty = np.zeros(0, np.int64)
     if windows <= 0:
-        return empty, empty, empty, empty, empty
+        return (empty,) * 7
     hashes = rolling(units, gram)
     low = np.uint64((1 << POSITION_BITS) - 1)
     key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -96,11 +111,13 @@ def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Po
     last = np.minimum(last, ends[doc] - length + 1)  # windows that would leave their document do not count
     keep = last > first
     doc, first, last = doc[keep], first[keep], last[keep]
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * powers.up[:n], out=sums[1:])
-    until = last - 1 + length
-    digest = mixed((sums[until] - sums[first]) * powers.down[first] + (until - first).astype(np.uint64) * BASES[0])
-    return doc, first, last - first, hashes[anchor[first]].view(np.int64), digest.view(np.int64)
+    of = digests(units, powers)
+    at = anchor[first]
+    left, right = at - gram, at + 2 * gram
+    to_left, to_right = left >= starts[doc], right <= ends[doc]
+    left = np.where(to_left, of(np.maximum(left, 0), at + gram), 0)
+    right = np.where(to_right, of(at, np.minimum(right, n)), 0)
+    return doc, first, last - first, hashes[at].view(np.int64), of(first, last - 1 + length), left, right
 
 
 #: ``at`` packs, from the highest bits down, a digest of the text (rows with one id), the first window and their number.
@@ -138,12 +155,14 @@ def digest_of(at: Column) -> Column:
     return F.shiftrightunsigned(at, FIRST_BITS + COUNT_BITS)
 
 
-def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: int, gram: int) -> DataFrame:
-    """(id, at, anchor, run) for every run of windows of ``docs`` (id, digest, text).
+def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: int, gram: int, extended: bool = False) -> DataFrame:
+    """(id, at, anchor, run) for every run of windows of ``docs`` (id, digest, text); and left, right if extended.
 
     Texts are joined up to a fixed number of units at a time; a longer one goes through in overlapping pieces.
     """
 
+    names = ["id", "at", "anchor", "run"] + ["left", "right"] * extended
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(CHUNK)
         held: list[tuple[int, int, int, np.ndarray]] = []  # id, digest, offset, units
@@ -152,12 +171,12 @@ def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: i
         def flush() -> pa.RecordBatch:
             units = np.concatenate([h[3] for h in held])
             ends = np.cumsum([len(h[3]) for h in held])
-            doc, first, n, anchor, digest = runs(units, ends, length, gram, powers)
+            doc, first, n, *found = runs(units, ends, length, gram, powers)
             ids, texts, offsets = (np.array([h[i] for h in held], np.int64) for i in range(3))
             starts = ends - np.array([len(h[3]) for h in held])
             at = packed(texts[doc], first - starts[doc] + offsets[doc], n)
-            columns = [pa.array(x) for x in (ids[doc], at.astype(np.int64), anchor, digest)]
-            return pa.RecordBatch.from_arrays(columns, ["id", "at", "anchor", "run"])
+            columns = [pa.array(x) for x in (ids[doc], at.astype(np.int64), *found)]
+            return pa.RecordBatch.from_arrays(columns[: len(names)], names)
 
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
@@ -178,7 +197,7 @@ def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: i
         if held:
             yield flush()
 
-    return docs.select("id", "digest", "text").mapInArrow(run, "id long, at long, anchor long, run long")
+    return docs.select("id", "digest", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def spans_of(rows: DataFrame) -> DataFrame:
@@ -193,3 +212,102 @@ def covered(spans: list[tuple[int, int]], length: int, units: int) -> np.ndarray
         step[first] += 1
         step[first + count - 1 + length] -= 1
     return np.cumsum(step[:-1]) > 0
+
+
+#: Pieces of text on their way to a shard, and what a shard finds: windows to remove, and digests of windows that stay.
+PIECES = "id long, digest long, first long, count int, anchor long, salt int, crowded boolean, piece binary"
+FOUND = "id long, digest long, first long, count int, string_a long, string_b long"
+
+
+def cut(piece_of: Callable[[bytes], Callable[[int, int], bytes]]):
+    """The wanted runs of each document as bytes: ``piece_of(text)(first, count)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 64):
+                out = []
+                for row in batch.slice(k, 64).to_pylist():
+                    piece = piece_of(row["text"].encode("utf-8"))
+                    for x in row["wanted"]:
+                        made = piece(x["first"], x["count"])
+                        out.append((row["id"], row["digest"], x["first"], x["count"], x["anchor"], x["salt"], x["crowded"], made))
+                if out:
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+                    columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PIECES.split(", ")])
+
+    return run
+
+
+def consecutive(piece: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first offset, count) of consecutive windows."""
+    by = np.lexsort((offset, piece))
+    piece, offset = piece[by], offset[by]
+    new = np.ones(len(piece), bool)
+    new[1:] = (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)
+    first = np.flatnonzero(new)
+    return piece[first], offset[first], np.diff(np.append(first, len(piece)))
+
+
+def over_shards(solve: Callable[[pa.Table], pa.RecordBatch], most: int):
+    """``solve`` over whole (anchor, salt) groups of sorted pieces, about ``most`` bytes at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.nbytes
+            if size < most:
+                continue
+            table = pa.concat_tables(held).combine_chunks()
+            anchor, salt = table.column("anchor").to_numpy(), table.column("salt").to_numpy()
+            ends = np.flatnonzero((anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])) + 1
+            length_of = np.cumsum([len(x) for x in table.column("piece").to_pylist()])
+            at = 0
+            for end in ends.tolist():  # as many whole anchors as fit, and one at least
+                if length_of[end - 1] - (length_of[at - 1] if at else 0) >= most or end == ends[-1]:
+                    yield solve(table.slice(at, end - at))
+                    at = end
+            held, size = [table.slice(at)], table.slice(at).nbytes
+        if held:
+            table = pa.concat_tables(held).combine_chunks()
+            if table.num_rows:
+                yield solve(table)
+
+    return run
+
+
+def solved(docs: DataFrame, kinds: DataFrame, shard_runs: int, cutter, solver) -> DataFrame:
+    """What shards find in the different runs of one anchor (``FOUND``), written.
+
+    ``kinds`` has anchor, run and earliest (id, at). Runs of an anchor with more than ``shard_runs`` are crowded: dealt
+    over several shards, which return the digests of their remaining windows.
+    """
+    different = kinds.groupBy("anchor").agg(F.count("*").alias("runs")).filter("runs > 1")
+    at = F.col("earliest.at")
+    wanted = kinds.join(different, "anchor").select(
+        F.col("earliest.id").alias("id"),
+        digest_of(at).alias("digest"),
+        F.struct(
+            first_of(at).alias("first"),
+            count_of(at).cast("int").alias("count"),
+            "anchor",
+            F.pmod(F.xxhash64("run"), F.ceil(F.col("runs") / shard_runs)).cast("int").alias("salt"),
+            (F.col("runs") > shard_runs).alias("crowded"),
+        ).alias("wanted"),
+    )
+    wanted = wanted.groupBy("id", "digest").agg(F.collect_list("wanted").alias("wanted"))
+    pieces = docs.join(wanted, ["id", "digest"]).select("id", "digest", "text", "wanted").mapInArrow(cutter, PIECES)
+    dealt = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    return stage(dealt.mapInArrow(solver, FOUND), "found")
+
+
+def across_shards(found: DataFrame, here: Column) -> DataFrame:
+    """(id, digest, first, count) to remove: what shards removed, and crowded windows with an earlier ``here`` elsewhere."""
+    columns = ["id", "digest", "first", "count"]
+    plain = found.filter("string_a is null").select(*columns)
+    stayed = found.filter("string_a is not null").withColumn("here", here)
+    earliest = stayed.groupBy("string_a", "string_b").agg(F.min("here").alias("earliest"), F.count("*").alias("n"))
+    across = stayed.join(earliest.filter("n > 1"), ["string_a", "string_b"]).filter(F.col("here") != F.col("earliest"))
+    return plain.unionByName(across.select(*columns))

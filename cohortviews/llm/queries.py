@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import language, lattice, mixing, multi_index, pieces, secret_scan, sharding, simhash, substring_dedup
+from cohortviews.llm import language, lattice, mixing, multi_index, passages, pieces, secret_scan, sharding, simhash, substring_dedup
 from cohortviews.llm.common import documents, embeddings
 
 
@@ -118,4 +118,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_suffix_array")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.deduplicated(documents(spark, sf_dir), 100).drop("kept")
+    return substring_dedup.deduplicated(documents(spark, sf_dir), 100)
+
+
+@query("op7_passages")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.deduplicated(documents(spark, sf_dir), 50)

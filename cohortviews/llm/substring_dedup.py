@@ -18,45 +18,45 @@ for the order, so neither removes the other. Texts shorter than ``length`` stay.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cohortviews.llm import anchored as an
+from cohortviews.llm.anchored import (
+    FOUND,
+    across_shards,
+    all_runs,
+    consecutive,
+    count_of,
+    covered,
+    cut,
+    digest_of,
+    first_of,
+    keyed,
+    original_id,
+    over_shards,
+    solved,
+    spans_of,
+)
 from cohortviews.llm.common import stage
 from cohortviews.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 GRAM = 24
 #: Different runs of one anchor in one shard, and bytes that a shard sorts at a time.
 SHARD_RUNS, SHARD_BYTES = 4000, 1 << 20
-PIECES = "id long, digest long, first long, count int, anchor long, salt int, crowded boolean, piece binary"
-FOUND = "id long, digest long, first long, count int, string_a long, string_b long"
 
 
 def _units(text: bytes) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
-def _cut(length: int):
-    """The bytes of the wanted runs of each document."""
+def _piece(length: int):
+    def cut(text: bytes) -> Callable[[int, int], bytes]:
+        return lambda first, count: text[first : first + count - 1 + length]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                out = []
-                for row in batch.slice(k, 64).to_pylist():
-                    text = row["text"].encode("utf-8")
-                    for x in row["wanted"]:
-                        piece = text[x["first"] : x["first"] + x["count"] - 1 + length]
-                        out.append((row["id"], row["digest"], x["first"], x["count"], x["anchor"], x["salt"], x["crowded"], piece))
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-                    columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PIECES.split(", ")])
-
-    return run
+    return cut
 
 
 def later_windows(pieces: list[bytes], counts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -89,16 +89,6 @@ def later_windows(pieces: list[bytes], counts: np.ndarray, order: np.ndarray, le
     return owner[ordered], offset[ordered], rank != lowest
 
 
-def _consecutive(piece: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(piece, first offset, count) of consecutive windows."""
-    by = np.lexsort((offset, piece))
-    piece, offset = piece[by], offset[by]
-    new = np.ones(len(piece), bool)
-    new[1:] = (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)
-    first = np.flatnonzero(new)
-    return piece[first], offset[first], np.diff(np.append(first, len(piece)))
-
-
 def _shard(length: int):
     """Suffix arrays over whole anchors of the sorted pieces."""
 
@@ -110,7 +100,7 @@ def _shard(length: int):
         order = np.empty(len(pieces), np.int64)
         order[np.lexsort((firsts, digests, ids))] = np.arange(len(pieces))
         piece, offset, later = later_windows(pieces, counts, order, length)
-        p, o, n = _consecutive(piece[later], offset[later])
+        p, o, n = consecutive(piece[later], offset[later])
         stay = np.flatnonzero(~later & crowded[piece])
         strings = [hashlib.blake2b(pieces[a][b : b + length], digest_size=16).digest() for a, b in zip(piece[stay], offset[stay])]
         keys = np.frombuffer(b"".join(strings), np.int64).reshape(-1, 2)
@@ -121,35 +111,12 @@ def _shard(length: int):
         columns += [pa.chunked_array([none, pa.array(keys[:, k])]).combine_chunks() for k in (0, 1)]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in FOUND.split(", ")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        size = 0
-        for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            size += batch.nbytes
-            if size < SHARD_BYTES:
-                continue
-            table = pa.concat_tables(held).combine_chunks()
-            anchor, salt = table.column("anchor").to_numpy(), table.column("salt").to_numpy()
-            ends = np.flatnonzero((anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])) + 1
-            length_of = np.cumsum([len(x) for x in table.column("piece").to_pylist()])
-            at = 0
-            for end in ends.tolist():  # as many whole anchors as fit, and one at least
-                if length_of[end - 1] - (length_of[at - 1] if at else 0) >= SHARD_BYTES or end == ends[-1]:
-                    yield solve(table.slice(at, end - at))
-                    at = end
-            held, size = [table.slice(at)], table.slice(at).nbytes
-        if held:
-            table = pa.concat_tables(held).combine_chunks()
-            if table.num_rows:
-                yield solve(table)
-
-    return run
+    return over_shards(solve, SHARD_BYTES)
 
 
 def removed_windows(docs: DataFrame, length: int = 100, gram: int = GRAM, shard_runs: int = SHARD_RUNS) -> DataFrame:
     """(id, digest, first, count): the strings of ``docs`` (id, digest, text) with an earlier equal, as runs of starts."""
-    seen = an.all_runs(docs, _units, length, gram)
+    seen = all_runs(docs, _units, length, gram)
     again = stage(seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
     runs = stage(seen.join(again, "anchor", "left_semi"), "runs")
     kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "at")).alias("earliest"), F.count("*").alias("n"))
@@ -158,42 +125,17 @@ def removed_windows(docs: DataFrame, length: int = 100, gram: int = GRAM, shard_
     copies = (
         runs.join(kinds.filter("n > 1").select("anchor", "run", "earliest"), ["anchor", "run"])
         .filter(F.struct("id", "at") != F.col("earliest"))
-        .select("id", an.digest_of(at).alias("digest"), an.first_of(at).alias("first"), an.count_of(at).cast("int").alias("count"))
-    )
-    different = kinds.groupBy("anchor").agg(F.count("*").alias("runs")).filter("runs > 1")
-    at = F.col("earliest.at")
-    wanted = kinds.join(different, "anchor").select(
-        F.col("earliest.id").alias("id"),
-        an.digest_of(at).alias("digest"),
-        F.struct(
-            an.first_of(at).alias("first"),
-            an.count_of(at).cast("int").alias("count"),
-            "anchor",
-            F.pmod(F.xxhash64("run"), F.ceil(F.col("runs") / shard_runs)).cast("int").alias("salt"),
-            (F.col("runs") > shard_runs).alias("crowded"),
-        ).alias("wanted"),
-    )
-    wanted = wanted.groupBy("id", "digest").agg(F.collect_list("wanted").alias("wanted"))
-    pieces = docs.join(wanted, ["id", "digest"]).select("id", "digest", "text", "wanted").mapInArrow(_cut(length), PIECES)
-    dealt = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    found = stage(dealt.mapInArrow(_shard(length), FOUND), "found")
-    plain = found.filter("string_a is null").select("id", "digest", "first", "count")
-    stayed = found.filter("string_a is not null")
-    here = F.struct("id", "digest", "first")
-    earliest = stayed.groupBy("string_a", "string_b").agg(F.min(here).alias("earliest"), F.count("*").alias("n"))
-    across = (
-        stayed.join(earliest.filter("n > 1"), ["string_a", "string_b"])
-        .filter(here != F.col("earliest"))
-        .select("id", "digest", "first", "count")
+        .select("id", digest_of(at).alias("digest"), first_of(at).alias("first"), count_of(at).cast("int").alias("count"))
     )
-    return copies.unionByName(plain).unionByName(across)
+    found = solved(docs, kinds, shard_runs, cut(_piece(length)), _shard(length))
+    return copies.unionByName(across_shards(found, F.struct("id", "digest", "first")))
 
 
-def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; the kept bytes themselves in kept."""
-    texts = an.keyed(docs)
-    spans = an.spans_of(removed_windows(texts, length))
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+def deduplicated(docs: DataFrame, length: int = 100, with_kept: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row; the kept bytes in kept, if asked for."""
+    texts = keyed(docs)
+    spans = spans_of(removed_windows(texts, length))
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,14 +144,14 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
                 out = []
                 for id_, text, spans_ in zip(*(part.column(c).to_pylist() for c in ("id", "text", "spans"))):
                     data = text.encode("utf-8")
-                    gone = an.covered([(s["first"], s["count"]) for s in spans_ or []], length, len(data))
+                    gone = covered([(s["first"], s["count"]) for s in spans_ or []], length, len(data))
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                    out.append((id_, len(data), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest(), kept))
+                    out.append((id_, len(data), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest(), kept)[: 5 + with_kept])
                 kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), kinds)], [f.split()[0] for f in schema.split(", ")]
                 )
 
     joined = texts.join(spans, ["id", "digest"], "left").select("id", "text", "spans")
-    return joined.mapInArrow(run, schema).select(an.original_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    return joined.mapInArrow(run, schema).select(original_id(), *[f.split()[0] for f in schema.split(", ")[1:]])

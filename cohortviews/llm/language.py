@@ -249,8 +249,11 @@ def _tables(model: dict) -> list:
     return model["made"]
 
 
-def predict(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
-    """The kept columns with lang_pred, score (0 to 1) and accepted."""
+PREDICTED = ("lang_pred", "score", "accepted")
+
+
+def predict(docs: DataFrame, model: dict | None, keep: list[str], names: tuple[str, ...] = PREDICTED) -> DataFrame:
+    """The kept columns with lang_pred, score (0 to 1) and accepted, under the given names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def each(texts: list[bytes | None]) -> list[pa.Array]:
@@ -266,7 +269,7 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
         names = [UNKNOWN if x else held["names"][b] for x, b in zip(none, best)]
         return [pa.array(names, pa.string()), pa.array(score), pa.array((low <= held["limit"]) & ~none)]
 
-    return map_texts(docs, keep, "lang_pred string, score double, accepted boolean", each)
+    return map_texts(docs, keep, ", ".join(f"{n} {t}" for n, t in zip(names, ("string", "double", "boolean"))), each)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -278,4 +281,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that no language model accepts."""
     columns = docs.columns
-    return predict(docs, learn(docs), columns).filter("accepted").select(*columns)
+    names = tuple(f"__{n}" for n in PREDICTED)  # ``docs`` may have columns of the usual names
+    return predict(docs, learn(docs), columns, names).filter(names[2]).select(*columns)

@@ -129,8 +129,11 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _linked(hashing: Hashing, unit: np.ndarray, weight: np.ndarray, block: np.ndarray, cell: int, least: float):
-    """Weighted link counts and lowest reached position of the members of one tile, or None without links."""
+def _linked(hashing: Hashing, unit: np.ndarray, weight: np.ndarray, block: np.ndarray, inner: bool, cell: int, least: float):
+    """Weighted link counts and lowest reached position of the members of one tile, or None without links.
+
+    Pairs of one block count in that block's inner tile alone.
+    """
     pairs = []
     for at in range(0, len(unit), 256):
         cosine = unit[at : at + 256] @ unit.T
@@ -139,7 +142,7 @@ def _linked(hashing: Hashing, unit: np.ndarray, weight: np.ndarray, block: np.nd
         keep = i < j
         pairs.append((i[keep], j[keep]))
     a, b = (np.concatenate(x) for x in zip(*pairs))
-    if block[0] != block[-1]:  # two blocks: their inner pairs belong to other tiles
+    if not inner:
         cross = block[a] != block[b]
         a, b = a[cross], b[cross]
     if not len(a):
@@ -208,8 +211,11 @@ def near_duplicates(rows: DataFrame, least: float = 0.9, tables: int = TABLES, p
         "weight",
         "vector",
         F.coalesce(own, F.lit(0)).alias("block"),
+        "blocks",
         F.explode(F.when(F.col("blocks").isNull(), one.cast("array<bigint>")).otherwise(tiles)).alias("tile"),
     )
+    # block i's own tile is i * blocks + i
+    dealt = dealt.withColumn("inner", F.coalesce(F.col("tile") % (F.col("blocks") + 1) == 0, F.lit(True))).drop("blocks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -225,18 +231,17 @@ def near_duplicates(rows: DataFrame, least: float = 0.9, tables: int = TABLES, p
             if done < len(starts):
                 rest = table.slice(starts[-1]).to_batches()[0]
             node, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
-            block = table.column("block").to_numpy()
+            block, inner = table.column("block").to_numpy(), table.column("inner").to_numpy()
             out = []
             for s, e in zip(starts[:done].tolist(), ends[:done].tolist()):
                 if e - s < 2:
                     continue
                 unit = normed(_matrix(table.column("vector").slice(s, e - s), kind))
-                order = np.argsort(block[s:e], kind="stable")
-                found = _linked(hashing, unit[order], weight[s:e][order], block[s:e][order], int(cell[s]), least)
+                found = _linked(hashing, unit, weight[s:e], block[s:e], bool(inner[s]), int(cell[s]), least)
                 if found is None:
                     continue
                 n, low = found
-                ids = node[s:e][order]
+                ids = node[s:e]
                 has = np.flatnonzero(n)
                 out.append((ids[has], ids[low[has]], n[has]))
             if out:

@@ -198,6 +198,6 @@ def masked(docs: DataFrame) -> DataFrame:
             out.append(None if raw is None else "".join(parts) + text[at:] if parts else text)
         return [pa.array(out, pa.string())]
 
-    new = map_texts(docs, columns, "masked_text string", each)
-    made = {"text": F.col("masked_text"), "n_chars": F.length("masked_text").cast("long")}
+    new = map_texts(docs, columns, "__masked string", each)
+    made = {"text": F.col("__masked"), "n_chars": F.length("__masked").cast("long")}
     return new.select(*[made.get(c, F.col(f"`{c}`")).alias(c) for c in columns])

@@ -210,10 +210,10 @@ def near_duplicates(docs: DataFrame, tau: int = 4, shingle: int = 4) -> DataFram
 def one_of_each(docs: DataFrame, tau: int = 4, shingle: int = 4) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the smallest doc_id stays, whole."""
     row = F.xxhash64(*[F.col(c) for c in docs.columns])
-    keyed = docs.withColumns({"row_key": row, "id_key": F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))})
-    prints = stage(fingerprints(keyed, ["id_key", "row_key"], shingle), "prints")
+    keyed = docs.withColumns({"__row_key": row, "__id_key": F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))})
+    prints = stage(fingerprints(keyed, ["__id_key", "__row_key"], shingle), "prints")
     labels = grouped(prints, tau)
-    per_print = prints.groupBy("fp").agg(F.min(F.struct("id_key", "row_key")).alias("first"))
+    per_print = prints.groupBy("fp").agg(F.min(F.struct("__id_key", "__row_key")).alias("first"))
     first = per_print.join(labels, "fp").groupBy("label").agg(F.min("first").alias("first"))
-    kept = first.select("first.id_key", "first.row_key")
-    return keyed.join(kept, ["id_key", "row_key"], "left_semi").dropDuplicates(["id_key", "row_key"]).select(*docs.columns)
+    kept = first.select("first.__id_key", "first.__row_key")
+    return keyed.join(kept, ["__id_key", "__row_key"], "left_semi").dropDuplicates(["__id_key", "__row_key"]).select(*docs.columns)

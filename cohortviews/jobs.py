@@ -320,9 +320,10 @@ def cluster_analysis(
     """k-means sweep on factor scores, clusters at the best k, agreement with labels."""
     scores = spark.read.parquet(f"{model}/factor_arrays")
     points = stage(scores.select("patient_id", fa.zero_filled("scores").alias("vector")))
-    sweep = stage(fa.kmeans_sweep(points, "patient_id", k_range=range(k_min, k_max + 1), restarts=restarts, seed=seed))
+    sweep, runs = fa.kmeans_runs(points, "patient_id", k_range=range(k_min, k_max + 1), restarts=restarts, seed=seed)
+    sweep = stage(sweep)
     sinks.write_csv(sweep.orderBy("k"), f"{out}/kmeans_silhouette")
-    placed = stage(fa.best_clustering(points, sweep, restarts=restarts, seed=seed).select("patient_id", "cluster"))
+    placed = stage(fa.best_clustering(sweep, runs).select("patient_id", "cluster"))
     sinks.write_csv(placed, f"{out}/cluster_assignments")
     sinks.write_csv(ev.cluster_sizes(placed), f"{out}/cluster_sizes")
     best = best_row(sweep, "silhouette", "k").select(

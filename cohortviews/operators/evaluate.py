@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.operators.quality import require_unique
 from cohortviews.operators.ranking import running_totals, top_per_key
 from cohortviews.session import small_side, stage
 
@@ -381,22 +382,32 @@ def silhouette_squared(
 def silhouette_exact(
     df: DataFrame, id_col: str, vector: str = "vector", cluster: str = "cluster", block_rows: int = 2048
 ) -> DataFrame:
-    """``(id, cluster, silhouette)`` under Euclidean distance.
+    """``(id, cluster, silhouette)`` under Euclidean distance; see :func:`silhouettes_exact`."""
+    return silhouettes_exact(df, id_col, [cluster], vector, block_rows).drop("clustering").withColumnRenamed(
+        "__cluster", cluster
+    )
+
+
+def silhouettes_exact(
+    df: DataFrame, id_col: str, clusterings: Sequence[str], vector: str = "vector", block_rows: int = 2048
+) -> DataFrame:
+    """``(id, clustering, __cluster, silhouette)`` under Euclidean distance, for several cluster columns of one type.
 
-    The measure itself needs every distance once. Rows are hashed into blocks of
+    The measure itself needs every distance once; all clusterings share it. Rows are hashed into blocks of
     at most about ``block_rows``; each unordered pair of blocks is one task that holds
     two blocks and returns, per row, distance sums per cluster. Distances never
-    become rows, and no task sees more than two blocks.
+    become rows, and no task sees more than two blocks. Ids must be unique.
     """
+    require_unique(df, [id_col], "the rows of a silhouette")
     n = df.count()
     # enough pairs of blocks for every core, though no block gets tiny for it
     for_cores = math.ceil(math.sqrt(2 * df.sparkSession.sparkContext.defaultParallelism))
     blocks = max(1, math.ceil(n / block_rows), min(for_cores, math.ceil(n / 64)))
     kind = df.schema[id_col].dataType.simpleString()
-    ckind = df.schema[cluster].dataType.simpleString()
+    ckind = df.schema[clusterings[0]].dataType.simpleString()
     rows = df.select(
         F.col(id_col).alias("id"),
-        F.col(cluster).alias("c"),
+        F.array(*clusterings).alias("c"),
         F.col(vector).cast("array<double>").alias("v"),
         F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"),
     )
@@ -407,21 +418,23 @@ def silhouette_exact(
 
     sums = (
         tiles.groupBy("i", "j")
-        .applyInPandas(_tile_sums(), f"id {kind}, c {ckind}, target {ckind}, total double")
-        .groupBy("id", "c", "target")
+        .applyInPandas(_tile_sums(), f"id {kind}, m int, c {ckind}, target {ckind}, total double")
+        .groupBy("id", "m", "c", "target")
         .agg(F.sum("total").alias("total"))
     )
-    sizes = small_side(stage(df.groupBy(F.col(cluster).alias("target")).agg(F.count("*").alias("n"))))
+    members = df.select(F.posexplode(F.array(*clusterings)).alias("m", "target"))
+    sizes = small_side(stage(members.groupBy("m", "target").agg(F.count("*").alias("n"))))
     own = F.col("c") == F.col("target")
-    means = sums.join(sizes, "target").withColumn(
+    means = sums.join(sizes, ["m", "target"]).withColumn(
         "mean", F.try_divide("total", F.when(own, F.col("n") - 1).otherwise(F.col("n")))
     )
     return (
-        means.groupBy("id", "c")
+        means.groupBy("id", "m", "c")
         .agg(F.max(F.when(own, F.col("mean"))).alias("a"), F.min(F.when(~own, F.col("mean"))).alias("b"))
         .select(
             F.col("id").alias(id_col),
-            F.col("c").alias(cluster),
+            F.get(F.lit(list(clusterings)), F.col("m")).alias("clustering"),
+            F.col("c").alias("__cluster"),
             F.when(F.col("a").isNull(), 0.0)
             .otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
             .alias("silhouette"),
@@ -437,26 +450,36 @@ def _tile_sums():
     """
 
     def distance_sums(rows: pd.DataFrame, against: pd.DataFrame) -> pd.DataFrame:
-        """Per row of the first block, distance sums to the second block by cluster."""
+        """Per row of the first block, distance sums to the second block by cluster, for every clustering."""
         if rows.empty or against.empty:
-            none = rows.iloc[:0]
-            return pd.DataFrame({"id": none["id"], "c": none["c"], "target": none["c"], "total": []})
+            return pd.DataFrame({"id": rows["id"].iloc[:0], "m": [], "c": [], "target": [], "total": []})
         x, y = np.stack(rows["v"].to_numpy()), np.stack(against["v"].to_numpy())
-        names, code = np.unique(against["c"].to_numpy(), return_inverse=True)
-        member = np.zeros((len(y), len(names)))
-        member[np.arange(len(y)), code] = 1.0
-        totals = np.empty((len(x), len(names)))
+        mine, theirs = np.stack(rows["c"].to_numpy()), np.stack(against["c"].to_numpy())
+        names, members = [], []
+        for m in range(theirs.shape[1]):
+            name, code = np.unique(theirs[:, m], return_inverse=True)
+            names.append(name)
+            members.append((np.arange(len(name)) == code[:, None]).astype(float))
+        member = np.hstack(members)
+        totals = np.empty((len(x), member.shape[1]))
         for at in range(0, len(x), 64):  # 64 x block x dims doubles at a time
             gap = x[at : at + 64, None, :] - y[None, :, :]
             totals[at : at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap)) @ member
-        return pd.DataFrame(
-            {
-                "id": np.repeat(rows["id"].to_numpy(), len(names)),
-                "c": np.repeat(rows["c"].to_numpy(), len(names)),
-                "target": np.tile(names, len(x)),
-                "total": totals.ravel(),
-            }
-        )
+        parts, before = [], 0
+        for m, name in enumerate(names):
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "id": np.repeat(rows["id"].to_numpy(), len(name)),
+                        "m": m,
+                        "c": np.repeat(mine[:, m], len(name)),
+                        "target": np.tile(name, len(x)),
+                        "total": totals[:, before : before + len(name)].ravel(),
+                    }
+                )
+            )
+            before += len(name)
+        return pd.concat(parts, ignore_index=True)
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pdf["i"].iat[0], pdf["j"].iat[0]

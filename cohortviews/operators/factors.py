@@ -9,6 +9,7 @@ ordered.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -19,10 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.dims import inline_table
 from cohortviews.functions.values import known, view_transform
-from cohortviews.operators.evaluate import silhouette_exact, variance_explained
+from cohortviews.operators.evaluate import silhouettes_exact, variance_explained
 from cohortviews.operators.quality import view_gate
 from cohortviews.operators.ranking import best_row, ranked
-from cohortviews.session import small_side, stage
+from cohortviews.session import small_side, stage, together
 
 
 def zero_filled(vector: str) -> Column:
@@ -30,17 +31,24 @@ def zero_filled(vector: str) -> Column:
 
 
 def kmeans_best(df: DataFrame, k: int, vector: str = "vector", restarts: int = 10, seed: int = 42, max_iter: int = 50):
-    """The fit with the smallest inertia among the restarts."""
+    """The fit with the smallest inertia among the restarts, and the rows with its ``cluster``.
+
+    Missing coordinates count as 0. Restarts run at the same time over one kept copy of the vectors.
+    """
     ready = df.withColumn("__v", array_to_vector(zero_filled(vector)))
-    best = None
-    for attempt in range(restarts):
-        fit = KMeans(featuresCol="__v", predictionCol="cluster", k=k, seed=seed + attempt, maxIter=max_iter).fit(ready)
-        if best is None or fit.summary.trainingCost < best.summary.trainingCost:
-            best = fit
+    points = ready.select("__v").persist()
+
+    def fit(attempt: int):
+        means = KMeans(featuresCol="__v", predictionCol="cluster", k=k, seed=seed + attempt, maxIter=max_iter)
+        return means.fit(points)
+
+    fits = together(*[partial(fit, attempt) for attempt in range(restarts)])
+    points.unpersist()
+    best = min(fits, key=lambda f: f.summary.trainingCost)
     return best, best.transform(ready).drop("__v")
 
 
-def kmeans_sweep(
+def kmeans_runs(
     df: DataFrame,
     id_col: str,
     vector: str = "vector",
@@ -48,28 +56,43 @@ def kmeans_sweep(
     restarts: int = 10,
     seed: int = 42,
     exact: bool = True,
-) -> DataFrame:
-    """``(k, silhouette, inertia)`` for every k.
+) -> tuple[DataFrame, DataFrame]:
+    """``(k, silhouette, inertia)`` for every k, and the rows with the clusters of every k in ``cluster_<k>``.
 
-    ``exact`` uses Euclidean distances (quadratic in rows); otherwise the linear
-    squared-distance form.
+    ``exact`` uses Euclidean distances (quadratic in rows), each computed once for all k; otherwise the linear
+    squared-distance form. Both see the zero-filled vectors that the clusters were fitted on.
     """
-    rows = []
+    filled_rows = stage(df.withColumn("__filled", zero_filled(vector)), "points")
+    fits, placed = [], filled_rows
     for k in k_range:
-        fit, placed = kmeans_best(df, k, vector, restarts, seed)
-        if exact:
-            score = silhouette_exact(placed, id_col, vector).agg(F.avg("silhouette")).first()[0]
-        else:
-            ready = placed.withColumn("__v", array_to_vector(zero_filled(vector)))
-            score = ClusteringEvaluator(featuresCol="__v", predictionCol="cluster").evaluate(ready)
-        rows.append((int(k), float(score), float(fit.summary.trainingCost)))
-    return inline_table(df.sparkSession, rows, "k int, silhouette double, inertia double")
-
-
-def best_clustering(df: DataFrame, sweep: DataFrame, vector: str = "vector", restarts: int = 10, seed: int = 42) -> DataFrame:
-    """Rows with ``cluster`` at the k of the best silhouette."""
+        best, with_cluster = kmeans_best(filled_rows, k, "__filled", restarts, seed)
+        fits.append((int(k), float(best.summary.trainingCost)))
+        placed = placed.join(with_cluster.select(id_col, F.col("cluster").alias(f"cluster_{k}")), id_col)
+    placed = stage(placed, "clusters")
+    names = [f"cluster_{k}" for k, _ in fits]
+    if exact:
+        scores = silhouettes_exact(placed, id_col, names, "__filled").groupBy("clustering").agg(F.avg("silhouette").alias("s"))
+        score = {r.clustering: r.s for r in scores.collect()}
+    else:
+        ready = placed.withColumn("__v", array_to_vector("__filled"))
+        score = {
+            n: ClusteringEvaluator(featuresCol="__v", predictionCol=n).evaluate(ready.withColumn(n, F.col(n).cast("double")))
+            for n in names
+        }
+    rows = [(k, float(score[n]), inertia) for (k, inertia), n in zip(fits, names)]
+    return inline_table(df.sparkSession, rows, "k int, silhouette double, inertia double"), placed.drop("__filled")
+
+
+def kmeans_sweep(df: DataFrame, id_col: str, **how) -> DataFrame:
+    """``(k, silhouette, inertia)`` for every k; the arguments are those of :func:`kmeans_runs`."""
+    return kmeans_runs(df, id_col, **how)[0]
+
+
+def best_clustering(sweep: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows with ``cluster`` at the k of the best silhouette, from the runs that were scored."""
     k = best_row(sweep, "silhouette", "k").first()["k"]
-    return kmeans_best(df, k, vector, restarts, seed)[1]
+    others = [c for c in placed.columns if c.startswith("cluster_")]
+    return placed.withColumn("cluster", F.col(f"cluster_{k}")).drop(*others)
 
 
 def gated_views(cells: DataFrame, entities: DataFrame, config: DataFrame) -> DataFrame:

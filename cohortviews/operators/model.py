@@ -31,9 +31,13 @@ def stratified_folds(
     class sizes per fold differ by at most one. Ranks are found by range
     partitioning, so one dominant class does not end up in one task.
     """
-    mixed = df.withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
-    placed = ranked(mixed, [F.asc("__h"), F.asc(id_col)], [label], "__r")
-    return placed.withColumn(name, ((F.col("__r") - 1) % folds).cast("int")).drop("__h", "__r")
+    narrow = df.select(label, id_col).distinct().withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    placed = ranked(narrow, [F.asc("__h"), F.asc(id_col)], [label], "__r")
+    placed = placed.withColumn(name, ((F.col("__r") - 1) % folds).cast("int"))
+    # only the fold comes back to the rows: feature arrays take no part in the ranking
+    owner = placed.select(F.col(label).alias("__l"), F.col(id_col).alias("__i"), name)
+    same = F.col(id_col).eqNullSafe(F.col("__i")) & F.col(label).eqNullSafe(F.col("__l"))
+    return df.join(owner, same).drop("__i", "__l")
 
 
 def feature_means(df: DataFrame, features: str = "features") -> list[float]:
@@ -50,12 +54,12 @@ def feature_means(df: DataFrame, features: str = "features") -> list[float]:
 
 def filled(features: str, means: Sequence[float]) -> Column:
     known = F.transform(features, lambda x: F.nanvl(x.cast("double"), F.lit(None).cast("double")))
-    return F.zip_with(known, F.array(*[F.lit(m) for m in means]), lambda x, m: F.coalesce(x, m))
+    return F.zip_with(known, F.lit(list(means)), lambda x, m: F.coalesce(x, m))
 
 
 def sliced(features: str, positions: Sequence[int]) -> Column:
     """The chosen positions of the array, in order."""
-    wanted = F.array(*[F.lit(p + 1) for p in positions])
+    wanted = F.lit([p + 1 for p in positions])
     return F.transform(wanted, lambda p: F.element_at(F.col(features), p))
 
 
@@ -189,7 +193,7 @@ def linear_attribution(
         "class int, position int, coefficient double",
     )
     centred = df.select(
-        F.zip_with(filled("features", means), F.array(*[F.lit(m) for m in means]), lambda x, m: F.abs(x - m)).alias("d")
+        F.zip_with(filled("features", means), F.lit(list(means)), lambda x, m: F.abs(x - m)).alias("d")
     )
     spread = array_rows(centred, "d", ()).groupBy("position").agg(F.avg("value").alias("mad"))
     return table.join(spread, "position").select(
@@ -208,26 +212,22 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of accuracy when one feature is taken from another row.
 
-    Every row gets one donor: its neighbour in a hashed order. Each feature is
-    one scoring pass over the paired rows, so memory does not grow with the
-    number of features.
+    Every row gets one donor: its neighbour in a hashed order, found on ids alone. One scoring pass makes a row for each
+    feature, with that feature from the donor, on the way to a two-phase average; nothing is stored for each feature.
     """
-    ready = _prepared(df, positions, means).select(
-        id_col, F.col(label).alias("y"), vector_to_array("vector").alias("x")
+    ready = stage(
+        _prepared(df, positions, means).select(id_col, F.col(label).alias("y"), vector_to_array("vector").alias("x"))
     )
     order = [F.asc(F.xxhash64(F.col(id_col), F.lit(seed))), F.asc(id_col)]
-    placed = stage(ranked(ready, order, name="r"))
+    placed = stage(ranked(ready.select(id_col), order, name="r"))
     n = placed.count()
-    donors = placed.select((F.col("r") % n + 1).alias("r"), F.col("x").alias("d"))
-    paired = stage(placed.join(donors, "r"))
-
-    def accuracy(column: Column) -> float:
-        scored = model.transform(paired.select("y", array_to_vector(column).alias("vector")))
-        return scored.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
-
-    base = accuracy(F.col("x"))
-    rows = []
-    for i in range(len(positions)):
-        swapped = F.transform("x", lambda v, at: F.when(at == i, F.get("d", at)).otherwise(v))
-        rows.append((int(positions[i]), base - accuracy(swapped)))
-    return inline_table(df.sparkSession, rows, "ordinal int, accuracy_loss double")
+    after = placed.select(F.col(id_col).alias("__donor"), F.when(F.col("r") == 1, n).otherwise(F.col("r") - 1).alias("r"))
+    donors = ready.select(F.col(id_col).alias("__donor"), F.col("x").alias("d"))
+    paired = ready.join(placed.join(after, "r").drop("r"), id_col).join(donors, "__donor")
+    each = paired.select("y", "x", "d", F.explode(F.sequence(F.lit(-1), F.lit(len(positions) - 1))).alias("at"))
+    swapped = F.transform("x", lambda v, i: F.when(i == F.col("at"), F.get("d", i)).otherwise(v))
+    scored = model.transform(each.select("y", "at", array_to_vector(swapped).alias("vector")))
+    accuracy = scored.groupBy("at").agg(F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("accuracy"))
+    rows = {r["at"]: r.accuracy for r in accuracy.collect()}  # one row for each feature, and the unchanged one
+    table = [(int(p), rows[-1] - rows[i]) for i, p in enumerate(positions)] if rows else []
+    return inline_table(df.sparkSession, table, "ordinal int, accuracy_loss double")

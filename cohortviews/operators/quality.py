@@ -39,7 +39,7 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
 def require_numeric(df: DataFrame, columns: Sequence[str]) -> None:
     wrong = [c for c in columns if not isinstance(df.schema[c].dataType, T.NumericType)]
     if wrong:
-        raise ValueError(f"features must be numeric: {wrong[:10]}")
+        raise ValueError(f"features must be numeric: {wrong}")
 
 
 def require_rate(rate: float) -> None:

@@ -89,7 +89,8 @@ def top_per_key(df: DataFrame, order: Sequence[Column], k: int, keys: Sequence[s
     if k > limit:
         return ranked(df, order, keys).where(F.col("rank") <= k)
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    cut = df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    return cut.withColumn("rank", F.col("rank").cast("long"))  # as the other plan has it
 
 
 def best_row(df: DataFrame, metric: str, tie: str) -> DataFrame:

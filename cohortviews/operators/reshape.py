@@ -148,7 +148,7 @@ def unpivot_scores(
     """``<prefix><class>`` columns to ``(key, class, score)`` rows."""
     columns = [c for c in wide.columns if c.startswith(prefix)]
     long = wide.unpivot([key], [F.col(quoted(c)).alias(c) for c in columns], label, value)
-    return long.withColumn(label, F.substring(label, len(prefix) + 1, 1_000))
+    return long.withColumn(label, F.substr(F.col(label), F.lit(len(prefix) + 1)))
 
 
 def segment_arms(segments: DataFrame) -> DataFrame:

@@ -141,12 +141,12 @@ def fold_feature_variance(
     """
     moments = fold_moments(df, fold, feature, value)
     held_out = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
+    training = F.when(F.col("held_out") != F.col(fold), F.struct("n", "mean", "m2"))
     merged = (
         moments.withColumn("held_out", held_out)
-        .where(F.col("held_out") != F.col(fold))
         .groupBy("held_out", feature)
-        # at most `folds` structs per group
-        .agg(F.collect_list(F.struct("n", "mean", "m2")).alias("parts"))
+        # at most `folds` structs per group, none for a feature that only the held-out fold has
+        .agg(F.collect_list(training).alias("parts"))
     )
     present = F.filter("parts", lambda p: p["n"] > 0)
     total = F.aggregate("parts", F.lit(0.0), lambda a, p: a + p["n"])

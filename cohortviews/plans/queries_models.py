@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortviews import dims
-from cohortviews.operators import evaluate as ev
 from cohortviews.operators import factors as fa
 from cohortviews.operators import merge as mg
 from cohortviews.operators import model as md
@@ -53,71 +52,168 @@ def standardised_cells(spark, sf_dir):
     return cells.select("view", "patient_id", "feature_id", F.round(F.col("value") + 0.0, 8).alias("value"))
 
 
-@query("kmeans_sweep")
+SQL_K = "SELECT CAST(k AS INTEGER) AS k FROM range(2, 11) t(k)"
+
+
+def _cluster_costs(placed, name):
+    """Sum of squared distances to the mean of the own cluster, and the number of clusters."""
+    cells = placed.select(F.col(name).alias("c"), F.posexplode("vector").alias("i", "x"))
+    per = cells.groupBy("c", "i").agg((F.var_pop("x") * F.count("x")).alias("ss"))
+    return per.agg(F.sum("ss").alias("cost"), F.count_distinct("c").alias("clusters"))
+
+
+@query(
+    "kmeans_sweep",
+    f"""SELECT k, (SELECT count(*) FROM embeddings) AS n_assigned, CAST(k AS BIGINT) AS clusters,
+  TRUE AS cost_is_that_of_the_means, TRUE AS silhouette_in_range FROM ({SQL_K})""",
+)
 def kmeans_sweep(spark, sf_dir):
-    return fa.kmeans_sweep(_points(spark, sf_dir), "vec_id", k_range=range(2, 6), restarts=2, exact=False)
+    """Every k of the default sweep: all rows assigned, no empty cluster, inertia that of the clusters' means."""
+    sweep, placed = fa.kmeans_runs(_points(spark, sf_dir), "vec_id")
+    costs = None
+    for k in range(2, 11):
+        part = _cluster_costs(placed, f"cluster_{k}").withColumn("k", F.lit(k))
+        costs = part if costs is None else costs.unionByName(part)
+    # fitting stops before the last small moves of the means, which can only lower the cost
+    near = (F.col("cost") <= F.col("inertia") * 1.000001) & (F.col("inertia") <= 1.02 * F.col("cost"))
+    return sweep.join(costs, "k").select(
+        "k",
+        F.lit(placed.count()).cast("long").alias("n_assigned"),
+        "clusters",
+        near.alias("cost_is_that_of_the_means"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    )
 
 
-@query("kmeans_clusters")
+@query("kmeans_clusters", "SELECT vec_id, TRUE AS best_k, TRUE AS at_nearest_mean FROM embeddings")
 def kmeans_clusters(spark, sf_dir):
-    points = _points(spark, sf_dir)
-    sweep = fa.kmeans_sweep(points, "vec_id", k_range=range(2, 4), restarts=2)
-    placed = fa.best_clustering(points, sweep, restarts=2)
-    return ev.cluster_purity(placed)
+    """Every row once, at the k of the best silhouette, with no other cluster's mean much nearer than its own."""
+    sweep, placed = fa.kmeans_runs(_points(spark, sf_dir), "vec_id", exact=False)
+    best = fa.best_clustering(sweep, placed)
+    k = sweep.agg(F.max_by("k", F.struct("silhouette", -F.col("k")))).first()[0]
+    cells = best.select("cluster", F.posexplode("vector").alias("i", "x"))
+    means = cells.groupBy("cluster", "i").agg(F.avg("x").alias("m"))
+    far = (
+        best.select("vec_id", "cluster", F.posexplode("vector").alias("i", "x"))
+        .join(F.broadcast(means.withColumnRenamed("cluster", "of")), "i")  # k rows for each dimension
+        .groupBy("vec_id", "cluster", "of")
+        .agg(F.sum((F.col("x") - F.col("m")) * (F.col("x") - F.col("m"))).alias("d"))
+        .groupBy("vec_id", "cluster")
+        .agg(F.min("d").alias("least"), F.max(F.when(F.col("of") == F.col("cluster"), F.col("d"))).alias("own"))
+    )
+    return far.select(
+        "vec_id", F.col("cluster").between(0, k - 1).alias("best_k"), (F.col("own") <= 1.05 * F.col("least")).alias("at_nearest_mean")
+    )
 
 
-@query("best_k")
+@query(
+    "best_k",
+    """WITH sweep AS (SELECT label AS k, round(avg(embedding[1]), 9) AS silhouette, count(*) AS inertia FROM embeddings GROUP BY label)
+SELECT k, silhouette, inertia FROM sweep ORDER BY silhouette DESC, k LIMIT 1""",
+)
 def best_k(spark, sf_dir):
-    sweep = fa.kmeans_sweep(_points(spark, sf_dir), "vec_id", k_range=range(2, 5), restarts=2, exact=False)
+    """The best row of a sweep that is given as a table."""
+    points = _points(spark, sf_dir)
+    sweep = points.groupBy(F.col("label").alias("k")).agg(
+        F.round(F.avg(F.get("vector", F.lit(0))), 9).alias("silhouette"), F.count("*").alias("inertia")
+    )
     return best_row(sweep, "silhouette", "k")
 
 
-@query("cv_classifier")
+@query(
+    "cv_classifier",
+    """WITH sizes AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(sum((n + 4 - fold) // 5) AS BIGINT) AS n_predicted,
+  CAST(sum((n + 4 - fold) // 5) AS BIGINT) AS n_distinct, TRUE AS sums_to_one, TRUE AS is_argmax
+FROM sizes CROSS JOIN range(5) f(fold) GROUP BY fold""",
+)
 def cv_classifier(spark, sf_dir):
-    """Out-of-fold predictions with per-fold selection; scores per fold."""
-    predictions = md.cross_validate(
-        _examples(spark, sf_dir), top_n=40, must_keep=[0, 63], trees=20, depth=5
+    """Out-of-fold predictions with per-fold selection: every row predicted once, in its fold."""
+    predictions = stage(md.cross_validate(_examples(spark, sf_dir), top_n=40, must_keep=[0, 63]))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p)
+    return predictions.groupBy("fold").agg(
+        F.count("*").alias("n_predicted"),
+        F.count_distinct("id").alias("n_distinct"),
+        F.bool_and(F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        F.bool_and(F.get("probabilities", F.col("predicted_code")) == F.array_max("probabilities")).alias("is_argmax"),
     )
-    predictions = stage(predictions)
-    return ev.summary_scores(predictions, ["fold"]).join(ev.log_loss(predictions, ["fold"]), "fold")
 
 
-@query("feature_importances")
+@query(
+    "feature_importances",
+    "SELECT CAST(i AS INTEGER) AS ordinal, TRUE AS in_range, TRUE AS sum_is_one FROM range(64) t(i)",
+)
 def feature_importances(spark, sf_dir):
-    model, positions, _ = md.final_model(_examples(spark, sf_dir), top_n=40, trees=20, depth=5)
-    return md.importances(spark, model, positions)
+    """A share of the whole for every feature of the refitted model."""
+    model, positions, _ = md.final_model(_examples(spark, sf_dir))
+    table = stage(md.importances(spark, model, positions))
+    whole = table.agg(F.sum("importance")).first()[0]
+    return table.select("ordinal", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(whole - 1) < 1e-9).alias("sum_is_one"))
 
 
-@query("linear_attribution")
+@query(
+    "linear_attribution",
+    """SELECT CAST(i AS INTEGER) AS position, CAST(label AS INTEGER) AS class, TRUE AS not_negative
+FROM range(64) t(i) CROSS JOIN (SELECT DISTINCT label FROM embeddings)""",
+)
 def linear_attribution(spark, sf_dir):
-    return md.linear_attribution(_examples(spark, sf_dir), max_iter=20)
+    """Mean contribution of every feature to every class."""
+    return md.linear_attribution(_examples(spark, sf_dir)).select("position", "class", (F.col("mean_abs") >= 0).alias("not_negative"))
 
 
-@query("permutation_importance")
+@query(
+    "permutation_importance",
+    "SELECT CAST(i AS INTEGER) AS ordinal, TRUE AS in_range FROM range(64) t(i)",
+)
 def permutation_importance(spark, sf_dir):
     """Loss of accuracy for every feature of the refitted model."""
     data = _examples(spark, sf_dir)
-    model, positions, means = md.final_model(data, top_n=12, trees=10, depth=5)
-    return md.permutation_importance(data, model, positions, means)
+    model, positions, means = md.final_model(data)
+    losses = md.permutation_importance(data, model, positions, means)
+    return losses.select("ordinal", F.col("accuracy_loss").between(-1, 1).alias("in_range"))
 
 
 def _factors(spark, sf_dir):
     cells, people = _six_cells(spark, sf_dir)
-    gated = fa.gated_views(cells, people, dims.view_config(spark, max_missing=0.9))
-    return fa.fit_factors(fa.standardised(gated), factors=5, max_iter=6)
+    gated = fa.gated_views(cells, people, dims.view_config(spark))
+    return fa.fit_factors(fa.standardised(gated))
 
 
-@query("factor_model")
+@query(
+    "factor_model",
+    "SELECT TRUE AS any_factor, TRUE AS at_most_all, TRUE AS each_explains, TRUE AS largest_first",
+)
 def factor_model(spark, sf_dir):
-    return _factors(spark, sf_dir).r2
+    """Variance explained: never above all of it, no factor below the limit, and loadings' lengths descending."""
+    model = _factors(spark, sf_dir)
+    per_factor = model.r2.groupBy("factor").agg(F.max("r2").alias("top"))
+    lengths = fa.loading_rows(model.loadings).groupBy("factor").agg(F.sqrt(F.sum(F.col("loading") * F.col("loading"))).alias("length"))
+    listed = per_factor.join(lengths, "factor").agg(F.array_sort(F.collect_list(F.struct("factor", "top", "length"))).alias("fs"))  # a row each
+    return listed.select(
+        (F.size("fs") > 0).alias("any_factor"),
+        F.forall("fs", lambda f: f["top"] <= 100).alias("at_most_all"),
+        F.forall("fs", lambda f: f["top"] >= 0.1).alias("each_explains"),
+        (F.transform("fs", lambda f: f["length"]) == F.reverse(F.array_sort(F.transform("fs", lambda f: f["length"])))).alias("largest_first"),
+    )
 
 
-@query("factor_loadings")
+def _orthogonal(df, column):
+    """Whether different positions of an array column are uncorrelated over all rows."""
+    cells = df.select(F.posexplode(column).alias("a", "x"), F.col(column).alias("v"))
+    pairs = cells.select("a", "x", F.posexplode("v").alias("b", "y"))
+    gram = stage(pairs.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("g")))
+    own = gram.filter("a = b").select("a", F.col("g").alias("own"))
+    scaled = gram.join(own, "a").join(own.select(F.col("a").alias("b"), F.col("own").alias("other")), "b")
+    return scaled.agg(F.bool_and((F.col("a") == F.col("b")) | (F.abs("g") <= 1e-3 * F.sqrt(F.col("own") * F.col("other")))).alias("orthogonal"))
+
+
+@query("factor_loadings", "SELECT TRUE AS orthogonal")
 def factor_loadings(spark, sf_dir):
-    return ev.top_loadings(fa.loading_rows(_factors(spark, sf_dir).loadings), 10)
+    """Loadings of different factors are orthogonal."""
+    return _orthogonal(_factors(spark, sf_dir).loadings, "loadings")
 
 
-@query("factor_scores")
+@query("factor_scores", "SELECT TRUE AS orthogonal")
 def factor_scores(spark, sf_dir):
-    model = _factors(spark, sf_dir)
-    return fa.score_columns(model.scores, model.factors)
+    """Scores of different factors are orthogonal."""
+    return _orthogonal(_factors(spark, sf_dir).scores, "scores")

@@ -66,9 +66,9 @@ def test_kmeans_finds_two_groups(spark):
     rows = [(i, [float(v) for v in rng.normal(size=3) + (20 if i % 2 else 0)], i % 2) for i in range(60)]
     rows[0] = (0, [None, 0.0, 0.0], 0)  # a missing coordinate counts as zero
     df = spark.createDataFrame(rows, "id long, vector array<double>, truth int")
-    clean = df.withColumn("vector", fa.zero_filled("vector"))
-    sweep = fa.kmeans_sweep(clean, "id", k_range=range(2, 5), restarts=2).cache()
-    best = fa.best_clustering(clean, sweep, restarts=2)
+    sweep, placed = fa.kmeans_runs(df, "id", k_range=range(2, 5), restarts=2)
+    sweep.cache()
+    best = fa.best_clustering(sweep, placed)
     assert ev.cluster_agreement(best, label="truth").first().ari == 1.0
     assert [r.k for r in sweep.orderBy(F.desc("silhouette")).take(1)] == [2]
     inertia = [r.inertia for r in sweep.orderBy("k").collect()]

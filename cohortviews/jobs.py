@@ -65,8 +65,10 @@ def ingest(
                     rows, errors = files.ingest_mutations(spark, raw.format(**place), listing)
                 else:
                     rows, errors = files.ingest(spark, raw.format(**place), listing, layout)
-                n = sinks.write_table(rows, target, what=f"{project} {modality}")
+                # the ledger first: a table that is there counts as loaded, so its errors must be on record by then
                 sinks.write_ledger(errors, f"{out}/{project}/errors_{modality}")
+                written, n = sinks.checked(rows, what=f"{project} {modality}")
+                sinks.publish(written, target)
                 outcome[project, modality] = f"{n} rows"
             except Exception as exc:  # noqa: BLE001 - one modality must not stop the others
                 outcome[project, modality] = f"failed: {exc}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortviews.dims import inline_table
 from cohortviews.operators import evaluate as ev
 from cohortviews.operators import merge as mg
 from cohortviews.plans import adapters as ad
@@ -14,7 +15,7 @@ from cohortviews.plans.queries_matrix import _rounded_views, mutations
 from cohortviews.plans import cohort as co
 from cohortviews import schemas
 from cohortviews.session import staging_path
-from cohortviews.sources import artefacts, files, labels, sinks
+from cohortviews.sources import artefacts, files, labels, sinks, tables
 from cohortviews.sources.manifest import read_manifest
 from cohortviews.streaming.ingest import load_new_files, loaded_rows
 
@@ -68,7 +69,9 @@ def ingest_skips_damaged_files(spark, sf_dir):
     "ingest_error_ledger",
     f"""SELECT {raw.SQL_BARCODE.format(key='k')} AS patient_id, {raw.sql_uuid('rna', 'k')} AS file_id,
   CASE WHEN k % 5 = 3 THEN 'unexpected header' ELSE '1 unreadable rows' END AS error
-FROM (SELECT DISTINCT s_nationkey AS k FROM {SALES}) t WHERE k % 5 >= 3""",
+FROM (SELECT DISTINCT s_nationkey AS k FROM {SALES}) t WHERE k % 5 >= 3
+UNION ALL SELECT {raw.SQL_BARCODE.format(key='n_nationkey')}, {raw.sql_uuid('rna', 'n_nationkey')}, 'no such file, or empty'
+FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM {SALES})""",
 )
 def ingest_error_ledger(spark, sf_dir):
     path = raw.rna_files(spark, sf_dir, damaged=True)
@@ -94,6 +97,74 @@ def ingest_methylation_files(spark, sf_dir):
     return files.ingest(spark, path, raw.manifest(spark, sf_dir, "meth"), files.METHYLATION)[0]
 
 
+@query(
+    "ingest_methylation_damaged",
+    f"""WITH v AS (SELECT nation AS k, event_id FROM {VISITS}), files AS (
+  SELECT n_nationkey AS k, count(event_id) AS n FROM nation LEFT JOIN v ON v.k = n_nationkey GROUP BY 1)
+SELECT {raw.SQL_BARCODE.format(key='k')} AS patient_id, CASE WHEN n > 0 AND k % 5 < 3 THEN n ELSE 0 END AS n_rows,
+  CASE WHEN n = 0 THEN 'no such file, or empty' WHEN k % 5 >= 3 THEN '1 unreadable rows' END AS error FROM files""",
+)
+def ingest_methylation_damaged(spark, sf_dir):
+    """Files without a header and one line with a field too few or too many: none of their rows, one ledger entry."""
+    path = raw.methylation_files(spark, sf_dir, damaged=True)
+    listing = raw.manifest(spark, sf_dir, "meth")
+    rows, errors = files.ingest(spark, path, listing, files.METHYLATION)
+    counts = rows.groupBy("patient_id").agg(F.count("*").alias("n_rows"))
+    joined = listing.select("patient_id").join(counts, "patient_id", "left").join(errors, "patient_id", "left")
+    return joined.select("patient_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "error")
+
+
+@query(
+    "ingest_methylation_strict",
+    f"""WITH v AS (SELECT nation AS k, count(*) AS n, count(*) FILTER (event_type = 'error') AS bad FROM {VISITS} GROUP BY 1)
+SELECT {raw.SQL_BARCODE.format(key='k')} AS patient_id, CASE WHEN bad > 0 THEN 'skipped' ELSE 'loaded' END AS outcome FROM v""",
+)
+def ingest_methylation_strict(spark, sf_dir):
+    """The form without a spelling of missing numbers: a file that has one is skipped whole."""
+    rows, errors = files.ingest(
+        spark, raw.methylation_files(spark, sf_dir), raw.manifest(spark, sf_dir, "meth"), files.METHYLATION_STRICT
+    )
+    loaded = rows.select("patient_id", F.lit("loaded").alias("outcome")).distinct()
+    return loaded.unionByName(
+        errors.where(F.col("error").endswith("unreadable rows")).select("patient_id", F.lit("skipped").alias("outcome"))
+    )
+
+
+@query(
+    "ingest_absent_files",
+    f"""SELECT {raw.SQL_BARCODE.format(key='n_nationkey')} AS patient_id, {raw.sql_uuid('cnv', 'n_nationkey')} AS file_id,
+  'no such file, or empty' AS error
+FROM nation WHERE n_nationkey % 3 = 1 OR n_nationkey NOT IN (SELECT s_nationkey FROM {SALES})""",
+)
+def ingest_absent_files(spark, sf_dir):
+    """The ledger of a folder that lacks every third subject's file."""
+    listing = raw.manifest(spark, sf_dir, "cnv")
+    there = F.col("nation") % 3 != 1
+    described = listing.withColumn("preamble", raw.lines(raw.SEGMENT_HEADER))
+    path = raw.write_files(raw.segment_rows(spark, sf_dir).where(there), described.where(there), staging_path(spark, "cnv"))
+    return files.ingest(spark, path, listing, files.SEGMENTS)[1]
+
+
+@query(
+    "ingest_empty_modality",
+    "SELECT 'first' AS attempt, 'cnv has no rows' AS outcome UNION ALL SELECT 'again', 'loaded'",
+)
+def ingest_empty_modality(spark, sf_dir):
+    """A modality whose files are all damaged leaves no table, so it is loaded once the files are mended."""
+    listing = raw.manifest(spark, sf_dir, "cnv")
+    rows = raw.segment_rows(spark, sf_dir)
+    target, done = staging_path(spark, "empty-target"), []
+    for attempt, header in (("first", "not a header"), ("again", raw.SEGMENT_HEADER)):
+        described = listing.withColumn("preamble", raw.lines(header))
+        path = raw.write_files(rows, described, staging_path(spark, "cnv"))
+        try:
+            sinks.write_table(files.ingest(spark, path, listing, files.SEGMENTS)[0], target, what="cnv")
+            done.append((attempt, "loaded" if tables.stored(spark, target) else "no table"))
+        except RuntimeError as exc:
+            done.append((attempt, "a table was left" if tables.stored(spark, target) else str(exc)))
+    return inline_table(spark, done, "attempt string, outcome string")
+
+
 @query(
     "ingest_protein_files",
     f"""SELECT {VISITOR} AS patient_id, upper(event_type) || k AS peptide_target,
@@ -155,6 +226,24 @@ def ingest_stream(spark, sf_dir):
     return loaded_rows(spark, target, schemas.SEGMENT_LONG)
 
 
+@query(
+    "ingest_stream_late_damage",
+    f"SELECT patient_id, count(*) AS n FROM ({SQL_SEGMENTS}) WHERE patient_id NOT IN ("
+    f"SELECT {raw.SQL_BARCODE.format(key='n_nationkey')} FROM nation WHERE n_nationkey % 4 = 0) GROUP BY patient_id",
+)
+def ingest_stream_late_damage(spark, sf_dir):
+    """Every fourth subject's file gets a damaged second part in a later batch: none of its rows count."""
+    rows = raw.segment_rows(spark, sf_dir)
+    listing = raw.manifest(spark, sf_dir, "cnv")
+    described = listing.withColumn("preamble", raw.lines(raw.SEGMENT_HEADER))
+    damaged = rows.where(F.col("nation") % 4 == 0).dropDuplicates(["nation"]).withColumn("line", F.lit("a\tchr1\tno number"))
+    folder, target, mark = (staging_path(spark, n) for n in ("stream-in", "stream-out", "stream-mark"))
+    for part in (rows, damaged):
+        raw.write_files(part, described, folder, mode="append")
+        load_new_files(spark, folder, listing, files.SEGMENTS, target, mark).awaitTermination()
+    return loaded_rows(spark, target, schemas.SEGMENT_LONG).groupBy("patient_id").agg(F.count("*").alias("n"))
+
+
 # --- label files -----------------------------------------------------------------------
 
 

@@ -154,11 +154,14 @@ def segment_files(spark: SparkSession, sf_dir: str) -> str:
     return write_files(segment_rows(spark, sf_dir), files, staging_path(spark, "cnv"))
 
 
-def methylation_files(spark: SparkSession, sf_dir: str) -> str:
+def methylation_files(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
     v = visits(spark, sf_dir)
     beta = F.when(F.col("event_type") == "error", "NA").otherwise((F.col("value") / (1 + F.col("value"))).cast("string"))
     rows = v.select("nation", F.col("event_id").alias("salt"), line_of(F.concat(F.lit("cg"), "event_type", "k"), beta).alias("line"))
-    files = manifest(spark, sf_dir, "meth").withColumn("preamble", F.array().cast("array<string>"))
+    preamble = F.array().cast("array<string>")
+    if damaged:  # a field too few, a field too many
+        preamble = F.when(F.col("nation") % 5 == 3, lines("cg2")).when(F.col("nation") % 5 == 4, lines("cg2\t0.5\tx")).otherwise(preamble)
+    files = manifest(spark, sf_dir, "meth").withColumn("preamble", preamble)
     return write_files(rows, files, staging_path(spark, "meth"))
 
 

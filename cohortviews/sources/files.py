@@ -62,6 +62,12 @@ SEGMENTS = Layout(
         "copy_number": ("Segment_Mean", "double"),
     },
 )
+#: Methylation as an older loader reads it: no spelling of a missing number, so any text in its place spoils the file.
+METHYLATION_STRICT = Layout(
+    columns=("probe_id", "beta_value"),
+    output={"probe_id": ("probe_id", "string"), "beta_value": ("beta_value", "double")},
+    header=False,
+)
 METHYLATION = Layout(
     columns=("probe_id", "beta_value"),
     output={"probe_id": ("probe_id", "string"), "beta_value": ("beta_value", "double")},
@@ -89,8 +95,11 @@ def _raw(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
-    """Every line as strings, with ``path`` and ``file_id``; headers are rows here."""
+def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout, whole: bool = False) -> DataFrame:
+    """Every line as strings, with ``path`` and ``file_id``; headers are rows here.
+
+    ``whole`` parses all fields of a line even if few are used: only then does a wrong number of fields show.
+    """
     ddl = ", ".join(f"`{c}` string" for c in layout.columns) + f", {CORRUPT} string"
     reader = (
         spark.read.schema(ddl)
@@ -100,6 +109,7 @@ def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> Dat
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
+        .option("columnPruning", not whole)
     )
     if layout.comment:
         reader = reader.option("comment", layout.comment)
@@ -138,8 +148,8 @@ def is_unreadable(layout: Layout) -> Column:
     return bad
 
 
-def file_errors(raw: DataFrame, layout: Layout) -> DataFrame:
-    """``(file_id, error)`` of the files that must not be used."""
+def file_verdicts(raw: DataFrame, layout: Layout) -> DataFrame:
+    """``(file_id, error)`` of every file; no error where all its parts can be used. ``raw`` is a whole scan."""
     data_row = ~is_header(layout) & ~is_summary(layout)
     verdict = raw.groupBy("path", "file_id").agg(
         F.count_if(is_header(layout)).alias("headers"),
@@ -149,21 +159,21 @@ def file_errors(raw: DataFrame, layout: Layout) -> DataFrame:
     error = F.when(no_header, "unexpected header").when(
         F.col("unreadable") > 0, F.format_string("%d unreadable rows", F.col("unreadable"))
     )
-    return (
-        verdict.withColumn("error", error)
-        .where(F.col("error").isNotNull())
-        .groupBy("file_id")
-        .agg(F.min("error").alias("error"))
-    )
+    return verdict.withColumn("error", error).groupBy("file_id").agg(F.min("error").alias("error"))
+
+
+def file_errors(raw: DataFrame, layout: Layout) -> DataFrame:
+    """``(file_id, error)`` of the files that must not be used."""
+    return file_verdicts(raw, layout).where(F.col("error").isNotNull())
 
 
 def ledger(errors: DataFrame, manifest: DataFrame) -> DataFrame:
     return manifest.join(errors, "file_id").select("patient_id", "file_id", "error")
 
 
-def absent_files(raw: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Ledger rows for manifest files without a single line on disk."""
-    return manifest.join(raw.select("file_id").distinct(), "file_id", "left_anti").select(
+def absent_files(seen: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Ledger rows for manifest files without a single line on disk; ``seen`` has the file ids that have one."""
+    return manifest.join(seen.select("file_id").distinct(), "file_id", "left_anti").select(
         "patient_id", "file_id", F.lit("no such file, or empty").alias("error")
     )
 
@@ -193,23 +203,32 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, ledger)``: long rows of all usable manifest files.
 
-    The first pass judges files and keeps only the list of bad ones; the second
-    reads just the columns the result needs.
+    The first pass judges files and keeps a verdict for each; the second reads just the columns the result needs.
+    Manifest files that are not there are in the ledger too.
     """
-    raw = scan(spark, paths, layout)
-    return usable_rows(raw, manifest, layout, columns)
+    verdicts = stage(file_verdicts(scan(spark, paths, layout, whole=True), layout), "verdicts")
+    rows, errors = usable_rows(scan(spark, paths, layout), manifest, layout, columns, verdicts)
+    return rows.drop("file_id"), errors.unionByName(absent_files(verdicts, manifest))
 
 
 def usable_rows(
-    raw: DataFrame, manifest: DataFrame, layout: Layout, columns: Sequence[str] | None = None
+    raw: DataFrame,
+    manifest: DataFrame,
+    layout: Layout,
+    columns: Sequence[str] | None = None,
+    verdicts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    errors = stage(file_errors(raw, layout))
+    """Rows of usable files, with ``file_id``, and the ledger of those that are not. ``raw`` must be a whole scan
+    unless verdicts are given."""
+    if verdicts is None:
+        verdicts = stage(file_verdicts(raw, layout), "verdicts")
+    errors = verdicts.where(F.col("error").isNotNull())
     rows = long_rows(raw, layout, columns)
     good = rows.join(small_side(errors.select("file_id")), "file_id", "left_anti")
     owners = small_side(stage(manifest.select("file_id", "patient_id")))
     out = good.join(owners, "file_id")
     return (
-        out.select("patient_id", *[c for c in good.columns if c != "file_id"]),
+        out.select("file_id", "patient_id", *[c for c in good.columns if c != "file_id"]),
         ledger(errors, manifest),
     )
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 
 from cohortviews.operators.quality import require_unique
+from cohortviews.session import stage
 
 
 def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort", "modality")) -> str:
@@ -16,19 +17,29 @@ def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort"
     return path
 
 
-def write_table(df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result") -> int:
-    """Parquet write that raises if nothing, or a repeated key, was written.
-
-    The row count comes from the written file footers; the key check reads the
-    key columns of the written table.
-    """
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
+def checked(df: DataFrame, unique: Sequence[str] = (), what: str = "result") -> tuple[DataFrame, int]:
+    """A written copy of ``df`` under the shared folder, and its rows; raises on no rows or a repeated key."""
+    written = stage(df, "checked")
     rows = written.count()
     if rows == 0:
         raise RuntimeError(f"{what} has no rows")
     if unique:
         require_unique(written, unique, what)
+    return written, rows
+
+
+def publish(written: DataFrame, path: str) -> None:
+    """A checked copy at its place; Spark's own commit makes it readable at once or not at all."""
+    written.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def write_table(df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result") -> int:
+    """Parquet write that raises if the result has no rows or repeats a key; nothing is published then.
+
+    The checks read the copy that is published, not a second run of the plan.
+    """
+    written, rows = checked(df, unique, what)
+    publish(written, path)
     return rows
 
 

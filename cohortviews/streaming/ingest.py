@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from cohortviews.schemas import LEDGER
+from cohortviews.session import small_side, stage
 from cohortviews.sources.files import CORRUPT, Layout, usable_rows, with_file
 
 
@@ -22,6 +24,7 @@ def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_bat
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("columnPruning", False)  # judged and read in one pass
     )
     if layout.comment:
         reader = reader.option("comment", layout.comment)
@@ -39,7 +42,7 @@ def load_new_files(
 ) -> StreamingQuery:
     """Load everything that is new in ``folder`` and stop.
 
-    Rows go to ``<target>/rows``, bad files to ``<target>/errors``. A second
+    Rows go to ``<target>/rows`` with their file id, bad files to ``<target>/errors``. A second
     call with the same checkpoint loads only files added since.
     """
 
@@ -58,4 +61,10 @@ def load_new_files(
 
 
 def loaded_rows(spark: SparkSession, target: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{target}/rows").drop("batch_id")
+    """Rows of all batches, without those of files that any batch found damaged.
+
+    A file may come in several parts; a damaged part in a later batch takes back what earlier ones brought.
+    """
+    rows = spark.read.schema(f"file_id string, {schema}").parquet(f"{target}/rows").drop("batch_id")
+    bad = spark.read.schema(LEDGER).parquet(f"{target}/errors").select("file_id").distinct()
+    return rows.join(small_side(stage(bad, "bad-files")), "file_id", "left_anti").drop("file_id")

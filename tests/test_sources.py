@@ -56,8 +56,8 @@ def test_a_bad_file_is_skipped_whole(spark, tmp_path):
         IDS[1]: ("TCGA-AA-0001", "unexpected header"),
         IDS[2]: ("TCGA-AA-0002", "1 unreadable rows"),
     }
-    raw = files.scan(spark, str(tmp_path), files.RNA)
-    assert [r.file_id for r in files.absent_files(raw, listing(spark, 5)).collect()] == [IDS[4]]
+    _, errors5 = files.ingest(spark, str(tmp_path), listing(spark, 5), files.RNA)
+    assert {r.file_id: r.error for r in errors5.collect()}[IDS[4]] == "no such file, or empty"
     assert sinks.write_ledger(errors, str(tmp_path / "ledger"))
     assert not sinks.write_ledger(errors.where("file_id = 'x'"), str(tmp_path / "none"))
 

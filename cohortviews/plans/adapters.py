@@ -73,20 +73,25 @@ SQL_EXPRESSION = """expression AS (
 
 
 def part_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One feature per part, so that some cohorts have no value for some features."""
+    """A hundred features at any factor: a quarter of them seldom has a value, some have none in one cohort."""
+    size = F.col("p_size") % 4
     parts = table(spark, sf_dir, "part").select(
-        "p_partkey", F.concat("p_brand", F.lit("."), F.col("p_partkey")).alias("feature_id")
-    )
-    rows = _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    value = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice"))
-    return _with_cohort(rows, spark, sf_dir).select(
-        "cohort", "patient_id", "feature_id", value.alias("value")
+        "p_partkey", "p_brand", size.alias("size"), F.concat("p_brand", F.lit("."), size).alias("feature_id")
     )
+    rows = _with_cohort(_sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey")), spark, sf_dir)
+    seldom = (F.col("size") == 3) & (F.col("l_quantity") >= 5)
+    nowhere = F.col("p_brand").endswith("5") & (F.col("cohort") == "MACHINERY")
+    value = F.when((F.col("l_linenumber") != 7) & ~seldom & ~nowhere, F.col("l_extendedprice"))
+    return rows.select("cohort", "patient_id", "feature_id", value.alias("value"))
 
 
-SQL_PART_EXPRESSION = SQL_EXPRESSION.replace("expression AS", "part_expression AS").replace(
-    "CAST(p.p_size % 4 AS VARCHAR)", "CAST(p.p_partkey AS VARCHAR)"
-)
+SQL_PART_EXPRESSION = """part_expression AS (
+  SELECT c.c_mktsegment AS cohort, o.o_custkey AS patient_id,
+         p.p_brand || '.' || CAST(p.p_size % 4 AS VARCHAR) AS feature_id,
+         CASE WHEN l.l_linenumber <> 7 AND NOT (p.p_size % 4 = 3 AND l.l_quantity >= 5)
+           AND NOT (p.p_brand LIKE '%5' AND c.c_mktsegment = 'MACHINERY') THEN l.l_extendedprice END AS value
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 
 def methylation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def merge_cohorts(
     version of the merge (500 features, no gate, no panel, sample variance)."""
     value = "fpkm_unstranded" if older else None
     rule = (
-        {"n_rna": 500, "n_methylation": 500, "min_coverage": 0.0, "ddof": 1}
+        co.OLDER
         if older
         else {
             "n_rna": n, "n_methylation": n, "min_coverage": min_coverage,
@@ -205,8 +205,10 @@ def classify(
     """Cross-validated predictions, scores, importances and attributions."""
     rows = spark.read.parquet(f"{table}/rows")
     names = spark.read.parquet(f"{table}/dictionary")
-    label = next(c for c in rows.columns if c in ("cohort", "subtype"))
+    label = next((c for c in rows.columns if c in ("cohort", "subtype")), "cohort")
     code = f"{label}_code"
+    ql.require_columns(rows, ["patient_id", label, code, "values"])
+    ql.require_columns(names, ["feature_id", "ordinal"])
     examples = stage(
         rows.select(F.col("patient_id").alias("id"), F.col(code).cast("int").alias("label"), F.col("values").alias("features"))
     )
@@ -228,11 +230,20 @@ def classify(
     per_fold = ev.summary_scores(found, ["fold"]).join(ev.log_loss(found, ["fold"]), "fold")
     metrics = ["accuracy", "balanced_accuracy", "macro_f1", "log_loss"]
     sinks.write_csv(ev.fold_summary(per_fold, metrics), f"{out}/cv_scores")
-    sinks.write_csv(ev.classification_report(found), f"{out}/classification_report")
-    sinks.write_csv(ev.confusion_matrix(found, list(range(len(classes)))), f"{out}/confusion_matrix")
+    # tables by class carry the class's name beside its code
+    def with_names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        for c in columns:
+            if c in df.columns:
+                found_name = F.get(F.lit([str(x) for x in classes]), F.col(c).try_cast("int"))
+                df = df.withColumn(f"{c}_name", F.coalesce(found_name, F.col(c).cast("string")))
+        return df
+
+    by_class = ("class", "actual_code", "predicted_code", "actual", "predicted")
+    sinks.write_csv(with_names(ev.classification_report(found), by_class), f"{out}/classification_report")
+    sinks.write_csv(with_names(ev.confusion_matrix(found, list(range(len(classes)))), by_class), f"{out}/confusion_matrix")
     curve = ev.class_score_rows(found, list(range(len(classes))))
-    sinks.write_csv(ev.roc_points(curve), f"{out}/roc_points")
-    sinks.write_csv(ev.roc_auc(curve), f"{out}/roc_auc")
+    sinks.write_csv(with_names(ev.roc_points(curve), by_class), f"{out}/roc_points")
+    sinks.write_csv(with_names(ev.roc_auc(curve), by_class), f"{out}/roc_auc")
     totals = per_fold.agg(
         F.struct(
             *[F.struct(F.avg(m).alias("mean"), F.stddev_pop(m).alias("std")).alias(m) for m in metrics]
@@ -370,22 +381,27 @@ def verify(
     spark: SparkSession, manifests: str, data: str, out: str, projects: Sequence[str] = PROJECTS,
     modalities: Sequence[str] = ("rna_seq", "cnv", "methylation"),
 ) -> DataFrame:
-    """Patients in the manifests against patients in the stored tables."""
-    want, have = [], []
+    """Patients in the manifests against patients in the stored tables; a table that cannot be read is an ERROR."""
+    want, have, broken = [], [], []
     for project in projects:
         for modality in modalities:
             tag = {"cohort": F.lit(project), "modality": F.lit(modality)}
             listing = mf.read_manifest(spark, manifests.format(project=project, modality=LAYOUTS[modality][1]))
             want.append(listing.select("patient_id").withColumns(tag))
             path = tables.path_of(data, project, modality)
-            if tables.stored(spark, path):
+            found = tables.state(spark, path)
+            if found == "stored":
                 have.append(spark.read.parquet(path).select("patient_id").withColumns(tag))
+            elif found == "unreadable":
+                broken.append(f"{project} {modality}")
     expected, stored = want[0], (have[0] if have else want[0].where(F.lit(False)))
     for part in want[1:]:
         expected = expected.unionByName(part)
     for part in have[1:]:
         stored = stored.unionByName(part)
-    report = stage(ql.reconcile(expected, stored))
+    report = ql.reconcile(expected, stored)
+    unreadable = F.concat_ws(" ", "cohort", "modality").isin(broken)
+    report = stage(report.withColumn("mark", F.when(unreadable, "ERROR").otherwise(F.col("mark"))))
     sinks.write_csv(report.orderBy("cohort", "modality"), out)
     return report
 

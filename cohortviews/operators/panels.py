@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortviews.functions.genome import feature_family
 from cohortviews.functions.ids import base_id
 from cohortviews.operators.ranking import ranked, top_per_key
+from cohortviews.session import small_side
 
 
 def marker_presence(panel: DataFrame, features: DataFrame, feature: str = "feature_id") -> DataFrame:
@@ -49,7 +50,7 @@ def annotate(
     )
     match = (F.col("__base") == F.col("base_id")) & (F.col("kind") == "rna")
     return (
-        out.join(F.broadcast(genes), match, "left")
+        out.join(small_side(genes), match, "left")
         .withColumn("label", F.coalesce("__symbol", F.col(feature)))
         .withColumn("in_panel", F.col("__symbol").isNotNull())
         .drop("__base", "base_id", "__symbol")

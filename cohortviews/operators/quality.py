@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortviews.functions.values import gap_marker, known
+from cohortviews.session import small_side
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -133,7 +134,7 @@ def gate_features(
 
 def view_gate(rates: DataFrame, config: DataFrame) -> DataFrame:
     """Per-view threshold: adds ``kept`` to ``(view, feature, missing_rate)``."""
-    return rates.join(F.broadcast(config), "view").withColumn(
+    return rates.join(small_side(config), "view").withColumn(
         "kept", F.col("missing_rate") <= F.col("max_missing")
     )
 

@@ -14,7 +14,7 @@ from cohortviews.functions.genome import feature_family, view_of
 from cohortviews.functions.values import pick_by_cohort
 from cohortviews.operators.labels import join_labels, label_codes, labels_of_type
 from cohortviews.operators.merge import inner_merge
-from cohortviews.operators.quality import gate_features, require_unique
+from cohortviews.operators.quality import gate_features, require_columns, require_numeric, require_rate, require_unique
 from cohortviews.operators.reshape import (
     arm_dictionary,
     arm_means,
@@ -25,7 +25,7 @@ from cohortviews.operators.reshape import (
     prefixed,
     quoted,
 )
-from cohortviews.operators.select import keep_features, recurrent_features, top_variance_features
+from cohortviews.operators.select import forbid_columns, keep_features, recurrent_features, top_variance_features
 from cohortviews.session import small_side, stage, together
 
 
@@ -57,10 +57,12 @@ def ranked_view(
     return View(name, dense_arrays(rows, dictionary, keys), dictionary)
 
 
-def arm_view(segments: DataFrame, keys: Sequence[str] = ("patient_id",), name: str = "CNV") -> View:
-    """Arm means; segments are read once, the rest works on the means."""
+def arm_view(
+    segments: DataFrame, keys: Sequence[str] = ("patient_id",), name: str = "CNV", natural: bool = True
+) -> View:
+    """Arm means; segments are read once, the rest works on the means. Arms in natural or in alphabetical order."""
     cells = stage(arm_means(segments, keys), "arms")
-    dictionary = arm_dictionary(cells)
+    dictionary = arm_dictionary(cells) if natural else feature_dictionary(cells)
     return View(name, dense_arrays(cells, dictionary, keys), dictionary)
 
 
@@ -99,6 +101,10 @@ def merge(views: Sequence[View], keys: Sequence[str] = ("patient_id",)) -> DataF
     return inner_merge({v.name: v.arrays for v in views}, keys)
 
 
+#: The older merge: 500 features, no gate, no panel, sample variance, arms in alphabetical order.
+OLDER = {"n_rna": 500, "n_methylation": 500, "min_coverage": 0.0, "ddof": 1, "natural_arms": False}
+
+
 def three_views(
     rna: DataFrame,
     segments: DataFrame,
@@ -108,16 +114,17 @@ def three_views(
     min_coverage: float = dims.MIN_COVERAGE,
     must_keep: DataFrame | None = None,
     ddof: int = 0,
+    natural_arms: bool = True,
 ) -> tuple[DataFrame, list[View]]:
     """All cohorts at once: features are selected over every cohort together,
     views are joined inside a cohort, an arm one cohort lacks is null there.
 
-    The older form is ``n=500, min_coverage=0, must_keep=None, ddof=1``.
+    :data:`OLDER` has the arguments of the older form.
     """
     keys = ("cohort", "patient_id")
     views = together(
         lambda: ranked_view("RNA", rna, n_rna, min_coverage, must_keep, keys, ddof),
-        lambda: arm_view(segments, keys),
+        lambda: arm_view(segments, keys, natural=natural_arms),
         lambda: ranked_view("methylation", methylation, n_methylation, min_coverage, None, keys, ddof),
     )
     return merge(views, keys), views
@@ -204,7 +211,10 @@ def arrays_of_wide(
     Views come from the column names; a view without columns is left out.
     """
     spark = wide.sparkSession
+    require_columns(wide, keys)
     features = [c for c in wide.columns if c not in keys]
+    forbid_columns(features, TARGETS)
+    require_numeric(wide, features)
     names = inline_table(spark, [(i, c) for i, c in enumerate(features)], "at bigint, feature_id string")
     placed = names.select("at", "feature_id", view_of(F.col("feature_id"), rna_prefix).alias("view"))
     by_view: dict[str, list[str]] = {}
@@ -221,6 +231,16 @@ def arrays_of_wide(
     )
 
 
+#: Ids and targets of model tables: never features.
+TARGETS = ("patient_id", "cohort", "cohort_code", "subtype", "subtype_code")
+
+
+def _require_cells(cells: DataFrame, keys: Sequence[str], max_missing_rate: float) -> None:
+    require_columns(cells, [*keys, "feature_id", "value"])
+    require_numeric(cells, ["value"])
+    require_rate(max_missing_rate)
+
+
 @dataclass(frozen=True)
 class ModelTable:
     """Rows (id, label, code, values), feature names and what was dropped."""
@@ -275,6 +295,8 @@ def _model_table(
     cells: DataFrame, roster: DataFrame, status: DataFrame, label: str, code: str
 ) -> ModelTable:
     status = stage(status)
+    leaked = status.where(F.col("feature_id").isin(list(TARGETS))).select("feature_id").collect()  # a name each at most
+    forbid_columns([r.feature_id for r in leaked], TARGETS)
     dictionary = feature_dictionary(status.where(F.col("status") == "kept"))
     codes = stage(label_codes(roster, label, code))
     arrays = dense_arrays(cells, dictionary)
@@ -297,6 +319,8 @@ def cohort_model(
     missing in more than the allowed share of patients. Nothing is imputed or
     scaled here.
     """
+    _require_cells(cells, ["patient_id", "cohort"], max_missing_rate)
+    require_columns(roster, ["patient_id", "cohort"])
     require_unique(roster, ["patient_id"], "roster")
     status = gate_features(cells, roster, None, max_missing_rate)
     return _model_table(cells, roster.select("patient_id", "cohort"), status, "cohort", "cohort_code")
@@ -315,6 +339,8 @@ def subtype_model(
     Labels are picked by prefix, rare classes folded; only the sparse gate
     applies, over the labelled patients.
     """
+    _require_cells(cells, ["patient_id"], max_missing_rate)
+    require_columns(labels, ["patient_id", label])
     picked = labels_of_type(labels.select("patient_id", label), label, cancer_type, rules)
     present = cells.select("patient_id").distinct()
     roster = stage(

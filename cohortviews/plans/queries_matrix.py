@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortviews import dims
 from cohortviews.functions.genome import feature_family
+from cohortviews.operators import labels as lb
 from cohortviews.operators import merge as mg
 from cohortviews.operators import quality as ql
 from cohortviews.operators import reshape as rs
@@ -303,6 +304,56 @@ def merge_three_views(spark, sf_dir):
     return _rounded_views(co.wide_table(merged, views, keys, DECLARED), keys)
 
 
+@query(
+    "merge_older",
+    f"""WITH {ad.SQL_EXPRESSION}, {ad.SQL_ARMS}, {ad.SQL_METHYLATION},
+{ad.sql_top('expression', 500, 0.0, 'toprna', var='var_samp')}, {ad.sql_top('methylation', 500, 0.0, 'topmeth', var='var_samp')},
+names AS (SELECT 'RNA' AS view, feature_id FROM toprna UNION ALL SELECT 'methylation', feature_id FROM topmeth
+  UNION ALL SELECT DISTINCT 'CNV', arm FROM arms),
+people AS (SELECT count(*) AS n FROM (SELECT DISTINCT patient_id FROM expression INTERSECT SELECT DISTINCT patient_id FROM arms
+  INTERSECT SELECT DISTINCT patient_id FROM methylation) t)
+SELECT view, feature_id, CAST(row_number() OVER (PARTITION BY view ORDER BY feature_id) - 1 AS INTEGER) AS ordinal,
+  (SELECT n FROM people) AS n_rows FROM names""",
+)
+def merge_older(spark, sf_dir):
+    """The first form of the merge: its features in order, and its rows."""
+    merged, views = co.three_views(
+        ad.expression(spark, sf_dir), ad.segments(spark, sf_dir), ad.methylation(spark, sf_dir), **co.OLDER
+    )
+    return co.merged_dictionary(views).withColumn("n_rows", merged.agg(F.count("*").alias("n")).scalar())
+
+
+@query(
+    "stack_cohorts_uneven",
+    """SELECT c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS amount, c_mktsegment AS segment, NULL AS phone FROM customer
+UNION ALL SELECT s_suppkey, CAST(s_acctbal AS DOUBLE), NULL, s_name FROM supplier""",
+)
+def stack_cohorts_uneven(spark, sf_dir):
+    """Two tables with a column each that the other lacks, and one column of two number types."""
+    a = ad.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("int").alias("amount"), F.col("c_mktsegment").alias("segment")
+    )
+    b = ad.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_acctbal").cast("double").alias("amount"), F.col("s_name").alias("phone")
+    )
+    return mg.stack_cohorts([a, b])
+
+
+@query(
+    "cohort_filter_optional",
+    f"""WITH {ad.SQL_EXPRESSION} SELECT 'cohort column' AS input, count(*) AS n FROM expression WHERE cohort = 'BUILDING'
+UNION ALL SELECT 'no cohort column', count(*) FROM expression""",
+)
+def cohort_filter_optional(spark, sf_dir):
+    """One cohort where rows have one, all rows where they have none."""
+    rows = ad.expression(spark, sf_dir)
+    parts = [("cohort column", rows), ("no cohort column", rows.drop("cohort"))]
+    counted = [
+        lb.only_cohort(df, "BUILDING").agg(F.lit(name).alias("input"), F.count("*").alias("n")) for name, df in parts
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 def _rounded_views(wide, keys):
     digits = {n: 6 for n in dims.ARM_COLUMNS + MIR_COLUMNS} | {n: 8 for n in ad.PROBES}
     return wide.selectExpr(

@@ -26,11 +26,18 @@ def path_of(root: str, project: str, modality: str) -> str:
 
 def stored(spark: SparkSession, path: str) -> bool:
     """True if a readable table is there (a failed write leaves none)."""
+    return state(spark, path) == "stored"
+
+
+def state(spark: SparkSession, path: str) -> str:
+    """``stored``, ``absent``, or ``unreadable``: something is there that is no table."""
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    except AnalysisException as exc:
+        return "absent" if exc.getCondition() == "PATH_NOT_FOUND" else "unreadable"
+    except Exception:  # noqa: BLE001 - a damaged file surfaces as whatever its reader raises
+        return "unreadable"
+    return "stored"
 
 
 def read_modality(

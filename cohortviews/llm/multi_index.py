@@ -39,7 +39,7 @@ def fit(sample: np.ndarray, k: int, rounds: int = 30) -> dict:
     """Mean, rotations and radius from sampled vectors."""
     mean = sample.mean(0)
     centred = sample - mean
-    _, _, directions = np.linalg.svd(centred, full_matrices=True)
+    directions = np.linalg.eigh(centred.T @ centred)[1][:, ::-1].T
     rng = np.random.default_rng(31)
     maps = []
     for _ in range(ROTATIONS):

@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -25,7 +26,7 @@ from cohortviews.llm.common import map_texts
 
 SPACE = "▁"
 #: Parts that a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 NONE, START = -2, -1
 
 
@@ -250,7 +251,7 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
     def each(texts: list[bytes | None]) -> list[pa.Array]:
         held = shared.value
         if "encoder" not in held:  # once for each worker process
-            held["encoder"] = Encoder(held["vocabulary"])
+            held["encoder"] = Encoder(held.pop("vocabulary"))
         encoder = held["encoder"]
         both = [encoder.encode((t or b"").decode("utf-8", "replace")) for t in texts]
         out = [
@@ -259,7 +260,9 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
             pa.array([_sha(back) for _, back in both], pa.string()),
         ]
         if with_ids:
-            out.append(pa.array([[int(i) for i in ids.split(",")] if ids else [] for ids, _ in both], pa.list_(pa.int32())))
+            rows = [np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32) for ids, _ in both]
+            offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(offsets, np.concatenate(rows)))
         return out
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

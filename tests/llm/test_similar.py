@@ -1,0 +1,101 @@
+"""The near-dedup stage of the pipeline against brute-force Jaccard similarity of five-word shingles."""
+
+import os
+import random
+import sys
+
+import pytest
+from conftest_llm import SF, words
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+import corpus_pipeline  # noqa: E402
+from cohortviews.llm import queries, similar  # noqa: E402
+
+
+def _set(text):
+    w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def _survivors(rows):
+    """doc_ids without those linked, directly or not, to a smaller one."""
+    sets = {i: _set(t) for i, t in rows}
+    low = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            if low[a] != low[b]:
+                low[a] = low[b] = min(low[a], low[b])
+                changed = True
+    return {i for i in low if low[i] == i}
+
+
+def _edited(text, edits, rng):
+    out = list(text)
+    for _ in range(edits):
+        out[rng.randrange(len(out))] = f"e{rng.randrange(10**9)}"
+    return out
+
+
+def _planted():
+    """Groups of near copies of all similarities, chains of them, and texts at exactly 0.8 and just below."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 400))]
+        rows.append(base)
+        for edits in (1, 2, 3, 5, 8):
+            base = _edited(base, edits, rng) if rng.random() < 0.5 else base
+            rows.append(_edited(base, edits, rng))
+    base = [f"x{k}" for k in range(44)]  # 40 shingles
+    rows += [base, base[:36], ["y" + w for w in base], ["y" + w for w in base[:35]]]  # 32 of 40; 31 of 40
+    rows += [["a", "b"], ["A", "B"], ["a", "b", "c"], [], []]
+    rng.shuffle(rows)
+    return [(i, " ".join(r)) for i, r in enumerate(rows)]
+
+
+def test_stage_is_brute_force_jaccard(spark):
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    rows = _planted()
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in stage(spark, docs, SF).collect()} == _survivors(rows)
+    given = queries.documents(spark, SF)
+    got = stage(spark, given, SF).collect()
+    assert {r.doc_id for r in got} == _survivors([(r.doc_id, r.text) for r in given.collect()])
+
+
+def test_chains_inside_one_bucket(spark, monkeypatch):
+    """With one and the same fingerprint for all, neighbours that are far from the smallest class still meet."""
+    import numpy as np
+
+    monkeypatch.setattr(similar, "buckets", lambda hashes: np.zeros(min(1, len(hashes)), np.int64))
+    rows = [(9 - k, " ".join(f"w{i}" for i in range(4 * k, 4 * k + 60))) for k in range(8)]
+    rows += [(20, "something else altogether here"), (21, "and one more of these texts")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in similar.one_of_each(docs).collect()} == _survivors(rows) == {2, 20, 21}
+
+
+def test_keeps_one_of_each(spark, edge, none):
+    kept = sorted((r.doc_id or 0, r.text) for r in similar.one_of_each(edge).collect())
+    texts = [t for _, t in kept]
+    assert texts.count("the quick brown fox jumps over the lazy dog again and again") == 1
+    assert sum(not words(t) for t in texts) == 1  # texts without words are one group
+    assert (1, "the quick brown fox jumps over the lazy dog again and again") in kept
+    assert similar.one_of_each(edge).columns == edge.columns
+    assert similar.one_of_each(none).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.8, 0.9])
+def test_candidates_meet(share):
+    """Of pairs at the similarity, all share a fingerprint."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        x = rng.integers(0, 1 << 63, size=90, dtype=np.uint64)
+        n = round(90 * share)
+        a, b = x, x[:n]
+        assert set(similar.buckets(np.sort(a))) & set(similar.buckets(np.sort(b)))

@@ -33,9 +33,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # likewise
 LEAST_VALUE = 6
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)(PRIVATE|PUBLIC) KEY-----([A-Za-z0-9+/=\s]+)-----END \1\2 KEY-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)(PRIVATE|PUBLIC) KEY-----((?:(?!-----)[\s\S])+)-----END \1\2 KEY-----")
+#: What JSON, YAML and shells write for a line break or a slash, with one backslash or more.
+ESCAPED_BREAK, ESCAPED_SLASH = re.compile(r"\\+(?:[nrt]|u000[9aAdD]|(?=\s))"), re.compile(r"\\+/")
+#: Where a bare run may start: behind no character of a run but '=', or behind an escaped line break.
+START = r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))"
 #: DER begins with the byte 0x30, an SSH key with a four-byte length or the name of its container.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:M[A-Za-z0-9+/_-]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{28,}={0,2}")
+BASE64 = re.compile(START + r"(?:M[A-Za-z0-9+/_-]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{28,}={0,2}")
 HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30(?:[0-9A-Fa-f]{2}){15,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 SSH_NAMES = (b"ssh-", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-")
@@ -52,6 +56,13 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
+def _armoured(body: str) -> bytes | None:
+    """The bytes of an armour's body, whose line breaks may be escaped."""
+    if "\\" in body:
+        body = ESCAPED_SLASH.sub("/", ESCAPED_BREAK.sub("\n", body))
+    return _base64(body)
+
+
 def _items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     """(tag, start, end) of the DER values that fill data[at:end] exactly, or None."""
     out = []
@@ -136,7 +147,7 @@ def scan(text: str) -> list[tuple[int, int, str]]:
     found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            data = _base64(m[3])
+            data = _armoured(m[3])
             if is_der_key(data) or is_ssh_key(data):
                 found.append((m.start(), m.end(), 3))
     for m in BASE64.finditer(text):

@@ -10,7 +10,7 @@ cross-entropy for each character wins.
 Rejection is calibrated on sampled rows that were not counted: a text is accepted if its cross-entropy does not pass
 the highest one seen there by more than a share ``SLACK`` of the way to the uniform distribution.
 
-A text is lower-cased; whatever is no letter becomes one blank. Nulls: a null text, or one without a letter, is ``und``
+A text is lower-cased; whatever is no letter becomes one blank, and letters above the basic plane share one code. Nulls: a null text, or one without a letter, is ``und``
 with score 0 and not accepted; rows without a label teach nothing. If no row teaches, every text is ``und``. Repeated
 rows are rows of their own. No rows give no rows. The sample is the only bound; its size does not depend on the input.
 """
@@ -34,6 +34,8 @@ UNKNOWN = "und"
 SCORE_CHARS = 40
 BLOCK = 1 << 18
 BLANK, EDGE = 32, 0
+#: For every letter above the basic plane: a code that is never a character, so it shares no n-gram with any script.
+STAND_IN = 0xFFFF
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,7 +49,11 @@ def characters(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.nd
     lowered = [t.lower() for t in texts]
     codes = np.frombuffer("\0".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
     edges = np.cumsum([len(t) + 1 for t in lowered]) - 1
-    out = letters[np.where(codes > 0xFFFF, ord("x"), codes)]
+    out = letters[np.minimum(codes, 0xFFFF)]  # U+FFFF is no letter, so a blank
+    above = np.flatnonzero(codes > 0xFFFF)
+    if len(above):
+        distinct, of = np.unique(codes[above], return_inverse=True)
+        out[above] = np.array([STAND_IN if chr(c).isalpha() else BLANK for c in distinct.tolist()], np.uint16)[of]
     out[edges] = EDGE
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != BLANK) | (out[:-1] != BLANK)

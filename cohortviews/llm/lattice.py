@@ -29,8 +29,12 @@ from cohortviews.llm.components import components
 from cohortviews.llm.vectors import dimension_of, number_type, usable
 from cohortviews.session import small_side
 
-#: At cosine 0.9 these find 99.5 % of random pairs of 64 dimensions, at 0.93 more than 99.9 %.
-TABLES, PROBES, SCALE = 8, 3, 2.0
+#: These find 99.5 % of random pairs at exactly the wanted cosine, and more than 99.9 % a third of the way to 1. In few
+#: dimensions every table sees about the same distance, none a much shorter one, so there are more tables.
+TABLES, PROBES = 8, 3
+FEW, MORE_TABLES = 32, 10
+#: Mean squared distance in the lattice of a pair at the wanted cosine.
+REACH = 0.8
 BLOCK = 1024
 LATTICE = 8
 
@@ -63,18 +67,33 @@ def decode(x: np.ndarray) -> np.ndarray:
     return np.where((((x - a) ** 2).sum(1) <= ((x - b) ** 2).sum(1))[:, None], a, b)
 
 
+def scale_of(least: float) -> float:
+    """What brings a pair of unit vectors at cosine ``least`` to the mean squared distance ``REACH``, in any dimension.
+
+    Capped where hardly any two vectors are that close, so that coordinates stay exact.
+    """
+    return float(np.sqrt(REACH / max(2 * (1 - least), 1e-10)))
+
+
 class Hashing:
-    """Random projections of ``dimension`` numbers; the same at every run."""
+    """Random projections of ``dimension`` numbers; the same at every run.
+
+    The squared length of a projection on eight of n orthogonal directions is 8 / n of the vector's on average, which
+    sqrt(n / 8) undoes. Fewer than eight numbers are turned into eight without a change of lengths.
+    """
 
-    def __init__(self, dimension: int, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE):
+    def __init__(self, dimension: int, tables: int | None = None, probes: int = PROBES, least: float = 0.9):
         rng = np.random.default_rng(2718)
+        tables = tables or (TABLES if dimension > FEW else MORE_TABLES)
+        scale = scale_of(least)
         self.probes = probes
         self.maps = []
         for _ in range(tables):
             m = rng.normal(size=(dimension, LATTICE))
             if dimension >= LATTICE:
-                m, _ = np.linalg.qr(m)
-                m *= np.sqrt(LATTICE)
+                m = np.linalg.qr(m)[0] * np.sqrt(dimension / LATTICE)
+            else:
+                m = np.linalg.qr(m.T)[0].T
             self.maps.append(m * scale)
         self.around = _around()
         self.mix = rng.integers(1, 1 << 62, size=(tables, LATTICE), dtype=np.int64) | 1
@@ -164,15 +183,14 @@ def _classes(rows: DataFrame) -> DataFrame:
     return rows.filter("usable").groupBy("node").agg(F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
 
 
-def near_duplicates(rows: DataFrame, least: float = 0.9, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE) -> DataFrame:
+def near_duplicates(rows: DataFrame, least: float = 0.9, tables: int | None = None, probes: int = PROBES) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``rows`` (vec_id, embedding)."""
     rows = rows.select("vec_id", "embedding")
     dimension, kind = dimension_of(rows), number_type(rows)
-    hashing = Hashing(dimension, tables, probes, scale)
+    hashing = Hashing(dimension, tables, probes, least)
     keyed = rows.select("vec_id", "embedding", usable(F.col("embedding"), dimension).alias("usable"))
     keyed = keyed.withColumn("node", F.when(F.col("usable"), F.xxhash64("embedding")))
     classes = stage(_classes(keyed), "classes")
-    listed_width = tables * probes
 
     def listing(with_vectors: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

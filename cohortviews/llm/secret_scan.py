@@ -40,8 +40,14 @@ ESCAPED_BREAK, ESCAPED_SLASH = re.compile(r"\\+(?:[nrt]|u000[9aAdD]|(?=\s))"), r
 START = r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))"
 #: DER begins with the byte 0x30, an SSH key with a four-byte length or the name of its container.
 BASE64 = re.compile(START + r"(?:M[A-Za-z0-9+/_-]|AAAA|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{28,}={0,2}")
-HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30(?:[0-9A-Fa-f]{2}){15,}(?![0-9A-Fa-f])")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Hex of DER, of a length-prefixed string, or of the container's name.
+HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:30|000000|6[fF]70656[eE]7373682[dD])(?:[0-9A-Fa-f]{2}){15,}(?![0-9A-Fa-f])")
+#: The first part begins like '{' or like white space before it; the others are looked at, not taken, as either may be
+#: the first part of another token.
+JWT = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))[eICD][A-Za-z0-9_-]++\.(?=([A-Za-z0-9_-]+\.[A-Za-z0-9_-]*))")
+#: Headers of an armour, each with the lines that continue it, and what they say of an encrypted body.
+HEADERS = re.compile(r"\s*(?:[A-Za-z][A-Za-z0-9-]*:[^\n]*(?:\n[ \t]+[^\n]+)*(?:\n|$))+")
+ENCRYPTED = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,\s*((?:[0-9A-Fa-f]{2}){8,16})\s*$", re.MULTILINE)
 SSH_NAMES = (b"ssh-", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-")
 SSH_CONTAINER = b"openssh-key-v1\0"
 # Tags of ASN.1 that a key can hold at its top: INTEGER, BIT STRING, OCTET STRING, OID, SEQUENCE, context 0 and 1.
@@ -56,11 +62,16 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
-def _armoured(body: str) -> bytes | None:
-    """The bytes of an armour's body, whose line breaks may be escaped."""
+def is_armoured_key(body: str) -> bool:
+    """A key's bytes in an armour's body, whose line breaks may be escaped; or whole cipher blocks that a header announces."""
     if "\\" in body:
         body = ESCAPED_SLASH.sub("/", ESCAPED_BREAK.sub("\n", body))
-    return _base64(body)
+    headers = HEADERS.match(body) if ":" in body else None
+    data = _base64(body[headers.end() :] if headers else body)
+    if is_der_key(data) or is_ssh_key(data):
+        return True
+    vector = ENCRYPTED.search(headers[0]) if headers and data else None  # as long as a block of the cipher
+    return bool(vector) and len(data) % (len(vector[1]) // 2) == 0
 
 
 def _items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -100,9 +111,12 @@ def is_der_key(data: bytes | None) -> bool:
         if tag == 0x02 and start == end:
             return False
     tag, start, end = inner[0]
-    if tag == 0x30:  # algorithm of a public key: an OID first, then the key bits
+    if tag == 0x30:  # an algorithm, its OID first; then the bits of a public key, or an encrypted private key
         algorithm = _items(data, start, end)
-        return bool(algorithm) and algorithm[0][0] == 0x06 and inner[1][0] == 0x03
+        if not algorithm or algorithm[0][0] != 0x06:
+            return False
+        # a digest is written like an encrypted key, but only encryption has a salt and a count among its parameters
+        return inner[1][0] == 0x03 or (inner[1][0] == 0x04 and len(inner) == 2 and [t for t, _, _ in algorithm[1:]] == [0x30])
     if tag != 0x02:
         return False
     if end - start <= 1:  # a version, then integers, an algorithm or the key itself
@@ -147,8 +161,7 @@ def scan(text: str) -> list[tuple[int, int, str]]:
     found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            data = _armoured(m[3])
-            if is_der_key(data) or is_ssh_key(data):
+            if is_armoured_key(m[3]):
                 found.append((m.start(), m.end(), 3))
     for m in BASE64.finditer(text):
         data = _base64(m[0])
@@ -156,11 +169,17 @@ def scan(text: str) -> list[tuple[int, int, str]]:
             found.append((m.start(), m.end(), 4))
         elif is_ssh_key(data):
             found.append((m.start(), m.end(), 5))
-    for m in HEX_DER.finditer(text):
-        if is_der_key(bytes.fromhex(m[0])):
+    for m in HEX_KEY.finditer(text):
+        data = bytes.fromhex(m[0])
+        if is_der_key(data):
             found.append((m.start(), m.end(), 4))
-    if "eyJ" in text:
-        found += [(m.start(), m.end(), 6) for m in JWT.finditer(text) if is_signed_token(m[0])]
+        elif is_ssh_key(data):
+            found.append((m.start(), m.end(), 5))
+    end = 0
+    for m in JWT.finditer(text):
+        if m.start() >= end and is_signed_token(m[0] + m[1]):
+            end = m.end(1)
+            found.append((m.start(), end, 6))
     return [(a, b, KINDS[k]) for a, b, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 

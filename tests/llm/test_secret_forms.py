@@ -60,3 +60,31 @@ def test_masking_takes_the_whole_escaped_key(spark):
     text = json.dumps({"k": "\n".join(["-----BEGIN PRIVATE KEY-----", *_lines(RSA), "-----END PRIVATE KEY-----"])})
     docs = spark.createDataFrame([(1, text), (2, "private_key=" + _b64(RSA))], "doc_id long, text string")
     assert {r.doc_id: r.text for r in secret_scan.masked(docs).collect()} == {1: '{"k": "<pem>"}', 2: "private_key=<der>"}
+
+
+def _url(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+def test_encrypted_keys():
+    oid, salt = bytes.fromhex("06092a864886f70d01050d"), _der(0x30, _der(4, b"saltsalt") + _der(2, b"\x08\0"))
+    locked = _der(0x30, _der(0x30, oid + salt) + _der(4, b"\x99" * 96))
+    digest = _der(0x30, _der(0x30, bytes.fromhex("0609608648016503040201") + _der(5, b"")) + _der(4, b"\x99" * 32))
+    armour = lambda name, lines: "\n".join([f"-----BEGIN {name} KEY-----", *lines, f"-----END {name} KEY-----"])
+    assert _kinds(armour("ENCRYPTED PRIVATE", _lines(locked))) == ["pem", *["der"] * (len(_lines(locked)) == 1)]
+    assert _kinds(_b64(locked)) == ["der"] and _kinds(_b64(digest)) == []
+    headers = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0A" * 16, ""]
+    for lines, kinds in (([*headers, *_lines(b"\x99" * 160)], ["pem"]), ([*headers, *_lines(b"\x99" * 161)], [])):
+        assert _kinds(armour("RSA PRIVATE", lines)) == kinds
+        assert _kinds(json.dumps(armour("RSA PRIVATE", lines))) == kinds
+    assert _kinds(armour("RSA PRIVATE", _lines(b"\x99" * 160))) == []
+    assert _kinds(armour("RSA PRIVATE", ["Comment: mine", "", *_lines(RSA)])) == ["pem"]
+
+
+def test_token_headers_with_white_space_and_hex_of_ssh_keys():
+    for header in (b'{"alg":"HS256"}', b'{ "alg": "HS256"}', b'{\n "alg": "HS256"}', b' {"alg":"HS256"}', b'\n{"alg":"HS256"}'):
+        token = ".".join([_url(header), _url(b'{"sub":1}'), _url(b"sig" * 8)])
+        for before in ("", "example.", "Cookie=", "Dear.friend.", r"\n", "https://x/"):
+            assert secret_scan.scan(before + token) == [(len(before), len(before) + len(token), "jwt")]
+    assert _kinds(".".join([_url(b'{ "a": 1}'), _url(b"{}"), "c2ln"])) == _kinds("e.g. Dear.friend.of Item.Cell.End") == []
+    assert "ssh" in _kinds(SSH.hex()) and _kinds(SSH.hex().upper()) == ["ssh", "hex"] and "ssh" not in _kinds((SSH + b"\0").hex())

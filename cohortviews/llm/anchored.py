@@ -103,7 +103,9 @@ def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Po
     starts = np.concatenate([[0], ends[:-1]])
     change = np.zeros(windows, bool)
     change[0] = True
-    change[1:] = anchor[1:] != anchor[:-1]
+    # a run has at most as many windows as its count can hold; cut by the distance to the anchor, equal runs are cut alike
+    piece = (anchor - np.arange(windows)) // MOST_WINDOWS
+    change[1:] = (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1])
     change[starts[starts < windows]] = True
     first = np.flatnonzero(change)
     last = np.append(first[1:], windows)  # exclusive
@@ -122,6 +124,7 @@ def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Po
 
 #: ``at`` packs, from the highest bits down, a digest of the text (rows with one id), the first window and their number.
 TEXT_BITS, FIRST_BITS, COUNT_BITS = 19, 36, 8
+MOST_WINDOWS = (1 << COUNT_BITS) - 1
 NULL_ID = -(1 << 63)
 
 

@@ -7,7 +7,7 @@ the ids are read off backwards.
 
 Texts are first cut where no token of the vocabulary can lie across: before white space, and between word characters
 and marks that no token joins. Parts repeat a lot, so each worker keeps the ids of parts that it has seen, up to a fixed
-number. The vocabulary is broadcast: its size is that of the model, whatever the input.
+number of bytes. The vocabulary is broadcast: its size is that of the model, whatever the input.
 
 Nulls: a null text is encoded as the empty text, which has no ids. Rows are independent, so repeated rows give repeated
 results; no rows give no rows. A text of any length is encoded whole.
@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame
 from cohortviews.llm.common import map_texts
 
 SPACE = "▁"
-#: Parts that a worker remembers before it starts anew.
-REMEMBERED = 150_000
+#: Megabytes of parts that a worker remembers, all in all.
+REMEMBERED_MB = 256
+#: Bytes of an entry beside its strings: headers of two strings and a tuple, and its place in a dictionary.
+ENTRY_BYTES = 300
 NONE, START = -2, -1
 
 
@@ -46,10 +48,10 @@ def vocabulary(model_file: str) -> dict:
 
 
 class Memory:
-    """A dictionary of short keys in two generations: when the new one is full, it becomes the old one."""
+    """A dictionary of short keys in two generations of ``most`` / 2 bytes: when the new one is full, it becomes the old one."""
 
     def __init__(self, most: int):
-        self.most, self.new, self.old = most // 2, {}, {}
+        self.most, self.size, self.new, self.old = most // 2, 0, {}, {}
 
     def get(self, key: str):
         found = self.new.get(key)
@@ -61,17 +63,19 @@ class Memory:
 
     def put(self, key: str, value):
         if len(key) <= 64:
-            if len(self.new) >= self.most:
+            if self.size >= self.most:
                 self.old = self.new.copy()
                 self.new.clear()
+                self.size = 0
             self.new[key] = value
+            self.size += ENTRY_BYTES + len(key) + len(value[0]) + len(value[1])
         return value
 
 
 class Encoder:
     """Encodes and decodes with one vocabulary; remembers parts and pair tests."""
 
-    def __init__(self, vocab: dict):
+    def __init__(self, vocab: dict, memory_mb: int = REMEMBERED_MB):
         import ahocorasick
 
         self.scores = {p: s for p, (_, s) in vocab["pieces"].items()}
@@ -86,8 +90,8 @@ class Encoder:
             self.tokens.add_word(p, (len(p), i, {}))  # with the pair tests of the token as the right one
         self.tokens.make_automaton()
         self.known = frozenset(p for p in self.reached if len(p) == 1)
-        self.parts = Memory(REMEMBERED)  # parts without white space before them
-        self.words = Memory(REMEMBERED)  # texts between two white spaces
+        self.parts = Memory(memory_mb << 17)  # parts without white space before them: an eighth
+        self.words = Memory(7 * memory_mb << 17)  # texts between two white spaces
         self.cut = self._cut()
 
     def _cut(self) -> re.Pattern:
@@ -244,14 +248,19 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
-    """The kept columns of ``docs`` with n_tokens, ids_sha256 and decoded_sha256; and ids, if asked for."""
+def encode_documents(
+    docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False, memory_mb: int = REMEMBERED_MB
+) -> DataFrame:
+    """The kept columns of ``docs`` with n_tokens, ids_sha256 and decoded_sha256; and ids, if asked for.
+
+    Each worker remembers up to ``memory_mb`` of parts; a smaller bound costs time, never a result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": vocabulary(model_file)})
 
     def each(texts: list[bytes | None]) -> list[pa.Array]:
         held = shared.value
         if "encoder" not in held:  # once for each worker process
-            held["encoder"] = Encoder(held.pop("vocabulary"))
+            held["encoder"] = Encoder(held.pop("vocabulary"), memory_mb)
         encoder = held["encoder"]
         both = [encoder.encode((t or b"").decode("utf-8", "replace")) for t in texts]
         out = [

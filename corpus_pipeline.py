@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortviews.llm import language, mixing, pieces, secret_scan, similar
+from cohortviews.llm import language, mixing, pieces, secret_scan, simhash
 from cohortviews.llm.common import documents, stage
 from cohortviews.llm.queries import piece_model
 
@@ -22,8 +22,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more), the smallest doc_id."""
-    return similar.one_of_each(docs.select(*COLUMNS))
+    """One document of each SimHash group (fingerprints of four-word shingles, 4 bits or fewer apart), the smallest doc_id."""
+    return simhash.one_of_each(docs.select(*COLUMNS), tau=4, shingle=4)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, digests of ids and decoded text, and the ids themselves."""
-    return pieces.encode_documents(docs.select(*COLUMNS), piece_model(), ("doc_id", "source"), with_ids=True)
+    return pieces.encode_documents(docs.select(*COLUMNS), piece_model(), ("doc_id", "source"), with_ids=True, memory_mb=64)
 
 
 STAGES = [

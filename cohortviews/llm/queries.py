@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortviews.llm import language, lattice, mixing, multi_index, passages, pieces, secret_scan, sharding, simhash, substring_dedup
+from cohortviews.llm import (
+    language,
+    lattice,
+    mixing,
+    multi_index,
+    passages,
+    pieces,
+    secret_scan,
+    sharding,
+    simhash,
+    spelling,
+    substring_dedup,
+)
 from cohortviews.llm.common import documents, embeddings
 
 
@@ -124,3 +136,58 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_passages")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.deduplicated(documents(spark, sf_dir), 50)
+
+
+@query(
+    "op13_spelling",
+    """
+    WITH RECURSIVE crc_table AS (
+        SELECT list(c ORDER BY i) AS tab FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(256))::BIGINT AS i))
+    ), runs AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id,
+            translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM documents
+    ), counted AS (
+        SELECT run, hex(encode(id || ':' || run)) AS h, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY id, run
+    ), hashed AS (
+        SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(range(length(h) // 2), lambda p: ('0x' || h[2 * p + 1 : 2 * p + 2])::BIGINT)),
+                lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) AS crc
+        FROM counted, crc_table
+    ), slipped AS (
+        SELECT k, CASE WHEN crc % 31 = 0
+            THEN left(run, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2) ELSE run END AS word
+        FROM hashed
+    ), words AS (
+        SELECT word, sum(k)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+    ), holes AS (
+        SELECT word, n, i, left(word, i - 1) AS l, substr(word, i + 1) AS r
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+    ), near AS (
+        SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b USING (i, l, r) WHERE a.word <> b.word
+        UNION
+        SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.l || a.r = b.word
+        UNION
+        SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.l || a.r = b.word
+    ), best AS (
+        SELECT word, count(*) AS n_near, min({'m': -other_n, 'w': other}) AS b FROM near GROUP BY word
+    ), formed AS (
+        SELECT w.word, CASE WHEN -b.b.m >= 10 * w.n THEN b.b.w END AS form, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+            CASE WHEN -b.b.m >= 10 * w.n THEN -b.b.m END AS form_n
+        FROM words w LEFT JOIN best b ON w.word = b.word
+    ), ways AS (
+        SELECT word, word AS root FROM formed
+        UNION ALL
+        SELECT w.word, f.form FROM ways w JOIN formed f ON w.root = f.word WHERE f.form IS NOT NULL
+    ), ends AS (
+        SELECT w.word, w.root FROM ways w JOIN formed f ON w.root = f.word WHERE f.form IS NULL
+    )
+    SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON f.word = e.word
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))

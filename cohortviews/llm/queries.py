@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortviews.llm import (
+    katz,
     language,
     lattice,
     mixing,
@@ -138,6 +139,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.deduplicated(documents(spark, sf_dir), 50)
 
 
+@query("op11_katz")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(documents(spark, sf_dir), katz.held_out(2, 7))
+
+
 @query(
     "op13_spelling",
     """

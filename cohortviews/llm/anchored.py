@@ -122,18 +122,21 @@ def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Po
     return doc, first, last - first, hashes[at].view(np.int64), of(first, last - 1 + length), left, right
 
 
-#: ``at`` packs, from the highest bits down, a digest of the text (rows with one id), the first window and their number.
-TEXT_BITS, FIRST_BITS, COUNT_BITS = 19, 36, 8
+#: ``at`` packs the first window of a run and, in the lowest bits, their number.
+COUNT_BITS = 8
 MOST_WINDOWS = (1 << COUNT_BITS) - 1
 NULL_ID = -(1 << 63)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(id, digest, text) of every row: never null; a null id is the smallest, a null text is empty."""
+    """(id, digest, text) of every row: never null; a null id is the smallest, a null text is empty.
+
+    Rows of one id, like all those without an id, are told apart by a 64-bit digest of the text.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.crc32(F.encode(text, "UTF-8")).bitwiseAND(F.lit((1 << TEXT_BITS) - 1)).alias("digest"),
+        F.xxhash64(text).alias("digest"),
         text.alias("text"),
     )
 
@@ -142,29 +145,25 @@ def original_id(column: str = "id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column)).alias("doc_id")
 
 
-def packed(digest, first, count):
-    return (digest << (FIRST_BITS + COUNT_BITS)) | (first << COUNT_BITS) | count
+def packed(first, count):
+    return (first << COUNT_BITS) | count
 
 
 def first_of(at: Column) -> Column:
-    return F.shiftrightunsigned(at, COUNT_BITS).bitwiseAND(F.lit((1 << FIRST_BITS) - 1))
+    return F.shiftrightunsigned(at, COUNT_BITS)
 
 
 def count_of(at: Column) -> Column:
     return at.bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
 
-def digest_of(at: Column) -> Column:
-    return F.shiftrightunsigned(at, FIRST_BITS + COUNT_BITS)
-
-
 def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: int, gram: int, extended: bool = False) -> DataFrame:
-    """(id, at, anchor, run) for every run of windows of ``docs`` (id, digest, text); and left, right if extended.
+    """(id, digest, at, anchor, run) for every run of windows of ``docs`` (id, digest, text); and left, right if extended.
 
     Texts are joined up to a fixed number of units at a time; a longer one goes through in overlapping pieces.
     """
 
-    names = ["id", "at", "anchor", "run"] + ["left", "right"] * extended
+    names = ["id", "digest", "at", "anchor", "run"] + ["left", "right"] * extended
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(CHUNK)
@@ -177,8 +176,8 @@ def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: i
             doc, first, n, *found = runs(units, ends, length, gram, powers)
             ids, texts, offsets = (np.array([h[i] for h in held], np.int64) for i in range(3))
             starts = ends - np.array([len(h[3]) for h in held])
-            at = packed(texts[doc], first - starts[doc] + offsets[doc], n)
-            columns = [pa.array(x) for x in (ids[doc], at.astype(np.int64), *found)]
+            at = packed(first - starts[doc] + offsets[doc], n)
+            columns = [pa.array(x) for x in (ids[doc], texts[doc], at.astype(np.int64), *found)]
             return pa.RecordBatch.from_arrays(columns[: len(names)], names)
 
         for batch in batches:
@@ -284,14 +283,14 @@ def over_shards(solve: Callable[[pa.Table], pa.RecordBatch], most: int):
 def solved(docs: DataFrame, kinds: DataFrame, shard_runs: int, cutter, solver) -> DataFrame:
     """What shards find in the different runs of one anchor (``FOUND``), written.
 
-    ``kinds`` has anchor, run and earliest (id, at). Runs of an anchor with more than ``shard_runs`` are crowded: dealt
+    ``kinds`` has anchor, run and earliest (id, digest, at). Runs of an anchor with more than ``shard_runs`` are crowded: dealt
     over several shards, which return the digests of their remaining windows.
     """
     different = kinds.groupBy("anchor").agg(F.count("*").alias("runs")).filter("runs > 1")
     at = F.col("earliest.at")
     wanted = kinds.join(different, "anchor").select(
         F.col("earliest.id").alias("id"),
-        digest_of(at).alias("digest"),
+        F.col("earliest.digest").alias("digest"),
         F.struct(
             first_of(at).alias("first"),
             count_of(at).cast("int").alias("count"),

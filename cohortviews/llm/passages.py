@@ -34,7 +34,6 @@ from cohortviews.llm.anchored import (
     count_of,
     covered,
     cut,
-    digest_of,
     digests,
     first_of,
     keyed,
@@ -109,19 +108,19 @@ def removed_windows(docs: DataFrame, length: int = 50, shard_runs: int = SHARD_R
     wider = runs.select("id", F.explode(sides).alias("side")).filter("side <> 0")
     second_level = stage(_in_two_documents(wider, "side"), "level")
     doubled = (
-        runs.select("id", "at", "anchor", "run", F.explode(sides).alias("side"))
+        runs.select("id", "digest", "at", "anchor", "run", F.explode(sides).alias("side"))
         .join(second_level, "side", "left_semi")
-        .select("id", "at", "anchor", "run")
+        .select("id", "digest", "at", "anchor", "run")
         .distinct()
     )
     runs = stage(doubled, "runs")
-    kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "at")).alias("earliest"), F.max("id").alias("high"))
+    kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "digest", "at")).alias("earliest"), F.max("id").alias("high"))
     kinds = stage(kinds, "kinds")
     at = F.col("at")
     copies = (
         runs.join(kinds.filter("high > earliest.id").select("anchor", "run", "earliest"), ["anchor", "run"])
         .filter(F.col("id") > F.col("earliest.id"))
-        .select("id", digest_of(at).alias("digest"), first_of(at).alias("first"), count_of(at).cast("int").alias("count"))
+        .select("id", "digest", first_of(at).alias("first"), count_of(at).cast("int").alias("count"))
     )
     # equal runs of one document, at several places or in several rows of one id, share the fate of its first one
     found = solved(docs, kinds, shard_runs, cut(_piece(length)), _compare(length))
@@ -134,13 +133,13 @@ def _everywhere(removed: DataFrame, runs: DataFrame, kinds: DataFrame) -> DataFr
     at, early = F.col("at"), F.col("earliest.at")
     twins = (
         runs.join(kinds.select("anchor", "run", "earliest"), ["anchor", "run"])
-        .filter((F.col("id") == F.col("earliest.id")) & (at != early))
+        .filter((F.col("id") == F.col("earliest.id")) & (F.struct("id", "digest", "at") != F.col("earliest")))
         .select(
             "id",
-            digest_of(early).alias("digest"),
+            F.col("earliest.digest").alias("digest"),
             first_of(early).alias("early"),
             count_of(early).alias("windows"),
-            digest_of(at).alias("twin_digest"),
+            F.col("digest").alias("twin_digest"),
             first_of(at).alias("twin"),
         )
     )

@@ -32,7 +32,6 @@ from cohortviews.llm.anchored import (
     count_of,
     covered,
     cut,
-    digest_of,
     first_of,
     keyed,
     original_id,
@@ -119,13 +118,13 @@ def removed_windows(docs: DataFrame, length: int = 100, gram: int = GRAM, shard_
     seen = all_runs(docs, _units, length, gram)
     again = stage(seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
     runs = stage(seen.join(again, "anchor", "left_semi"), "runs")
-    kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "at")).alias("earliest"), F.count("*").alias("n"))
+    kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "digest", "at")).alias("earliest"), F.count("*").alias("n"))
     kinds = stage(kinds, "kinds")
     at = F.col("at")
     copies = (
         runs.join(kinds.filter("n > 1").select("anchor", "run", "earliest"), ["anchor", "run"])
-        .filter(F.struct("id", "at") != F.col("earliest"))
-        .select("id", digest_of(at).alias("digest"), first_of(at).alias("first"), count_of(at).cast("int").alias("count"))
+        .filter(F.struct("id", "digest", "at") != F.col("earliest"))
+        .select("id", "digest", first_of(at).alias("first"), count_of(at).cast("int").alias("count"))
     )
     found = solved(docs, kinds, shard_runs, cut(_piece(length)), _shard(length))
     return copies.unionByName(across_shards(found, F.struct("id", "digest", "first")))

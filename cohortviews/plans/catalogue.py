@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load() -> None:
     """Import every module that registers queries."""
     from cohortviews.plans import (  # noqa: F401
+        queries_boosting,
         queries_evaluation,
         queries_files,
         queries_labels,

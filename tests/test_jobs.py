@@ -85,7 +85,7 @@ def test_from_merge_to_panels(spark, loaded):
     manifest = read_json(f"{loaded}/cohort/manifest")[0]
     assert manifest["label_map"] == {"BRCA": 0, "LUAD": 1} and manifest["rows"] == 80
     assert "cg00003" not in manifest["feature_columns"]
-    jobs.classify(spark, f"{loaded}/cohort", f"{loaded}/model", top_n=10, trees=10, depth=4)
+    jobs.classify(spark, f"{loaded}/cohort", f"{loaded}/model", top_n=10, trees=10, depth=4, learner="forest")
     scores = {r["metric"]: float(r["mean"]) for r in read_csv(f"{loaded}/model/cv_scores")}
     assert scores["accuracy"] > 0.8
     assert len(read_csv(f"{loaded}/model/oof_predictions")) == 80
@@ -96,7 +96,9 @@ def test_from_merge_to_panels(spark, loaded):
     assert coverage["BRCA"] == 6
     jobs.subtype_table(spark, f"{loaded}/merged", f"{loaded}/audit/subtype_label_audit", f"{loaded}/subtype", "BRCA")
     assert read_json(f"{loaded}/subtype/manifest")[0]["rows"] == 36
-    jobs.classify(spark, f"{loaded}/subtype", f"{loaded}/submodel", "BRCA", top_n=8, trees=10, depth=4)
+    jobs.classify(spark, f"{loaded}/subtype", f"{loaded}/submodel", "BRCA", top_n=8, trees=6, depth=3)
+    log = [float(r["log_loss"]) for r in read_csv(f"{loaded}/submodel/training_log")]
+    assert len(log) == 6 and log == sorted(log, reverse=True)
     jobs.compare_panels(spark, f"{loaded}/submodel/attribution_summary", f"{loaded}/panels", "BRCA")
     report = read_json(f"{loaded}/panels/panel_comparison")[0]
     assert report["panel_size"] == 20 and report["hits_top10"]["hits"] >= 3

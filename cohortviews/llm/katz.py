@@ -205,10 +205,24 @@ def requests(texts: DataFrame, crowded, short: np.ndarray) -> DataFrame:
     return texts.groupBy("chunk").applyInArrow(send, SENT)
 
 
+#: In place of a salt: a row about a backoff weight, or about a history whose counts are divided by one more.
+WEIGHT, ONE_MORE = -1, -2
 SUMS = [f"n{r}" for r in range(1, LARGEST + 2)]
 COUNTED = "chunk long, salt long, word long, c long, counts binary, " + ", ".join(f"{n} long" for n in SUMS) + ", mass double"
 
 
+def _needs(chunk: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """Which chunks back off from which words."""
+    by = np.lexsort((first, chunk))
+    chunk, first = chunk[by], first[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (chunk[1:] != chunk[:-1]) | (first[1:] != first[:-1])
+    n = int(new.sum())
+    columns = [pa.array(chunk[new]), pa.array(np.full(n, WEIGHT)), pa.array(first[new]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+    columns += [pa.nulls(n, pa.int64())] * len(SUMS) + [pa.nulls(n, pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in COUNTED.split(", ")])
+
+
 class Histories:
     """Sums over pairs by their first word, compacted as they come."""
 
@@ -241,7 +255,8 @@ class Histories:
 
 
 def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.ndarray], short: np.ndarray) -> DataFrame:
-    """``COUNTED``: for each request the counts of its pairs; and beside them (chunk null) sums by first word."""
+    """``COUNTED``: for each request the counts of its pairs; beside them the backoff weights that a chunk needs (salt
+    ``WEIGHT``), for pairs that training lacks, and sums by first word (chunk null)."""
 
     def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Tables of whole (word, salt) groups, of a bounded size unless one group is larger."""
@@ -301,6 +316,8 @@ def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.
             back = total[of_pair]
             kind = np.uint32 if back.max() < 1 << 32 else np.uint64
             row_c = c[np.cumsum(new) - 1]
+            unseen = back == 0
+            yield _needs((slot >> SALT_BITS)[np.repeat(np.arange(len(word)), size)][unseen], first[unseen])
             columns = [pa.array(slot >> SALT_BITS), pa.array(salt), pa.array(word), pa.array(row_c), _blobs(back.astype(kind), np.cumsum(size))]
             columns += [pa.nulls(len(word), pa.int64())] * len(SUMS) + [pa.nulls(len(word), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in COUNTED.split(", ")])
@@ -311,14 +328,9 @@ def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.
     return stage(dealt.mapInArrow(count, COUNTED), "counts")
 
 
-def backoff(factor: np.ndarray, c: Column | float, n, mass):
-    """(total, weight) of a history: what pair counts are divided by, and its backoff weight."""
-    freed = sum(((1.0 - float(factor[r])) * r * n[r - 1] for r in range(1, LARGEST + 1)), start=0.0)
-    if isinstance(c, Column):
-        total = F.when(freed > 0, c).otherwise(c + 1).cast("double")
-        return total, F.when(freed > 0, freed).otherwise(F.lit(1.0)) / total / (1 - mass)
-    total = float(c if freed > 0 else c + 1)
-    return total, (freed if freed > 0 else 1.0) / total / (1 - mass)
+def freed_by(factor: np.ndarray, n: list):
+    """What the discounts of a history's pairs free, by how many pairs occur r times."""
+    return sum(((1.0 - float(factor[r])) * r * n[r - 1] for r in range(1, LARGEST + 1)), start=0.0)
 
 
 def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_BYTES, group_tokens: int = GROUP_TOKENS) -> DataFrame:
@@ -352,14 +364,30 @@ def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_
     factor = discounts([kinds[k] or 0 for k in SUMS])
     begin = histories.filter(F.col("word") == START).first()
     begins = known.filter(F.col("word") == END).first()
-    start = backoff(factor, begins.c, [begin[k] for k in SUMS], begin.mass) if begin else (1.0, 1.0)
-    total, weight = backoff(factor, F.col("c"), [F.col(k) for k in SUMS], F.col("mass"))
-    asked = table.filter("chunk is not null").select("chunk", "salt", "word", "c", "counts").join(histories, "word", "left")
-    answers = asked.select("chunk", "salt", "word", "c", "counts", total.alias("total"), weight.alias("weight"))
+    start = (1.0, 1.0)  # what counts are divided by, and the backoff weight
+    if begin:
+        freed = freed_by(factor, [begin[k] for k in SUMS])
+        total = begins.c if freed > 0 else begins.c + 1
+        start = (float(total), (freed if freed > 0 else 1.0) / total / (1 - begin.mass))
+    freed = freed_by(factor, [F.col(k) for k in SUMS])
+    total = F.col("c") + F.when(freed > 0, 0).otherwise(1)
+    weight = F.when(freed > 0, freed).otherwise(1.0) / total / (1 - F.col("mass"))
+    weighed = stage(histories.join(known, "word").select("word", weight.alias("weight"), (freed <= 0).alias("one_more")), "weights")
+    rows = table.filter("chunk is not null")
+    requested = rows.filter("salt >= 0")
+    needed = rows.filter(F.col("salt") == WEIGHT).select("chunk", "salt", "word").distinct().join(weighed, "word")
+    # mostly a handful of words, so the planner broadcasts them; else it shuffles the keys of the requests
+    odd = stage(weighed.filter("one_more").select("word"), "one_more")
+    more = requested.select("chunk", F.lit(ONE_MORE).cast("long").alias("salt"), "word").join(odd, "word").distinct()
+    answers = requested.select("chunk", "salt", "word", "c", "counts", F.lit(None).cast("double").alias("weight"))
+    for part, value in ((needed, F.col("weight")), (more, F.lit(None).cast("double"))):
+        answers = answers.unionByName(part.select("chunk", "salt", "word", value.alias("weight")), allowMissingColumns=True)
 
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
         mine = _chunk(left, crowded)
-        right = right.sort_by([("word", "ascending"), ("salt", "ascending")])
+        salt = right.column("salt").to_numpy()
+        beside = {k: right.filter(pa.array(salt == k)) for k in (WEIGHT, ONE_MORE)}
+        right = right.filter(pa.array(salt >= 0)).sort_by([("word", "ascending"), ("salt", "ascending")])
         if right.num_rows != len(mine.rows):
             raise RuntimeError("answers do not match the requests of a chunk")
         back, size = _flat(_column(right, "counts"), "u1")
@@ -375,11 +403,13 @@ def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_
         new = mine.salt[mine.rows] >= 0
         new[1:] = mine.second[mine.rows][1:] != mine.second[mine.rows][:-1]
         c = _column(right, "c").to_numpy()[new]
-        totals, weights = (_column(right, k).to_numpy(zero_copy_only=False)[new] for k in ("total", "weight"))
-        totals = np.append(np.nan_to_num(totals, nan=1.0), start[0])
-        weights = np.append(np.nan_to_num(weights, nan=1.0), start[1])  # nothing follows an unknown word: P(w) alone
+        totals, weights = np.append(c, start[0]).astype(np.float64), np.append(np.ones(len(c)), start[1])
+        # nothing follows an unknown word in training: its weight stays 1, so P(w) is left
+        at = {k: np.searchsorted(mine.words, _column(t, "word").to_numpy()) for k, t in beside.items()}
+        weights[at[WEIGHT]] = _column(beside[WEIGHT], "weight").to_numpy(zero_copy_only=False)
+        totals[at[ONE_MORE]] += 1
         p = words.probability(c)
-        direct = factor[np.minimum(n, LARGEST + 1)] * n / totals[mine.first]
+        direct = factor[np.minimum(n, LARGEST + 1)] * n / np.maximum(totals, 1)[mine.first]
         logs = np.log10(np.where(n > 0, direct, weights[mine.first] * p[mine.second]))
         number = len(mine.sizes)
         score = np.bincount(mine.text, logs[mine.pair], number)

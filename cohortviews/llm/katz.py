@@ -2,17 +2,19 @@
 
 P(w | v) is d c(v, w) / c(v) for a pair seen in training, with Good-Turing discounts d of counts up to ``LARGEST``, and
 backs off to alpha(v) P(w) otherwise; alpha(v) makes the probabilities after v sum to exactly one. P(w) is a discounted
-count too, and what the discounts free is the probability of one class of all unknown words. Where no discount frees
-anything (no pair or word occurs rarely), one more occurrence is assumed, so that nothing has probability zero. Tokens
+count too, and what the discounts free is the probability of one class of all unknown words. Where Good-Turing gives no
+factor between 0 and 1, half an occurrence is taken off. Where nothing is discounted (no pair after v, or no word, occurs
+``LARGEST`` times or less), one more occurrence is assumed, so that nothing has probability zero. Tokens
 are the words of a text, A-Z lower-cased, and one end; the first one follows a start that is no token.
 
-Words are 64-bit digests in all tables. Documents are dealt into chunks by digest. A chunk sends each different pair once,
-a row for each second word with its first words, and gets their counts over all training texts back: no token becomes a
-row, and a copied text costs nothing more in its chunk. Rows are partitioned by the second word, which yields its own
-count and those of all pairs that end in it; sums over pairs that begin with a word (how many occur r times, and the
-probability mass of their second words) are a small two-phase aggregate beside. The counts and backoff weights are joined
-to the rows by word and return to their chunks, where each token is evaluated from the pair down. The second words of
-more than ``GROUP_TOKENS`` tokens are dealt over several groups by first word; there are at most N / GROUP_TOKENS of them.
+Words are 64-bit digests in all tables. Documents are dealt into chunks by digest. A chunk sends each different pair once
+and gets its count over all training texts back: no token becomes a row, and a copied text costs nothing more in its
+chunk. Pairs are partitioned by their second word; all words of a bucket go in one row, and the answer has their counts in
+the same order. A partition so sees each second word whole, which yields its count and those of all pairs that end in it;
+sums over pairs that begin with a word (how many occur r times, and the probability mass of their second words) are a
+small two-phase aggregate beside, and the backoff weights from it go to the chunks that need them. There each token is
+evaluated from the pair down. Buckets hold some ``BUCKET_TOKENS`` tokens; a second word of more than ``GROUP_TOKENS`` is
+dealt over several groups of its own by first word, and there are at most N / GROUP_TOKENS of such.
 
 Nulls: a null text is empty and has one token, its end. A null id is not held out. Repeated rows count as often as they
 occur. If nothing is learned, every word is unknown. No rows give no rows. Sums of floating-point numbers may differ in
@@ -21,7 +23,8 @@ their last digits between runs; counts do not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ LARGEST = 5
 CHUNK_BYTES = 1 << 24
 #: Tokens that a task counts at a time, and tokens of one second word from which it is dealt over groups.
 BATCH_TOKENS, GROUP_TOKENS, MOST_CROWDED = 1 << 21, 1 << 20, 1 << 20
+BUCKET_TOKENS = 1 << 18
 #: The commonest words go by two bytes; at most so many are broadcast.
 SHORT_CODES = (1 << 16) - 2
 RARE = np.uint16(0xFFFF)
@@ -65,11 +69,10 @@ def discounts(kinds: list[int]) -> np.ndarray:
     """Katz's factor for counts 0 .. LARGEST + 1 (the last for all larger ones); ``kinds[r - 1]`` occur r times."""
     out = np.ones(LARGEST + 2)
     rest = (LARGEST + 1) * kinds[LARGEST] / kinds[0] if kinds[0] else 1.0
-    if rest < 1:
-        for r in range(1, LARGEST + 1):
-            if kinds[r - 1]:
-                d = ((r + 1) * kinds[r] / (r * kinds[r - 1]) - rest) / (1 - rest)
-                out[r] = d if 0 < d < 1 else 1.0
+    for r in range(1, LARGEST + 1):
+        usable = rest < 1 and kinds[r - 1]
+        d = ((r + 1) * kinds[r] / (r * kinds[r - 1]) - rest) / (1 - rest) if usable else 0.0
+        out[r] = d if 0 < d < 1 else (r - 0.5) / r
     return out
 
 
@@ -116,10 +119,27 @@ def vocabulary(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+@dataclass
+class Plan:
+    """How second words are dealt: into buckets; the crowded ones (sorted) into groups of their own."""
+
+    buckets: int
+    names: np.ndarray
+    counts: np.ndarray
+    groups: np.ndarray
+
+    def crowded(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place among the crowded words, and which words are."""
+        if not len(self.names):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
+        return at, self.names[at] == words
+
+
 class Chunk:
-    """Different texts of a chunk, its words, and its different pairs in the order (second word, salt, first word)."""
+    """Different texts of a chunk, its words, and its different pairs in the order (bucket, salt, second, first word)."""
 
-    def __init__(self, texts: list[bytes], weights: np.ndarray, crowded: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, texts: list[bytes], weights: np.ndarray, plan: Plan):
         place: dict[bytes, int] = {}
         self.text_of = np.array([place.setdefault(t, len(place)) for t in texts], np.int64)
         weight = np.bincount(self.text_of, weights, len(place))
@@ -134,20 +154,20 @@ class Chunk:
         keys, self.pair = np.unique(second * (len(self.words) + 1) + first, return_inverse=True)
         self.n = np.bincount(self.pair, weight[self.text], len(keys)).astype(np.int64)
         self.second, self.first = np.divmod(keys, len(self.words) + 1)
-        self.salt = np.zeros(len(keys), np.int64)
-        names, groups = crowded
-        if len(names):
-            at = np.minimum(np.searchsorted(names, self.words), len(names) - 1)
-            of_word = np.where(names[at] == self.words, groups[at], 1)
-            self.salt = self.first_digest() % of_word[self.second]  # not negative: the divisor is positive
-            by = np.lexsort((self.first, self.salt, self.second))
-            back = np.empty_like(by)
-            back[by] = np.arange(len(by))
-            self.second, self.first, self.salt, self.n = self.second[by], self.first[by], self.salt[by], self.n[by]
-            self.pair = back[self.pair]
+        at, is_crowded = plan.crowded(self.words)
+        bucket = np.where(is_crowded, plan.buckets + at, self.words % plan.buckets)[self.second]
+        groups = np.where(is_crowded, plan.groups[at] if len(plan.groups) else 1, 1)[self.second]
+        salt = self.first_digest() % groups  # not negative: the divisor is positive
+        by = np.lexsort((self.first, self.second, salt, bucket))
+        back = np.empty_like(by)
+        back[by] = np.arange(len(by))
+        self.second, self.first, self.n, self.pair = self.second[by], self.first[by], self.n[by], back[self.pair]
+        self.bucket, self.salt = bucket[by], salt[by]
         new = np.ones(len(keys), bool)
-        new[1:] = (self.second[1:] != self.second[:-1]) | (self.salt[1:] != self.salt[:-1])
+        new[1:] = (self.bucket[1:] != self.bucket[:-1]) | (self.salt[1:] != self.salt[:-1])
         self.rows = np.flatnonzero(new)  # a row begins at each of these pairs
+        new[1:] |= self.second[1:] != self.second[:-1]
+        self.parts = np.flatnonzero(new)  # and one word of a row at each of these
 
     def first_digest(self) -> np.ndarray:
         return np.append(self.words, START)[self.first]
@@ -176,26 +196,30 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return out.chunk(0) if isinstance(out, pa.ChunkedArray) else out
 
 
-def _chunk(table: pa.Table, crowded) -> Chunk:
+def _chunk(table: pa.Table, plan: Plan) -> Chunk:
     texts = _column(table, "text").cast(pa.binary()).to_pylist()
-    return Chunk(texts, 1.0 - _column(table, "held_out").to_numpy(zero_copy_only=False), crowded)
+    return Chunk(texts, 1.0 - _column(table, "held_out").to_numpy(zero_copy_only=False), plan)
 
 
-SENT = "word long, slot long, codes binary, rare binary, n binary"
+SENT = "bucket long, slot long, words binary, sizes binary, codes binary, rare binary, n binary"
 
 
-def requests(texts: DataFrame, crowded, short: np.ndarray) -> DataFrame:
-    """A row for each second word (and salt) of each chunk: its first words and how often training has the pairs here."""
+def requests(texts: DataFrame, plan: Plan, short: np.ndarray) -> DataFrame:
+    """A row for each bucket (and salt) of each chunk: second words, how many first words each has, these, and how often
+    training has the pairs here."""
 
     def send(table: pa.Table) -> pa.Table:
-        chunk, number = _chunk(table, crowded), table.column("chunk")[0].as_py()
+        chunk, number = _chunk(table, plan), table.column("chunk")[0].as_py()
         first = chunk.first_digest()
         at = np.minimum(np.searchsorted(short, first), len(short) - 1)
         is_short = short[at] == first
         ends = np.append(chunk.rows[1:], len(first))
+        part_ends = np.searchsorted(chunk.parts, ends)
         columns = [
-            pa.array(chunk.words[chunk.second[chunk.rows]]),
+            pa.array(chunk.bucket[chunk.rows]),
             pa.array((number << SALT_BITS) | chunk.salt[chunk.rows]),
+            _blobs(chunk.words[chunk.second[chunk.parts]], part_ends),
+            _blobs(np.diff(np.append(chunk.parts, len(first))).astype(np.uint32), part_ends),
             _blobs(np.where(is_short, at, RARE).astype(np.uint16), ends),
             _blobs(first[~is_short], np.cumsum(~is_short)[ends - 1]),
             _blobs(chunk.n.astype(np.uint32), ends),
@@ -205,20 +229,20 @@ def requests(texts: DataFrame, crowded, short: np.ndarray) -> DataFrame:
     return texts.groupBy("chunk").applyInArrow(send, SENT)
 
 
-#: In place of a salt: a row about a backoff weight, or about a history whose counts are divided by one more.
-WEIGHT, ONE_MORE = -1, -2
+#: In place of a salt: a row about the backoff weight of a word.
+WEIGHT = -1
 SUMS = [f"n{r}" for r in range(1, LARGEST + 2)]
-COUNTED = "chunk long, salt long, word long, c long, counts binary, " + ", ".join(f"{n} long" for n in SUMS) + ", mass double"
+COUNTED = "chunk long, salt long, word long, c binary, counts binary, " + ", ".join(f"{n} long" for n in SUMS) + ", mass double"
 
 
 def _needs(chunk: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
-    """Which chunks back off from which words."""
+    """Which chunks ask about which first words."""
     by = np.lexsort((first, chunk))
     chunk, first = chunk[by], first[by]
     new = np.ones(len(by), bool)
     new[1:] = (chunk[1:] != chunk[:-1]) | (first[1:] != first[:-1])
     n = int(new.sum())
-    columns = [pa.array(chunk[new]), pa.array(np.full(n, WEIGHT)), pa.array(first[new]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+    columns = [pa.array(chunk[new]), pa.array(np.full(n, WEIGHT)), pa.array(first[new]), *[pa.nulls(n, pa.binary())] * 2]
     columns += [pa.nulls(n, pa.int64())] * len(SUMS) + [pa.nulls(n, pa.float64())]
     return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in COUNTED.split(", ")])
 
@@ -249,17 +273,32 @@ class Histories:
         self.compact()
         first, sums = self.parts[0] if self.parts else (np.zeros(0, np.int64), np.zeros((0, LARGEST + 2)))
         none = pa.nulls(len(first), pa.int64())
-        columns = [none, none, pa.array(first), none, pa.nulls(len(first), pa.binary())]
+        columns = [none, none, pa.array(first), *[pa.nulls(len(first), pa.binary())] * 2]
         columns += [pa.array(sums[:, k].astype(np.int64)) for k in range(LARGEST + 1)] + [pa.array(sums[:, -1].astype(np.float64))]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in COUNTED.split(", ")])
 
 
-def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.ndarray], short: np.ndarray) -> DataFrame:
-    """``COUNTED``: for each request the counts of its pairs; beside them the backoff weights that a chunk needs (salt
-    ``WEIGHT``), for pairs that training lacks, and sums by first word (chunk null)."""
+def _whole(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Counts as binaries of four bytes each, of eight if one needs it."""
+    return _blobs(values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64), ends)
+
+
+def _counts(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """All counts of such binaries; row i has ``sizes[i]``."""
+    flat, length = _flat(column, "u1")
+    if (length == 4 * sizes).all():
+        return np.frombuffer(flat.tobytes(), "<u4").astype(np.int64)
+    ends = np.cumsum(length)
+    each = zip(ends.tolist(), length.tolist(), sizes.tolist())
+    return np.concatenate([np.frombuffer(flat[e - l : e].tobytes(), "<u4" if l == 4 * n else "<u8").astype(np.int64) for e, l, n in each])
+
+
+def counted(sent: DataFrame, words: Words, plan: Plan, short: np.ndarray) -> DataFrame:
+    """``COUNTED``: for each request the counts of its words and pairs; beside them which chunks ask about which first
+    words (salt ``WEIGHT``), for pairs that training lacks or has often, and sums by first word (chunk null)."""
 
     def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Tables of whole (word, salt) groups, of a bounded size unless one group is larger."""
+        """Tables of whole (bucket, salt) groups, of a bounded size unless one group is larger."""
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
@@ -268,8 +307,8 @@ def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.
             if size < 1 << 24:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
-            word, slot = _column(table, "word").to_numpy(), _column(table, "slot").to_numpy() & ((1 << SALT_BITS) - 1)
-            edges = np.flatnonzero((word[1:] != word[:-1]) | (slot[1:] != slot[:-1]))
+            bucket, salt = _column(table, "bucket").to_numpy(), _column(table, "slot").to_numpy() & ((1 << SALT_BITS) - 1)
+            edges = np.flatnonzero((bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1]))
             if len(edges):
                 end = int(edges[-1]) + 1
                 yield table.slice(0, end)
@@ -285,46 +324,44 @@ def counted(sent: DataFrame, words: Words, crowded_counts: tuple[np.ndarray, np.
         for table in whole_groups(batches):
             if not table.num_rows:
                 continue
-            word, slot = _column(table, "word").to_numpy(), _column(table, "slot").to_numpy()
-            salt = slot & ((1 << SALT_BITS) - 1)
-            codes, _ = _flat(_column(table, "codes"), "<u2")
+            bucket, slot = _column(table, "bucket").to_numpy(), _column(table, "slot").to_numpy()
+            part_word, parts = _flat(_column(table, "words"), "<i8")
+            part_size, _ = _flat(_column(table, "sizes"), "<u4")
+            codes, size = _flat(_column(table, "codes"), "<u2")
             rare, _ = _flat(_column(table, "rare"), "<i8")
-            n, size = _flat(_column(table, "n"), "<u4")
-            size //= 4
+            n, _ = _flat(_column(table, "n"), "<u4")
+            parts, size = parts // 8, size // 2  # of each row
             first = short[np.minimum(codes, len(short) - 1)]
             first[codes == RARE] = rare
-            new = np.ones(len(word), bool)
-            new[1:] = (word[1:] != word[:-1]) | (salt[1:] != salt[:-1])
-            group = np.repeat(np.cumsum(new) - 1, size)
-            by = np.lexsort((first, group))
-            f, g = first[by], group[by]
+            word = np.repeat(part_word, part_size)
+            by = np.lexsort((first, word))
+            f, w = first[by], word[by]
             fresh = np.ones(len(by), bool)
-            fresh[1:] = (f[1:] != f[:-1]) | (g[1:] != g[:-1])
+            fresh[1:] = (f[1:] != f[:-1]) | (w[1:] != w[:-1])
             starts = np.flatnonzero(fresh)
             total = np.add.reduceat(n[by].astype(np.int64), starts)
-            f, g = f[starts], g[starts]
+            f, w = f[starts], w[starts]
             of_pair = np.empty(len(by), np.int64)
             of_pair[by] = np.cumsum(fresh) - 1
-            c = np.bincount(g, total).astype(np.int64)  # of each group
-            names, counts = crowded_counts
-            if len(names):
-                mine = word[new]
-                at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
-                c = np.where(names[at] == mine, counts[at], c)
+            heads = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            names, c = w[heads], np.add.reduceat(total, heads)
+            at, is_crowded = plan.crowded(names)
+            if is_crowded.any():  # other groups have the rest of them
+                c = np.where(is_crowded, plan.counts[at], c)
             seen = total > 0
-            histories.add(f[seen], total[seen], words.probability(c[g[seen]]))
+            histories.add(f[seen], total[seen], words.probability(c)[np.cumsum(np.append(True, w[1:] != w[:-1])) - 1][seen])
             back = total[of_pair]
-            kind = np.uint32 if back.max() < 1 << 32 else np.uint64
-            row_c = c[np.cumsum(new) - 1]
-            unseen = back == 0
-            yield _needs((slot >> SALT_BITS)[np.repeat(np.arange(len(word)), size)][unseen], first[unseen])
-            columns = [pa.array(slot >> SALT_BITS), pa.array(salt), pa.array(word), pa.array(row_c), _blobs(back.astype(kind), np.cumsum(size))]
-            columns += [pa.nulls(len(word), pa.int64())] * len(SUMS) + [pa.nulls(len(word), pa.float64())]
+            asks = (back == 0) | (back > LARGEST)
+            yield _needs(np.repeat(slot >> SALT_BITS, size)[asks], first[asks])
+            part_c = c[np.searchsorted(names, part_word)]
+            columns = [pa.array(slot >> SALT_BITS), pa.array(slot & ((1 << SALT_BITS) - 1)), pa.array(bucket)]
+            columns += [_whole(part_c, np.cumsum(parts)), _whole(back, np.cumsum(size))]
+            columns += [pa.nulls(len(bucket), pa.int64())] * len(SUMS) + [pa.nulls(len(bucket), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in COUNTED.split(", ")])
         yield histories.batch()
 
     salt = F.col("slot").bitwiseAND(F.lit((1 << SALT_BITS) - 1))
-    dealt = sent.repartition(F.col("word"), salt).sortWithinPartitions(F.col("word"), salt)
+    dealt = sent.repartition(F.col("bucket"), salt).sortWithinPartitions(F.col("bucket"), salt)
     return stage(dealt.mapInArrow(count, COUNTED), "counts")
 
 
@@ -349,14 +386,14 @@ def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_
     limit = max(group_tokens, words.tokens // MOST_CROWDED)
     large = known.filter(F.col("c") > limit).orderBy("word").toArrow()  # at most N / limit rows, so at most MOST_CROWDED
     names, counts = large.column("word").to_numpy(), large.column("c").to_numpy()
-    crowded = (names, -(-counts // limit))
+    plan = Plan(max(1, words.tokens // BUCKET_TOKENS), names, counts, -(-counts // limit))
     frequent = known.orderBy(F.desc("c"), "word").limit(SHORT_CODES).select("word").toArrow().column(0).to_numpy()  # bounded
     short = np.unique(np.append(frequent, START))
     size = texts.agg(F.sum(F.octet_length("text") + 1).alias("s")).first().s or 0
 
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // chunk_bytes)))).alias("chunk")
     dealt = texts.select("doc_id", "text", "held_out", chunk)
-    table = counted(requests(dealt, crowded, short), words, (names, counts), short)
+    table = counted(requests(dealt, plan, short), words, plan, short)
 
     sums = table.filter("chunk is null").groupBy("word").agg(*[F.sum(k).alias(k) for k in SUMS], F.sum("mass").alias("mass"))
     histories = stage(sums, "histories")
@@ -374,40 +411,25 @@ def score_documents(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_
     weight = F.when(freed > 0, freed).otherwise(1.0) / total / (1 - F.col("mass"))
     weighed = stage(histories.join(known, "word").select("word", weight.alias("weight"), (freed <= 0).alias("one_more")), "weights")
     rows = table.filter("chunk is not null")
-    requested = rows.filter("salt >= 0")
     needed = rows.filter(F.col("salt") == WEIGHT).select("chunk", "salt", "word").distinct().join(weighed, "word")
-    # mostly a handful of words, so the planner broadcasts them; else it shuffles the keys of the requests
-    odd = stage(weighed.filter("one_more").select("word"), "one_more")
-    more = requested.select("chunk", F.lit(ONE_MORE).cast("long").alias("salt"), "word").join(odd, "word").distinct()
-    answers = requested.select("chunk", "salt", "word", "c", "counts", F.lit(None).cast("double").alias("weight"))
-    for part, value in ((needed, F.col("weight")), (more, F.lit(None).cast("double"))):
-        answers = answers.unionByName(part.select("chunk", "salt", "word", value.alias("weight")), allowMissingColumns=True)
+    answers = rows.filter("salt >= 0").select("chunk", "salt", "word", "c", "counts").unionByName(needed, allowMissingColumns=True)
 
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
-        mine = _chunk(left, crowded)
+        mine = _chunk(left, plan)
         salt = right.column("salt").to_numpy()
-        beside = {k: right.filter(pa.array(salt == k)) for k in (WEIGHT, ONE_MORE)}
+        beside = right.filter(pa.array(salt == WEIGHT))
         right = right.filter(pa.array(salt >= 0)).sort_by([("word", "ascending"), ("salt", "ascending")])
         if right.num_rows != len(mine.rows):
             raise RuntimeError("answers do not match the requests of a chunk")
-        back, size = _flat(_column(right, "counts"), "u1")
-        pairs = np.diff(np.append(mine.rows, len(mine.n)))
-        wide = np.flatnonzero(size != 4 * pairs)
-        if len(wide):  # counts of eight bytes in some rows
-            ends = np.cumsum(size)
-            n = np.concatenate([
-                np.frombuffer(back[e - s : e].tobytes(), "<u4" if s == 4 * p else "<u8").astype(np.int64) for e, s, p in zip(ends, size, pairs)
-            ])
-        else:
-            n = np.frombuffer(back.tobytes(), "<u4").astype(np.int64)
-        new = mine.salt[mine.rows] >= 0
-        new[1:] = mine.second[mine.rows][1:] != mine.second[mine.rows][:-1]
-        c = _column(right, "c").to_numpy()[new]
+        n = _counts(_column(right, "counts"), np.diff(np.append(mine.rows, len(mine.n))))
+        of_row = np.diff(np.append(np.searchsorted(mine.parts, mine.rows), len(mine.parts)))
+        c = np.zeros(len(mine.words), np.int64)
+        c[mine.second[mine.parts]] = _counts(_column(right, "c"), of_row)
         totals, weights = np.append(c, start[0]).astype(np.float64), np.append(np.ones(len(c)), start[1])
         # nothing follows an unknown word in training: its weight stays 1, so P(w) is left
-        at = {k: np.searchsorted(mine.words, _column(t, "word").to_numpy()) for k, t in beside.items()}
-        weights[at[WEIGHT]] = _column(beside[WEIGHT], "weight").to_numpy(zero_copy_only=False)
-        totals[at[ONE_MORE]] += 1
+        at = np.searchsorted(mine.words, _column(beside, "word").to_numpy())
+        weights[at] = _column(beside, "weight").to_numpy(zero_copy_only=False)
+        totals[at] += _column(beside, "one_more").to_numpy(zero_copy_only=False).astype(np.float64)
         p = words.probability(c)
         direct = factor[np.minimum(n, LARGEST + 1)] * n / np.maximum(totals, 1)[mine.first]
         logs = np.log10(np.where(n > 0, direct, weights[mine.first] * p[mine.second]))

@@ -22,13 +22,13 @@ def is_out(i):
 
 
 def factors(counts):
-    """Good-Turing factors of counts 1 to 5, 1 where the estimate is unusable."""
+    """Good-Turing factors of counts 1 to 5; half an occurrence less where the estimate is unusable."""
     n = Counter(counts)
     out = {}
     rest = (K + 1) * n[K + 1] / n[1] if n[1] else 1.0
     for r in range(1, K + 1):
-        d = ((r + 1) * n[r + 1] / (r * n[r]) - rest) / (1 - rest) if rest < 1 and n[r] else 1.0
-        out[r] = d if 0 < d < 1 else 1.0
+        d = ((r + 1) * n[r + 1] / (r * n[r]) - rest) / (1 - rest) if rest < 1 and n[r] else 0.0
+        out[r] = d if 0 < d < 1 else (r - 0.5) / r
     return out
 
 
@@ -102,6 +102,7 @@ def test_given_table(spark, given):
 def test_small_chunks_and_crowded_words(spark, given, monkeypatch):
     rows, _, want = given
     monkeypatch.setattr(katz, "SHORT_CODES", 40)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 500)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     same(katz.score_documents(docs, katz.held_out(), chunk_bytes=20_000, group_tokens=300), want)
 
@@ -115,7 +116,7 @@ def test_probabilities_sum_to_one(given):
 
 
 def test_discounts():
-    assert katz.discounts([0] * 6).tolist() == [1.0] * 7
+    assert katz.discounts([0] * 6).tolist() == [1.0, *[(r - 0.5) / r for r in range(1, 6)], 1.0]
     kinds = [100, 40, 20, 12, 8, 5]
     want = factors([r for r, n in enumerate(kinds, 1) for _ in range(n)])
     assert np.allclose(katz.discounts(kinds)[1:6], [want[r] for r in range(1, 6)])

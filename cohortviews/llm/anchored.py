@@ -8,7 +8,7 @@ runs hold equal windows. Windows of different runs can only be equal if the anch
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,17 +80,17 @@ def digests(units: np.ndarray, powers: Powers) -> Callable[[np.ndarray, np.ndarr
     return of
 
 
-def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Powers):
+def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Powers, names: Collection[str]) -> dict[str, np.ndarray]:
     """Runs of windows of the documents that end at ``ends`` in ``units``.
 
-    Returns document number, first window (a position in ``units``), windows, anchor hash, digest, and digests of the
-    anchor extended to twice its length, to the left and to the right (0 where that would leave the document).
+    Always doc (number of the document), first (window, a position in ``units``), count and anchor; if among ``names``, run
+    (a digest of all units), and left and right, digests of the anchor extended to twice its length (0 where that would
+    leave the document).
     """
     n, wide = len(units), length - gram + 1
     windows = n - length + 1
-    empty = np.zeros(0, np.int64)
     if windows <= 0:
-        return (empty,) * 7
+        return dict.fromkeys(("doc", "first", "count", "anchor", "run", "left", "right"), np.zeros(0, np.int64))
     hashes = rolling(units, gram)
     low = np.uint64((1 << POSITION_BITS) - 1)
     key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -113,13 +113,17 @@ def runs(units: np.ndarray, ends: np.ndarray, length: int, gram: int, powers: Po
     last = np.minimum(last, ends[doc] - length + 1)  # windows that would leave their document do not count
     keep = last > first
     doc, first, last = doc[keep], first[keep], last[keep]
-    of = digests(units, powers)
     at = anchor[first]
-    left, right = at - gram, at + 2 * gram
-    to_left, to_right = left >= starts[doc], right <= ends[doc]
-    left = np.where(to_left, of(np.maximum(left, 0), at + gram), 0)
-    right = np.where(to_right, of(at, np.minimum(right, n)), 0)
-    return doc, first, last - first, hashes[at].view(np.int64), of(first, last - 1 + length), left, right
+    out = {"doc": doc, "first": first, "count": last - first, "anchor": hashes[at].view(np.int64)}
+    if "run" in names:
+        of = digests(units, powers)
+        out["run"] = of(first, last - 1 + length)
+    if "left" in names:
+        left, right = at - gram, at + 2 * gram
+        to_left, to_right = left >= starts[doc], right <= ends[doc]
+        out["left"] = np.where(to_left, of(np.maximum(left, 0), at + gram), 0)
+        out["right"] = np.where(to_right, of(at, np.minimum(right, n)), 0)
+    return out
 
 
 #: ``at`` packs the first window of a run and, in the lowest bits, their number.
@@ -157,14 +161,16 @@ def count_of(at: Column) -> Column:
     return at.bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
 
-def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: int, gram: int, extended: bool = False) -> DataFrame:
-    """(id, digest, at, anchor, run) for every run of windows of ``docs`` (id, digest, text); and left, right if extended.
+RUNS = ("id", "digest", "at", "anchor", "run")
+
+
+def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: int, gram: int, names: tuple[str, ...] = RUNS) -> DataFrame:
+    """A row with the columns ``names`` for every run of windows of ``docs`` (id, digest, text); left and right come after
+    run. What is not named is not computed.
 
     Texts are joined up to a fixed number of units at a time; a longer one goes through in overlapping pieces.
     """
 
-    names = ["id", "digest", "at", "anchor", "run"] + ["left", "right"] * extended
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(CHUNK)
         held: list[tuple[int, int, int, np.ndarray]] = []  # id, digest, offset, units
@@ -173,12 +179,17 @@ def all_runs(docs: DataFrame, units_of: Callable[[bytes], np.ndarray], length: i
         def flush() -> pa.RecordBatch:
             units = np.concatenate([h[3] for h in held])
             ends = np.cumsum([len(h[3]) for h in held])
-            doc, first, n, *found = runs(units, ends, length, gram, powers)
+            found = runs(units, ends, length, gram, powers, names)
             ids, texts, offsets = (np.array([h[i] for h in held], np.int64) for i in range(3))
             starts = ends - np.array([len(h[3]) for h in held])
-            at = packed(first - starts[doc] + offsets[doc], n)
-            columns = [pa.array(x) for x in (ids[doc], texts[doc], at.astype(np.int64), *found)]
-            return pa.RecordBatch.from_arrays(columns[: len(names)], names)
+            doc = found["doc"]
+            if "id" in names:
+                found["id"] = ids[doc]
+            if "digest" in names:
+                found["digest"] = texts[doc]
+            if "at" in names:
+                found["at"] = packed(found["first"] - starts[doc] + offsets[doc], found["count"]).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found[n]) for n in names], list(names))
 
         for batch in batches:
             for k in range(0, batch.num_rows, 64):

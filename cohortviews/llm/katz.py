@@ -40,6 +40,8 @@ CHUNK_BYTES = 1 << 24
 #: Tokens that a task counts at a time, and tokens of one second word from which it is dealt over groups.
 BATCH_TOKENS, GROUP_TOKENS, MOST_CROWDED = 1 << 21, 1 << 20, 1 << 20
 BUCKET_TOKENS = 1 << 18
+#: Bytes of requests that a task counts at a time; a pair takes six to fourteen.
+COUNT_BYTES = 1 << 22
 #: The commonest words go by two bytes; at most so many are broadcast.
 SHORT_CODES = (1 << 16) - 2
 RARE = np.uint16(0xFFFF)
@@ -283,6 +285,13 @@ def _whole(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return _blobs(values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64), ends)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about half of ``COUNT_BYTES``; rows can be large, and a batch holds many."""
+    step = max(1, batch.num_rows * (COUNT_BYTES // 2) // max(batch.nbytes, 1))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def _counts(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
     """All counts of such binaries; row i has ``sizes[i]``."""
     flat, length = _flat(column, "u1")
@@ -301,10 +310,10 @@ def counted(sent: DataFrame, words: Words, plan: Plan, short: np.ndarray) -> Dat
         """Tables of whole (bucket, salt) groups, of a bounded size unless one group is larger."""
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size < 1 << 24:
+        for part in (p for batch in batches for p in _pieces(batch)):
+            held.append(part)
+            size += part.nbytes
+            if size < COUNT_BYTES:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             bucket, salt = _column(table, "bucket").to_numpy(), _column(table, "slot").to_numpy() & ((1 << SALT_BITS) - 1)

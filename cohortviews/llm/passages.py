@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortviews.llm.anchored import (
     FOUND,
+    RUNS,
     Powers,
     across_shards,
     all_runs,
@@ -101,9 +102,10 @@ def _in_two_documents(rows: DataFrame, key: str) -> DataFrame:
 
 def removed_windows(docs: DataFrame, length: int = 50, shard_runs: int = SHARD_RUNS) -> DataFrame:
     """(id, digest, first, count): windows of ``docs`` (id, digest, text) that start in a smaller document too."""
-    seen = all_runs(docs, word_hashes, length, length // 4, extended=True)
+    seen = all_runs(docs, word_hashes, length, length // 4, ("id", "anchor"))
     first_level = stage(_in_two_documents(seen, "anchor"), "level")
-    runs = stage(seen.join(first_level, "anchor", "left_semi"), "runs")
+    extended = all_runs(docs, word_hashes, length, length // 4, (*RUNS, "left", "right"))
+    runs = stage(extended.join(first_level, "anchor", "left_semi"), "runs")
     sides = F.array(F.col("left"), F.col("right"))
     wider = runs.select("id", F.explode(sides).alias("side")).filter("side <> 0")
     second_level = stage(_in_two_documents(wider, "side"), "level")

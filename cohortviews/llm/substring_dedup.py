@@ -115,9 +115,9 @@ def _shard(length: int):
 
 def removed_windows(docs: DataFrame, length: int = 100, gram: int = GRAM, shard_runs: int = SHARD_RUNS) -> DataFrame:
     """(id, digest, first, count): the strings of ``docs`` (id, digest, text) with an earlier equal, as runs of starts."""
-    seen = all_runs(docs, _units, length, gram)
+    seen = all_runs(docs, _units, length, gram, ("anchor",))
     again = stage(seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
-    runs = stage(seen.join(again, "anchor", "left_semi"), "runs")
+    runs = stage(all_runs(docs, _units, length, gram).join(again, "anchor", "left_semi"), "runs")
     kinds = runs.groupBy("anchor", "run").agg(F.min(F.struct("id", "digest", "at")).alias("earliest"), F.count("*").alias("n"))
     kinds = stage(kinds, "kinds")
     at = F.col("at")

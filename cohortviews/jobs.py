@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,7 +24,7 @@ from cohortviews.operators import quality as ql
 from cohortviews.operators import reshape as rs
 from cohortviews.operators.ranking import best_row
 from cohortviews.plans import cohort as co
-from cohortviews.session import stage
+from cohortviews.session import stage, together
 from cohortviews.sources import files, labels, manifest as mf, sinks, tables
 
 PROJECTS = ("TCGA-BRCA", "TCGA-LUAD", "TCGA-PRAD")
@@ -46,35 +47,33 @@ def ingest(
     out: str,
     projects: Sequence[str] = PROJECTS,
     modalities: Sequence[str] = tuple(LAYOUTS),
+    at_once: int = 4,
 ) -> dict[tuple[str, str], str]:
     """Raw files to long tables; what is stored is skipped, a failure is reported
-    and the rest goes on.
+    and the rest goes on. Several tables are loaded at the same time.
 
     ``manifests`` and ``raw`` are path patterns with ``{project}`` and ``{modality}``.
     """
-    outcome = {}
-    for project in projects:
-        for modality in modalities:
-            target = tables.path_of(out, project, modality)
+    def one(project: str, modality: str) -> str:
+        target = tables.path_of(out, project, modality)
+        layout, folder = LAYOUTS[modality]
+        place = {"project": project, "modality": folder}
+        try:
             if tables.stored(spark, target):
-                outcome[project, modality] = "skipped"
-                continue
-            layout, folder = LAYOUTS[modality]
-            place = {"project": project, "modality": folder}
-            try:
-                listing = mf.read_manifest(spark, manifests.format(**place))
-                if layout is None:
-                    rows, errors = files.ingest_mutations(spark, raw.format(**place), listing)
-                else:
-                    rows, errors = files.ingest(spark, raw.format(**place), listing, layout)
-                # the ledger first: a table that is there counts as loaded, so its errors must be on record by then
-                sinks.write_ledger(errors, f"{out}/{project}/errors_{modality}")
-                written, n = sinks.checked(rows, what=f"{project} {modality}")
-                sinks.publish(written, target)
-                outcome[project, modality] = f"{n} rows"
-            except Exception as exc:  # noqa: BLE001 - one modality must not stop the others
-                outcome[project, modality] = f"failed: {exc}"
-    return outcome
+                return "skipped"
+            listing = mf.read_manifest(spark, manifests.format(**place))
+            if layout is None:
+                rows, errors = files.ingest_mutations(spark, raw.format(**place), listing)
+            else:
+                rows, errors = files.ingest(spark, raw.format(**place), listing, layout)
+            # the ledger first: a table that is there counts as loaded, so its errors must be on record by then
+            sinks.write_ledger(errors, f"{out}/{project}/errors_{modality}")
+            return f"{sinks.write_table(rows, target, what=f'{project} {modality}')} rows"
+        except Exception as exc:  # noqa: BLE001 - one modality must not stop the others
+            return f"failed: {exc}"
+
+    wanted = [(project, modality) for project in projects for modality in modalities]
+    return dict(zip(wanted, together(*[partial(one, *w) for w in wanted], at_once=at_once)))
 
 
 def _store(merged: DataFrame, views, keys, out: str, wide: bool) -> None:
@@ -416,7 +415,7 @@ def verify(
             found = tables.state(spark, path)
             if found == "stored":
                 have.append(spark.read.parquet(path).select("patient_id").withColumns(tag))
-            elif found == "unreadable":
+            elif found != "absent":
                 broken.append(f"{project} {modality}")
     expected, stored = want[0], (have[0] if have else want[0].where(F.lit(False)))
     for part in want[1:]:
@@ -433,10 +432,13 @@ def verify(
 def sync(spark: SparkSession, manifest: str, listing: str, out: str, prefix: str = "tcga") -> None:
     """Which manifest files the destination lacks, and totals; nothing is copied.
 
-    ``manifest`` is Parquet with project_id, modality, file_id, file_name;
+    ``manifest`` is Parquet with project_id, file_id, file_name and either modality or data_category and data_type;
     ``listing`` is Parquet with the existing keys.
     """
-    plan = mf.sync_plan(spark.read.parquet(manifest), spark.read.parquet(listing), prefix)
+    wanted = spark.read.parquet(manifest)
+    if "modality" not in wanted.columns:
+        wanted = mf.with_modality(wanted)
+    plan = mf.sync_plan(wanted, spark.read.parquet(listing), prefix)
     plan.write.mode("overwrite").parquet(f"{out}/plan")
     sinks.write_csv(mf.sync_totals(spark.read.parquet(f"{out}/plan")), f"{out}/totals")
 
@@ -467,6 +469,7 @@ OPTIONS = {
     "known_labels": {},
     "prefix": {},
     "n": {"type": int},
+    "at_once": {"type": int},
     "top_n": {"type": int},
     "folds": {"type": int},
     "seed": {"type": int},

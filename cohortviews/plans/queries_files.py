@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortviews.dims import inline_table
+from cohortviews.dims import MODALITY_SPECS, inline_table
 from cohortviews.operators import evaluate as ev
 from cohortviews.operators import merge as mg
 from cohortviews.plans import adapters as ad
@@ -15,8 +15,8 @@ from cohortviews.plans.queries_matrix import _rounded_views, mutations
 from cohortviews.plans import cohort as co
 from cohortviews import schemas
 from cohortviews.session import staging_path
-from cohortviews.sources import artefacts, files, labels, sinks, tables
-from cohortviews.sources.manifest import read_manifest
+from cohortviews.sources import artefacts, files, folders, labels, sinks, tables
+from cohortviews.sources.manifest import read_manifest, with_modality
 from cohortviews.streaming.ingest import load_new_files, loaded_rows
 
 SALES = "lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"
@@ -244,6 +244,64 @@ def ingest_stream_late_damage(spark, sf_dir):
     return loaded_rows(spark, target, schemas.SEGMENT_LONG).groupBy("patient_id").agg(F.count("*").alias("n"))
 
 
+@query("ingest_stream_repeated_part", f"SELECT DISTINCT * FROM ({SQL_SEGMENTS})")
+def ingest_stream_repeated_part(spark, sf_dir):
+    """Half of the subjects; the same parts again, under other names, with the other half; and all once more."""
+    rows = raw.segment_rows(spark, sf_dir)
+    listing = raw.manifest(spark, sf_dir, "cnv")
+    described = listing.withColumn("preamble", raw.lines(raw.SEGMENT_HEADER))
+    folder, target, mark = (staging_path(spark, n) for n in ("stream-in", "stream-out", "stream-mark"))
+    keys = ("chromosome", "start", "end", "copy_number")
+    for wanted in (F.col("nation") < 12, F.lit(True), F.lit(True)):
+        raw.write_files(rows.where(wanted), described.where(wanted), folder, mode="append")
+        load_new_files(spark, folder, listing, files.SEGMENTS, target, mark, keys=keys).awaitTermination()
+    return loaded_rows(spark, target, schemas.SEGMENT_LONG)
+
+
+@query("ingest_half_committed", SQL_SEGMENTS)
+def ingest_half_committed(spark, sf_dir):
+    """A table of which a lost driver left half: it does not count as loaded, and the next load replaces it."""
+    path = raw.segment_files(spark, sf_dir)
+    rows, _ = files.ingest(spark, path, raw.manifest(spark, sf_dir, "cnv"), files.SEGMENTS)
+    target = staging_path(spark, "half")
+    rows.where(F.col("start") % 2 == 0).write.parquet(target)
+    if not tables.stored(spark, target):
+        sinks.write_table(rows, target, what="cnv")
+    return spark.read.parquet(target)
+
+
+@query(
+    "ingest_clean_rerun",
+    f"""SELECT 'damaged' AS attempt, (SELECT count(*) FROM (SELECT DISTINCT s_nationkey AS k FROM {SALES}) t WHERE k % 5 >= 3)
+  + (SELECT count(*) FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM {SALES})) AS n_errors
+UNION ALL SELECT 'mended', 0""",
+)
+def ingest_clean_rerun(spark, sf_dir):
+    """The ledger of a load that went wrong is gone after one that did not."""
+    listing, target, done = raw.manifest(spark, sf_dir, "rna"), staging_path(spark, "ledger"), []
+    for attempt in ("damaged", "mended"):
+        path = raw.rna_files(spark, sf_dir, damaged=attempt == "damaged")
+        there = listing if attempt == "damaged" else listing.join(files.with_file(spark.read.text(path)), "file_id", "left_semi")
+        sinks.write_ledger(files.ingest(spark, path, there, files.RNA)[1], target)
+        left = folders.exists(spark, target)
+        done.append((attempt, artefacts.read_csv_table(spark, target, schemas.LEDGER).count() if left else 0))
+    return inline_table(spark, done, "attempt string, n_errors bigint")
+
+
+@query(
+    "sync_modalities",
+    f"""WITH specs AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}', '{t}', '{m}')" for i, (c, t, m) in enumerate(MODALITY_SPECS))}) s(i, c, t, modality))
+SELECT modality, NOT starts_with(modality, '_excluded/') AS is_primary, count(*) AS n_files
+FROM orders JOIN specs ON o_orderkey % 12 = i GROUP BY modality""",
+)
+def sync_modalities(spark, sf_dir):
+    """Files by kind of data: wanted kinds get their folder, others are left out."""
+    kinds = [(i, c, t) for i, (c, t, _) in enumerate(MODALITY_SPECS)] + [(9, "Clinical", "Pathology Report"), (10, "Other", "Clinical Supplement")]
+    kinds = inline_table(spark, kinds, "kind int, data_category string, data_type string")
+    listing = ad.table(spark, sf_dir, "orders").withColumn("kind", (F.col("o_orderkey") % 12).cast("int")).join(kinds, "kind")
+    return with_modality(listing).groupBy("modality").agg(F.max("is_primary").alias("is_primary"), F.count("*").alias("n_files"))
+
+
 # --- label files -----------------------------------------------------------------------
 
 

@@ -78,15 +78,17 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def together(*jobs: Callable[[], T]) -> list[T]:
-    """Run independent builders at the same time, results in order.
+def together(*jobs: Callable[[], T], at_once: int | None = None) -> list[T]:
+    """Run independent builders at the same time (``at_once`` at most), results in order.
 
     Each one submits its own Spark jobs, so executors that one job leaves idle
     work on another.
     """
+    if not jobs:
+        return []
     if len(jobs) == 1:
         return [jobs[0]()]
-    with ThreadPool(len(jobs)) as pool:
+    with ThreadPool(min(len(jobs), at_once or len(jobs))) as pool:
         waiting = [pool.apply_async(inheritable_thread_target(job)) for job in jobs]
         return [w.get() for w in waiting]
 

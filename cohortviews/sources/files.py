@@ -17,7 +17,7 @@ from cohortviews import dims
 from cohortviews.functions.ids import file_id_of_path
 from cohortviews.session import small_side, stage
 
-CORRUPT = "_corrupt"
+CORRUPT, KIND, UNREADABLE = "_corrupt", "_kind", "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -148,12 +148,39 @@ def is_unreadable(layout: Layout) -> Column:
     return bad
 
 
-def file_verdicts(raw: DataFrame, layout: Layout) -> DataFrame:
-    """``(file_id, error)`` of every file; no error where all its parts can be used. ``raw`` is a whole scan."""
+#: What a landed line is.
+DATA, HEADER, SUMMARY = 0, 1, 2
+
+
+def typed_lines(raw: DataFrame, layout: Layout, columns: Sequence[str] | None = None, beside: Sequence[str] = ()) -> DataFrame:
+    """Every line of a whole scan with what it is, whether it is unreadable, and the typed output columns (or some).
+
+    Columns named by ``beside`` are taken along.
+    """
+    kind = F.when(is_summary(layout), SUMMARY)
+    if layout.header:
+        first = layout.columns[0]
+        kind = kind.when(is_header(layout), HEADER).when(_raw(first).eqNullSafe(F.lit(first)), SUMMARY)
+    kind = kind.otherwise(DATA)
     data_row = ~is_header(layout) & ~is_summary(layout)
-    verdict = raw.groupBy("path", "file_id").agg(
-        F.count_if(is_header(layout)).alias("headers"),
-        F.count_if(data_row & is_unreadable(layout)).alias("unreadable"),
+    wanted = {n: layout.output[n] for n in columns} if columns else layout.output
+    return raw.select(
+        "path",
+        "file_id",
+        kind.cast("tinyint").alias(KIND),
+        (data_row & is_unreadable(layout)).alias(UNREADABLE),
+        *[
+            (_text(layout, raw_name) if type_ == "string" else _text(layout, raw_name).try_cast(type_)).alias(name)
+            for name, (raw_name, type_) in wanted.items()
+        ],
+        *beside,
+    )
+
+
+def file_verdicts(lines: DataFrame, layout: Layout) -> DataFrame:
+    """``(file_id, error)`` of every file of typed lines; no error where all its parts can be used."""
+    verdict = lines.groupBy("path", "file_id").agg(
+        F.count_if(F.col(KIND) == HEADER).alias("headers"), F.count_if(UNREADABLE).alias("unreadable")
     )
     no_header = F.lit(layout.header) & (F.col("headers") == 0)
     error = F.when(no_header, "unexpected header").when(
@@ -162,11 +189,6 @@ def file_verdicts(raw: DataFrame, layout: Layout) -> DataFrame:
     return verdict.withColumn("error", error).groupBy("file_id").agg(F.min("error").alias("error"))
 
 
-def file_errors(raw: DataFrame, layout: Layout) -> DataFrame:
-    """``(file_id, error)`` of the files that must not be used."""
-    return file_verdicts(raw, layout).where(F.col("error").isNotNull())
-
-
 def ledger(errors: DataFrame, manifest: DataFrame) -> DataFrame:
     return manifest.join(errors, "file_id").select("patient_id", "file_id", "error")
 
@@ -178,22 +200,6 @@ def absent_files(seen: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def long_rows(raw: DataFrame, layout: Layout, columns: Sequence[str] | None = None) -> DataFrame:
-    """Data rows with ``file_id`` and the cast output columns (or some of them)."""
-    first = _raw(layout.columns[0])
-    rows = raw.where(~is_summary(layout))
-    if layout.header:
-        rows = rows.where(~first.eqNullSafe(F.lit(layout.columns[0])))
-    wanted = {n: layout.output[n] for n in columns} if columns else layout.output
-    return rows.select(
-        "file_id",
-        *[
-            (_text(layout, raw_name) if kind == "string" else _text(layout, raw_name).try_cast(kind)).alias(name)
-            for name, (raw_name, kind) in wanted.items()
-        ],
-    )
-
-
 def ingest(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -203,34 +209,24 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, ledger)``: long rows of all usable manifest files.
 
-    The first pass judges files and keeps a verdict for each; the second reads just the columns the result needs.
-    Manifest files that are not there are in the ledger too.
+    The text is parsed once: typed lines land under the shared folder with their file and whether they can be read;
+    files are judged on two narrow columns of that, and the rows of usable ones are its columns. Manifest files that are
+    not there are in the ledger too.
     """
-    verdicts = stage(file_verdicts(scan(spark, paths, layout, whole=True), layout), "verdicts")
-    rows, errors = usable_rows(scan(spark, paths, layout), manifest, layout, columns, verdicts)
+    landed = stage(typed_lines(scan(spark, paths, layout, whole=True), layout, columns), "landed")
+    rows, errors, verdicts = usable_rows(landed, manifest, layout)
     return rows.drop("file_id"), errors.unionByName(absent_files(verdicts, manifest))
 
 
-def usable_rows(
-    raw: DataFrame,
-    manifest: DataFrame,
-    layout: Layout,
-    columns: Sequence[str] | None = None,
-    verdicts: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of usable files, with ``file_id``, and the ledger of those that are not. ``raw`` must be a whole scan
-    unless verdicts are given."""
-    if verdicts is None:
-        verdicts = stage(file_verdicts(raw, layout), "verdicts")
+def usable_rows(lines: DataFrame, manifest: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of usable files, with ``file_id``, the ledger of those that are not, and all verdicts, from typed lines."""
+    verdicts = stage(file_verdicts(lines, layout), "verdicts")
     errors = verdicts.where(F.col("error").isNotNull())
-    rows = long_rows(raw, layout, columns)
+    rows = lines.where(F.col(KIND) == DATA).drop("path", KIND, UNREADABLE)
     good = rows.join(small_side(errors.select("file_id")), "file_id", "left_anti")
     owners = small_side(stage(manifest.select("file_id", "patient_id")))
     out = good.join(owners, "file_id")
-    return (
-        out.select("file_id", "patient_id", *[c for c in good.columns if c != "file_id"]),
-        ledger(errors, manifest),
-    )
+    return out.select("file_id", "patient_id", *[c for c in rows.columns if c != "file_id"]), ledger(errors, manifest), verdicts
 
 
 # --- files read by column name -------------------------------------------------

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortviews import schemas
+from cohortviews.dims import MODALITY_SPECS, inline_table
 from cohortviews.functions.ids import object_key, patient_of_barcode
 
 
@@ -46,6 +47,16 @@ def pending_files(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     return manifest.join(loaded.select("file_id"), "file_id", "left_anti")
 
 
+def with_modality(listing: DataFrame) -> DataFrame:
+    """Files of a wanted data_category and data_type, with the modality folder they go to and whether it is a primary one.
+
+    Folders below ``_excluded`` are kept apart from the first analysis; files of any other kind are not wanted.
+    """
+    specs = inline_table(listing.sparkSession, MODALITY_SPECS, "data_category string, data_type string, modality string")
+    primary = ~F.col("modality").startswith("_excluded/")
+    return listing.join(specs, ["data_category", "data_type"]).select(*listing.columns, "modality", primary.alias("is_primary"))
+
+
 def sync_plan(manifest: DataFrame, listing: DataFrame, prefix: str = "tcga") -> DataFrame:
     """Manifest with its destination ``key`` and ``action``: skipped or to_copy.
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 
 from cohortviews.operators.quality import require_unique
-from cohortviews.session import stage
+from cohortviews.sources import folders
 
 
 def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort", "modality")) -> str:
@@ -17,29 +17,29 @@ def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort"
     return path
 
 
-def checked(df: DataFrame, unique: Sequence[str] = (), what: str = "result") -> tuple[DataFrame, int]:
-    """A written copy of ``df`` under the shared folder, and its rows; raises on no rows or a repeated key."""
-    written = stage(df, "checked")
-    rows = written.count()
-    if rows == 0:
-        raise RuntimeError(f"{what} has no rows")
-    if unique:
-        require_unique(written, unique, what)
-    return written, rows
+def write_table(
+    df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result", partition_by: Sequence[str] = ()
+) -> int:
+    """Rows of a table that is written once, checked, and only then put at its place.
 
-
-def publish(written: DataFrame, path: str) -> None:
-    """A checked copy at its place; Spark's own commit makes it readable at once or not at all."""
-    written.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
-def write_table(df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result") -> int:
-    """Parquet write that raises if the result has no rows or repeats a key; nothing is published then.
-
-    The checks read the copy that is published, not a second run of the plan.
+    Raises on no rows or a repeated key; what was there before stays then. Rows are counted by the footers of the written
+    files, keys are read back from them. (An observed count never arrives if the optimiser finds the plan to be empty.)
+    ``tables.state`` knows a table by the mark that is written last.
     """
-    written, rows = checked(df, unique, what)
-    publish(written, path)
+    spark = df.sparkSession
+    new, writer = folders.beside(path), df.write.option("compression", "snappy")
+    try:
+        writer.partitionBy(*partition_by).parquet(new) if partition_by else writer.parquet(new)
+        written = spark.read.schema(df.schema).parquet(new)
+        rows = written.count()
+        if rows == 0:
+            raise RuntimeError(f"{what} has no rows")
+        if unique:
+            require_unique(written, unique, what)
+        folders.commit(spark, new, path)
+    except BaseException:
+        folders.remove(spark, new)
+        raise
     return rows
 
 
@@ -49,8 +49,9 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_ledger(errors: DataFrame, path: str) -> bool:
-    """CSV of the error ledger, only if there are errors."""
+    """CSV of the error ledger, only if there are errors; without any, that of an earlier run goes."""
     if errors.isEmpty():
+        folders.remove(errors.sparkSession, path)
         return False
     write_csv(errors, path)
     return True

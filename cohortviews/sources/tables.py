@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortviews.functions.ids import short_cohort
 from cohortviews.functions.values import nan_to_null
+from cohortviews.sources import folders
 
 #: Feature and value column of each measurement modality.
 MEASUREMENT_COLUMNS = {
@@ -25,16 +25,18 @@ def path_of(root: str, project: str, modality: str) -> str:
 
 
 def stored(spark: SparkSession, path: str) -> bool:
-    """True if a readable table is there (a failed write leaves none)."""
+    """True if a complete table is there (a failed write leaves none)."""
     return state(spark, path) == "stored"
 
 
 def state(spark: SparkSession, path: str) -> str:
-    """``stored``, ``absent``, or ``unreadable``: something is there that is no table."""
+    """``stored``, ``absent``, ``partial`` (no mark that all was written), or ``unreadable``: marked, but no table."""
+    if not folders.exists(spark, path):
+        return "absent"
+    if not folders.committed(spark, path):
+        return "partial"
     try:
         spark.read.parquet(path)
-    except AnalysisException as exc:
-        return "absent" if exc.getCondition() == "PATH_NOT_FOUND" else "unreadable"
     except Exception:  # noqa: BLE001 - a damaged file surfaces as whatever its reader raises
         return "unreadable"
     return "stored"

@@ -1,18 +1,23 @@
-"""Each file is loaded exactly once, whatever is restarted.
+"""Each file is loaded exactly once, and if asked for each of its rows, whatever is restarted or delivered again.
 
-The file source's checkpoint remembers which files were seen. A micro-batch
-writes to a folder of its own, replaced if the batch is run again, so a lost
-driver between write and commit leaves no duplicates.
+The file source's checkpoint remembers which files were seen. With keys that name a row within its file, which rows have
+come is state of the query, in the same checkpoint: a part that is delivered again under another name adds nothing. A
+micro-batch writes to a folder of its own, replaced if the batch is run again, so a lost driver between write and commit
+leaves no duplicates. A file may come in several parts; one damaged part, whenever it comes, takes the whole file back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortviews.schemas import LEDGER
 from cohortviews.session import small_side, stage
-from cohortviews.sources.files import CORRUPT, Layout, usable_rows, with_file
+from cohortviews.sources.files import CORRUPT, HEADER, KIND, UNREADABLE, Layout, typed_lines, usable_rows, with_file
+
+DIGEST = "_digest"
 
 
 def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_batch: int) -> DataFrame:
@@ -31,6 +36,21 @@ def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_bat
     return with_file(reader.csv(folder))
 
 
+def new_lines(raw: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
+    """Typed lines; with ``keys``, output columns that name a row within its file, none that an earlier line repeats.
+
+    The first row of a key stays. Headers belong to their part, so each part keeps its own; lines that cannot be read are
+    told apart by all their fields. What has come is kept as 64-bit digests, in as many pieces as there are shuffle
+    partitions.
+    """
+    if not keys:
+        return typed_lines(raw, layout)
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in layout.columns], F.col(CORRUPT))
+    lines = typed_lines(raw.withColumn(DIGEST, whole), layout, beside=(DIGEST,))
+    digest = F.when(F.col(KIND) == HEADER, F.xxhash64("path")).when(~F.col(UNREADABLE), F.xxhash64(*keys)).otherwise(F.col(DIGEST))
+    return lines.withColumn(DIGEST, digest).dropDuplicates(["file_id", KIND, DIGEST]).drop(DIGEST)
+
+
 def load_new_files(
     spark: SparkSession,
     folder: str,
@@ -39,20 +59,21 @@ def load_new_files(
     target: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    keys: Sequence[str] = (),
 ) -> StreamingQuery:
     """Load everything that is new in ``folder`` and stop.
 
     Rows go to ``<target>/rows`` with their file id, bad files to ``<target>/errors``. A second
-    call with the same checkpoint loads only files added since.
+    call with the same checkpoint loads only rows added since.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows, errors = usable_rows(batch, manifest, layout)
+        rows, errors, _ = usable_rows(stage(batch, "batch"), manifest, layout)
         rows.write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
         errors.write.mode("overwrite").parquet(f"{target}/errors/batch_id={batch_id}")
 
     return (
-        stream_lines(spark, folder, layout, files_per_batch)
+        new_lines(stream_lines(spark, folder, layout, files_per_batch), layout, keys)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -61,10 +82,7 @@ def load_new_files(
 
 
 def loaded_rows(spark: SparkSession, target: str, schema: str) -> DataFrame:
-    """Rows of all batches, without those of files that any batch found damaged.
-
-    A file may come in several parts; a damaged part in a later batch takes back what earlier ones brought.
-    """
+    """Rows of all batches, without those of files that any batch found damaged."""
     rows = spark.read.schema(f"file_id string, {schema}").parquet(f"{target}/rows").drop("batch_id")
     bad = spark.read.schema(LEDGER).parquet(f"{target}/errors").select("file_id").distinct()
     return rows.join(small_side(stage(bad, "bad-files")), "file_id", "left_anti").drop("file_id")

@@ -11,7 +11,7 @@ from cohortviews.operators import ranking as rk
 from cohortviews.operators import reshape as rs
 from cohortviews.operators import select as sel
 from cohortviews.plans import cohort as co
-from cohortviews.sources import files, sinks, tables
+from cohortviews.sources import files, folders, sinks, tables
 
 
 def test_long_class_names_stay_whole(spark):
@@ -77,9 +77,58 @@ def test_failed_checks_publish_nothing(spark, tmp_path):
     assert sinks.write_table(spark.range(3), path, ["id"]) == 3 and tables.stored(spark, path)
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part-0.parquet").write_text("no table")
+    assert tables.state(spark, str(tmp_path / "bad")) == "partial"
+    (tmp_path / "bad" / folders.MARKER).touch()
     assert tables.state(spark, str(tmp_path / "bad")) == "unreadable"
 
 
+def test_a_table_without_its_mark_is_none(spark, tmp_path):
+    """A later failure leaves what was there; a missing mark makes a table partial; a new write replaces it whole."""
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(1000), path, ["id"])
+    with pytest.raises(RuntimeError, match="no rows"):
+        sinks.write_table(spark.range(0), path)
+    assert tables.stored(spark, path) and spark.read.parquet(path).count() == 1000
+    (tmp_path / "t" / folders.MARKER).unlink()
+    assert tables.state(spark, path) == "partial" and not tables.stored(spark, path)
+    sinks.write_table(spark.range(10), path)
+    assert tables.stored(spark, path) and spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_tables_are_written_once(spark, tmp_path):
+    """One write and no second scan of the plan: each partition of the source runs once."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        runs.add(1)
+        yield from batches
+
+    rows = spark.range(0, 100, 1, 4).mapInArrow(once, "id long")
+    assert sinks.write_table(rows, str(tmp_path / "t"), ["id"]) == 100
+    assert runs.value == 4
+
+
+def test_text_is_parsed_once(spark, tmp_path):
+    """Neither the rows nor the ledger of an ingest go back to the files."""
+    import shutil
+
+    folder = tmp_path / "in" / "00000001-aaaa-bbbb-cccc-000000000001"
+    folder.mkdir(parents=True)
+    (folder / "f.tsv").write_text("cg1\t0.1\ncg2\t0.2\n")
+    listing = spark.createDataFrame([(folder.name, "f.tsv", "P")], "file_id string, file_name string, patient_id string")
+    rows, errors = files.ingest(spark, str(tmp_path / "in"), listing, files.METHYLATION)
+    shutil.rmtree(tmp_path / "in")
+    assert sorted((r.probe_id, r.beta_value) for r in rows.collect()) == [("cg1", 0.1), ("cg2", 0.2)] and errors.count() == 0
+
+
+def test_ledger_of_a_clean_run(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    errors = spark.createDataFrame([("P", "f", "bad")], "patient_id string, file_id string, error string")
+    assert sinks.write_ledger(errors, path) and folders.exists(spark, path)
+    assert not sinks.write_ledger(errors.limit(0), path) and not folders.exists(spark, path)
+
+
 @pytest.mark.parametrize("line", ["cg2", "cg2\t0.5\tx", "cg2\tmany"])
 def test_headerless_file_with_a_broken_line(spark, tmp_path, line):
     ids = [f"{i:08d}-aaaa-bbbb-cccc-{i:012d}" for i in range(3)]

@@ -63,12 +63,13 @@ def kmeans_runs(
     squared-distance form. Both see the zero-filled vectors that the clusters were fitted on.
     """
     filled_rows = stage(df.withColumn("__filled", zero_filled(vector)), "points")
-    fits, placed = [], filled_rows
+    fits, placed = [], filled_rows.withColumn("__v", array_to_vector("__filled"))
     for k in k_range:
-        best, with_cluster = kmeans_best(filled_rows, k, "__filled", restarts, seed)
+        best, _ = kmeans_best(filled_rows, k, "__filled", restarts, seed)
         fits.append((int(k), float(best.summary.trainingCost)))
-        placed = placed.join(with_cluster.select(id_col, F.col("cluster").alias(f"cluster_{k}")), id_col)
-    placed = stage(placed, "clusters")
+        # one frame passes through the models of all k: nothing is joined
+        placed = best.setPredictionCol(f"cluster_{k}").transform(placed)
+    placed = stage(placed.drop("__v"), "clusters")
     names = [f"cluster_{k}" for k, _ in fits]
     if exact:
         scores = silhouettes_exact(placed, id_col, names, "__filled").groupBy("clustering").agg(F.avg("silhouette").alias("s"))

@@ -87,22 +87,23 @@ def kmeans_sweep(spark, sf_dir):
 
 @query("kmeans_clusters", "SELECT vec_id, TRUE AS best_k, TRUE AS at_nearest_mean FROM embeddings")
 def kmeans_clusters(spark, sf_dir):
-    """Every row once, at the k of the best silhouette, with no other cluster's mean much nearer than its own."""
-    sweep, placed = fa.kmeans_runs(_points(spark, sf_dir), "vec_id", exact=False)
-    best = fa.best_clustering(sweep, placed)
+    """Every row once, at the k of the best exact silhouette, with no other cluster's mean much nearer than its own."""
+    sweep, placed = fa.kmeans_runs(_points(spark, sf_dir), "vec_id")
     k = sweep.agg(F.max_by("k", F.struct("silhouette", -F.col("k")))).first()[0]
+    wanted = placed.select("vec_id", F.col(f"cluster_{k}").alias("wanted"))
+    best = stage(fa.best_clustering(sweep, placed).join(wanted, "vec_id"))
     cells = best.select("cluster", F.posexplode("vector").alias("i", "x"))
     means = cells.groupBy("cluster", "i").agg(F.avg("x").alias("m"))
     far = (
-        best.select("vec_id", "cluster", F.posexplode("vector").alias("i", "x"))
+        best.select("vec_id", "cluster", "wanted", F.posexplode("vector").alias("i", "x"))
         .join(F.broadcast(means.withColumnRenamed("cluster", "of")), "i")  # k rows for each dimension
-        .groupBy("vec_id", "cluster", "of")
+        .groupBy("vec_id", "cluster", "wanted", "of")
         .agg(F.sum((F.col("x") - F.col("m")) * (F.col("x") - F.col("m"))).alias("d"))
-        .groupBy("vec_id", "cluster")
+        .groupBy("vec_id", "cluster", "wanted")
         .agg(F.min("d").alias("least"), F.max(F.when(F.col("of") == F.col("cluster"), F.col("d"))).alias("own"))
     )
     return far.select(
-        "vec_id", F.col("cluster").between(0, k - 1).alias("best_k"), (F.col("own") <= 1.05 * F.col("least")).alias("at_nearest_mean")
+        "vec_id", (F.col("cluster") == F.col("wanted")).alias("best_k"), (F.col("own") <= 1.05 * F.col("least")).alias("at_nearest_mean")
     )
 
 

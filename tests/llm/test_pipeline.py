@@ -75,5 +75,5 @@ def test_run_is_registered(spark):
     import __spark_entry__ as contract
 
     assert contract.queries()["pipeline"] is corpus_pipeline.run
-    assert len([n for n in contract.queries() if n.startswith("op")]) == 10
+    assert len([n for n in contract.queries() if n.startswith("op")]) == 13
     assert corpus_pipeline.run(spark, SF).count() > 0

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.llm.common import stage
+from cohortviews.session import staging_path
 
 #: Counts above this are not discounted.
 LARGEST = 5
@@ -371,7 +372,10 @@ def counted(sent: DataFrame, words: Words, plan: Plan, short: np.ndarray) -> Dat
 
     salt = F.col("slot").bitwiseAND(F.lit((1 << SALT_BITS) - 1))
     dealt = sent.repartition(F.col("bucket"), salt).sortWithinPartitions(F.col("bucket"), salt)
-    return stage(dealt.mapInArrow(count, COUNTED), "counts")
+    # counts are small numbers, which a denser codec than the default halves
+    path = staging_path(sent.sparkSession, "counts")
+    dealt.mapInArrow(count, COUNTED).write.option("compression", "zstd").parquet(path)
+    return sent.sparkSession.read.schema(COUNTED).parquet(path)
 
 
 def freed_by(factor: np.ndarray, n: list):

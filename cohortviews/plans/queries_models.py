@@ -9,10 +9,11 @@ from cohortviews.operators import factors as fa
 from cohortviews.operators import merge as mg
 from cohortviews.operators import model as md
 from cohortviews.operators import reshape as rs
+from cohortviews.operators import variational as va
 from cohortviews.operators.ranking import best_row
 from cohortviews.plans import adapters as ad
 from cohortviews.plans.catalogue import query
-from cohortviews.plans.queries_matrix import _six_cells
+from cohortviews.plans.queries_matrix import SQL_SIX_CELLS, _six_cells
 from cohortviews.session import stage
 
 
@@ -218,3 +219,39 @@ def factor_loadings(spark, sf_dir):
 def factor_scores(spark, sf_dir):
     """Scores of different factors are orthogonal."""
     return _orthogonal(_factors(spark, sf_dir).scores, "scores")
+
+
+@query(
+    "variational_factors",
+    f"""WITH {SQL_SIX_CELLS},
+gated AS (SELECT r.view, r.feature_id FROM rates r JOIN config c ON r.view = c.view WHERE r.missing_rate <= c.max_missing),
+seen AS (SELECT x.view, x.feature_id, x.patient_id FROM cells x JOIN gated g ON x.view = g.view AND x.feature_id = g.feature_id
+  WHERE x.value IS NOT NULL)
+SELECT count(DISTINCT patient_id) AS n_scores, count(DISTINCT (view, feature_id)) AS n_loadings, TRUE AS never_falls,
+  TRUE AS at_most_all, TRUE AS each_explains, TRUE AS strongest_first FROM seen""",
+)
+def variational_factors(spark, sf_dir):
+    """Variational model of the gated views: entities and features it covers, its bound, and what its factors explain."""
+    config = dims.view_config(spark)
+    cells, people = _six_cells(spark, sf_dir)
+    likelihoods = {r.view: r.likelihood for r in config.collect()}  # a row for each view
+    model = va.fit_variational(va.prepared(fa.gated_views(cells, people, config), likelihoods), likelihoods, max_iter=40)
+    steps = F.array_sort(F.collect_list(F.struct("iteration", "elbo", "factors")))  # a row for each iteration
+    pairs = F.arrays_zip(F.slice("steps", F.lit(1), F.size("steps") - 1).alias("a"), F.slice("steps", F.lit(2), F.size("steps") - 1).alias("b"))
+    log = model.log.agg(steps.alias("steps")).select(
+        F.forall(
+            pairs,
+            lambda p: (p["a"]["factors"] != p["b"]["factors"]) | (p["b"]["elbo"] >= p["a"]["elbo"] - 1e-7 * F.abs(p["a"]["elbo"])),
+        ).alias("never_falls")
+    )
+    shares = model.r2.groupBy("factor").agg(F.max("r2").alias("top"), F.sum("r2").alias("total"))
+    listed = shares.agg(F.array_sort(F.collect_list(F.struct("factor", "top", "total"))).alias("fs"))  # a row for each factor
+    totals = F.transform("fs", lambda f: f["total"])
+    return listed.select(
+        model.scores.agg(F.count("*")).scalar().alias("n_scores"),
+        model.loadings.agg(F.count("*")).scalar().alias("n_loadings"),
+        log.scalar().alias("never_falls"),
+        F.forall("fs", lambda f: f["top"] <= 100).alias("at_most_all"),
+        (F.forall("fs", lambda f: f["top"] >= 0.1) | (F.size("fs") == 1)).alias("each_explains"),
+        (totals == F.reverse(F.array_sort(totals))).alias("strongest_first"),
+    )

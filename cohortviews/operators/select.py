@@ -75,8 +75,16 @@ def top_variance_features(
     from one aggregate over the long table.
     """
     stats = feature_statistics(df, feature, value, entity, ddof, distinct_entities)
+    people = entity_count(df, entity).scalar() if min_coverage > 0 else F.lit(0)
+    return choose_top(stats, people, n, min_coverage, must_keep, feature)
+
+
+def choose_top(
+    stats: DataFrame, people: Column, n: int, min_coverage: float, must_keep: DataFrame | None = None, feature: str = FEATURE
+) -> DataFrame:
+    """The choice of :func:`top_variance_features` from ``(feature, n_obs, variance)`` and the number of entities."""
     if min_coverage > 0:
-        floor = coverage_floor(entity_count(df, entity).scalar(), min_coverage)
+        floor = coverage_floor(people, min_coverage)
     else:
         floor = F.lit(1)
     top = (

@@ -31,4 +31,5 @@ def load() -> None:
         queries_labels,
         queries_matrix,
         queries_models,
+        queries_states,
     )

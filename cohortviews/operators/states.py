@@ -118,7 +118,7 @@ def sketched_funnel(sketches: DataFrame, view: str = "modality") -> DataFrame:
     size = F.theta_sketch_estimate("people").cast("double")
     each = one.select(F.col(view).alias("step"), size.alias("n"), size.alias("around"))
     # grouped by nothing, so that an empty table has no row: an intersection of no sketch is an error
-    whole = one.groupBy(F.lit(0)).agg(
+    whole = one.groupBy(F.lit("all").alias("all_views")).agg(
         F.count("*").alias("views"),
         F.theta_sketch_estimate(F.theta_union_agg("people", F.lit(THETA_LOG2))).cast("double").alias("any"),
         F.theta_sketch_estimate(F.theta_intersection_agg("people")).cast("double").alias("all"),

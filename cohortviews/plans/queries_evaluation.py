@@ -9,6 +9,7 @@ from cohortviews.functions.values import argmax_code
 from cohortviews.operators import evaluate as ev
 from cohortviews.operators import factors as fa
 from cohortviews.operators import select as sel
+from cohortviews.operators import silhouettes as si
 from cohortviews.operators.model import stratified_folds
 from cohortviews.plans import adapters as ad
 from cohortviews.plans.catalogue import query
@@ -241,6 +242,13 @@ def silhouette_exact(spark, sf_dir):
     return _round(ev.silhouette_exact(ad.vectors(spark, sf_dir), "vec_id"), 7, "silhouette")
 
 
+@query("silhouette_bounded", sql_silhouette("list_distance(x.e, y.e)", PER_ROW))
+def silhouette_bounded(spark, sf_dir):
+    """The exact silhouette again, without the distances that its bounds rule out."""
+    rows = si.silhouette_bounded(ad.vectors(spark, sf_dir), "vec_id")
+    return _round(rows.drop("n_distances"), 7, "silhouette")
+
+
 @query(
     "silhouette_squared",
     sql_silhouette("list_distance(x.e, y.e) * list_distance(x.e, y.e)", PER_CLUSTER),

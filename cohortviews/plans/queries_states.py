@@ -1,9 +1,10 @@
-"""Queries on statistics that are kept as mergeable states."""
+"""Queries on statistics that are kept as mergeable states, and on digests."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortviews.operators import digests as dg
 from cohortviews.operators import merge as mg
 from cohortviews.operators import states as st
 from cohortviews.plans import adapters as ad
@@ -64,3 +65,30 @@ def sketched_quantiles(spark, sf_dir):
     return ranks.select(
         "cohort", "share", F.col("seen").alias("n"),
         ((F.col("n") == F.col("seen")) & (F.col("below") - slack <= at) & (at <= F.col("upto") + slack)).alias("within_error"))
+
+
+SQL_CHANGED = f"""{ad.SQL_EXPRESSION},
+cells AS (SELECT cohort, patient_id, feature_id, count(value) AS n_values FROM expression GROUP BY 1, 2, 3)"""
+
+
+@query(
+    "digest_differences",
+    f"""WITH {SQL_CHANGED}
+SELECT cohort, patient_id, feature_id, CASE WHEN patient_id % 97 = 0 THEN 'MISSING' ELSE 'CHANGED' END AS mark,
+  CAST(1 AS BIGINT) AS n_expected, CAST(CASE WHEN patient_id % 97 = 0 THEN 0 ELSE 1 END AS BIGINT) AS n_stored
+FROM cells WHERE cohort IN ('BUILDING', 'MACHINERY') AND (patient_id % 97 = 0 OR (patient_id % 89 = 0 AND feature_id LIKE '%.1'))
+UNION ALL SELECT cohort, patient_id, 'new', 'EXTRA', 0, 1 FROM (SELECT DISTINCT cohort, patient_id FROM cells) c
+WHERE cohort IN ('BUILDING', 'MACHINERY') AND patient_id % 83 = 0""",
+)
+def digest_differences(spark, sf_dir):
+    """Rows that a changed copy lacks, has besides, or has otherwise; two of five cohorts were changed."""
+    keys, ids, values = ["cohort"], ["patient_id", "feature_id"], ["n_values"]
+    whole = stage(ad.expression(spark, sf_dir).groupBy(*keys, *ids).agg(F.count("value").alias("n_values")))
+    touched = F.col("cohort").isin("BUILDING", "MACHINERY")
+    lost = touched & (F.col("patient_id") % 97 == 0)
+    other = touched & (F.col("patient_id") % 89 == 0) & F.col("feature_id").endswith(".1")
+    copy = whole.where(~lost).withColumn("n_values", F.when(other, F.col("n_values") + 1).otherwise(F.col("n_values")))
+    new = whole.where(touched & (F.col("patient_id") % 83 == 0)).select(*keys, "patient_id").distinct()
+    copy = stage(copy.unionByName(new.select(*keys, "patient_id", F.lit("new").alias("feature_id"), F.lit(1).cast("long").alias("n_values"))))
+    trees = [stage(dg.digest_tree(t, keys, ids, values)) for t in (whole, copy)]
+    return dg.differences(whole, copy, *trees, keys, ids, values)

@@ -140,35 +140,47 @@ class Plan:
 
 
 class Chunk:
-    """Different texts of a chunk, its words, and its different pairs in the order (bucket, salt, second, first word)."""
+    """Different texts of a chunk, its words, and its different pairs in the order (bucket, salt, second, first word).
+
+    Places in arrays take four bytes, and what a step leaves behind goes at once: a chunk has some three million tokens.
+    """
 
     def __init__(self, texts: list[bytes], weights: np.ndarray, plan: Plan):
         place: dict[bytes, int] = {}
         self.text_of = np.array([place.setdefault(t, len(place)) for t in texts], np.int64)
         weight = np.bincount(self.text_of, weights, len(place))
         parts = [word_digests(t) for t in place]
+        place.clear()
         self.sizes = np.array([len(p) for p in parts])
-        self.words, second = np.unique(np.concatenate(parts), return_inverse=True)
-        self.text = np.repeat(np.arange(len(parts)), self.sizes)
-        first = np.empty_like(second)
-        first[1:] = second[:-1]
-        first[np.cumsum(self.sizes) - self.sizes] = len(self.words)  # the start
-        self.second_of_token = second
-        keys, self.pair = np.unique(second * (len(self.words) + 1) + first, return_inverse=True)
-        self.n = np.bincount(self.pair, weight[self.text], len(keys)).astype(np.int64)
-        self.second, self.first = np.divmod(keys, len(self.words) + 1)
+        tokens = np.concatenate(parts)
+        del parts
+        self.words, second = np.unique(tokens, return_inverse=True)
+        del tokens
+        self.second_of_token = second.astype(np.int32)
+        del second
+        self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        keys = self.second_of_token.astype(np.int64)
+        keys *= len(self.words) + 1
+        keys[1:] += self.second_of_token[:-1]
+        begins = np.cumsum(self.sizes) - self.sizes
+        keys[begins] = self.second_of_token[begins].astype(np.int64) * (len(self.words) + 1) + len(self.words)  # the start
+        keys, pair = np.unique(keys, return_inverse=True)
+        pair = pair.astype(np.int32)
+        self.n = np.bincount(pair, weight[self.text], len(keys)).astype(np.int64)
+        self.second, self.first = (x.astype(np.int32) for x in np.divmod(keys, len(self.words) + 1))
         at, is_crowded = plan.crowded(self.words)
         bucket = np.where(is_crowded, plan.buckets + at, self.words % plan.buckets)[self.second]
         groups = np.where(is_crowded, plan.groups[at] if len(plan.groups) else 1, 1)[self.second]
         salt = self.first_digest() % groups  # not negative: the divisor is positive
         by = np.lexsort((self.first, self.second, salt, bucket))
-        back = np.empty_like(by)
-        back[by] = np.arange(len(by))
-        self.second, self.first, self.n, self.pair = self.second[by], self.first[by], self.n[by], back[self.pair]
-        self.bucket, self.salt = bucket[by], salt[by]
+        back = np.empty(len(by), np.int32)
+        back[by] = np.arange(len(by), dtype=np.int32)
+        self.second, self.first, self.n, self.pair = self.second[by], self.first[by], self.n[by], back[pair]
+        bucket, salt = bucket[by], salt[by]
         new = np.ones(len(keys), bool)
-        new[1:] = (self.bucket[1:] != self.bucket[:-1]) | (self.salt[1:] != self.salt[:-1])
+        new[1:] = (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])
         self.rows = np.flatnonzero(new)  # a row begins at each of these pairs
+        self.bucket, self.salt = bucket[self.rows], salt[self.rows]
         new[1:] |= self.second[1:] != self.second[:-1]
         self.parts = np.flatnonzero(new)  # and one word of a row at each of these
 
@@ -219,8 +231,8 @@ def requests(texts: DataFrame, plan: Plan, short: np.ndarray) -> DataFrame:
         ends = np.append(chunk.rows[1:], len(first))
         part_ends = np.searchsorted(chunk.parts, ends)
         columns = [
-            pa.array(chunk.bucket[chunk.rows]),
-            pa.array((number << SALT_BITS) | chunk.salt[chunk.rows]),
+            pa.array(chunk.bucket),
+            pa.array((number << SALT_BITS) | chunk.salt),
             _blobs(chunk.words[chunk.second[chunk.parts]], part_ends),
             _blobs(np.diff(np.append(chunk.parts, len(first))).astype(np.uint32), part_ends),
             _blobs(np.where(is_short, at, RARE).astype(np.uint16), ends),

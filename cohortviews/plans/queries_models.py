@@ -175,6 +175,29 @@ def permutation_importance(spark, sf_dir):
     return losses.select("ordinal", F.col("accuracy_loss").between(-1, 1).alias("in_range"))
 
 
+@query(
+    "planted_feature_first",
+    """SELECT m AS measure, CAST(64 AS INTEGER) AS ordinal, TRUE AS well_ahead
+FROM (VALUES ('forest'), ('linear'), ('permutation')) t(m) WHERE (SELECT count(DISTINCT label) FROM embeddings) > 1""",
+)
+def planted_feature_first(spark, sf_dir):
+    """One more feature that tells the label, up to noise, ranks first by every measure, at least twice ahead of the next."""
+    noise = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1000)) / 2500
+    data = stage(_examples(spark, sf_dir).withColumn(
+        "features", F.concat(F.col("features").cast("array<double>"), F.array((F.col("label") + noise).cast("double")))))
+    model, positions, means = md.final_model(data)
+    measures = {
+        "forest": md.importances(spark, model, positions).select("ordinal", F.col("importance").alias("size")),
+        "permutation": md.permutation_importance(data, model, positions, means).select("ordinal", F.col("accuracy_loss").alias("size")),
+        "linear": md.linear_attribution(data).groupBy(F.col("position").cast("int").alias("ordinal")).agg(F.sum("mean_abs").alias("size")),
+    }
+    sizes = mg.stack_cohorts([df.withColumn("measure", F.lit(m)) for m, df in measures.items()])
+    top = sizes.groupBy("measure").agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("minus"), "ordinal"))).alias("s"))  # a feature each
+    return top.select(
+        "measure", F.get("s", F.lit(0))["ordinal"].alias("ordinal"),
+        (F.get("s", F.lit(0))["minus"] <= 2 * F.get("s", F.lit(1))["minus"]).alias("well_ahead"))
+
+
 def _factors(spark, sf_dir):
     cells, people = _six_cells(spark, sf_dir)
     gated = fa.gated_views(cells, people, dims.view_config(spark))

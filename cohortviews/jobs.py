@@ -69,7 +69,7 @@ def ingest(
                 rows, errors = files.ingest(spark, raw.format(**place), listing, layout)
             # the ledger first: a table that is there counts as loaded, so its errors must be on record by then
             sinks.write_ledger(errors, f"{out}/{project}/errors_{modality}")
-            return f"{sinks.write_table(rows, target, what=f'{project} {modality}')} rows"
+            return f"{sinks.write_table(rows, target, what=f'{project} {modality}', cluster_by=tables.cluster_columns(modality))} rows"
         except Exception as exc:  # noqa: BLE001 - one modality must not stop the others
             return f"failed: {exc}"
 

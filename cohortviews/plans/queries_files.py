@@ -413,6 +413,10 @@ def predictions_csv_roundtrip(spark, sf_dir):
     return artefacts.read_csv_table(spark, path, "patient_id bigint, fold int, actual_code int, predicted_code int")
 
 
+#: More names than one pushed list takes; one of them does not occur.
+CLUSTERED = ["Brand#11.0", "Brand#11.1", "Brand#13.2", *[f"Brand#{m}{n}.3" for m in (2, 3) for n in range(1, 6)], "none"]
+
+
 @query(
     "long_table_roundtrip",
     f"""WITH {ad.SQL_PROTEIN}, {ad.SQL_MIRNA}
@@ -430,6 +434,17 @@ def long_table_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    "clustered_features",
+    f"""WITH {ad.SQL_EXPRESSION} SELECT cohort, patient_id, feature_id, value FROM expression
+WHERE feature_id IN ({", ".join(f"'{f}'" for f in CLUSTERED)})""",
+)
+def clustered_features(spark, sf_dir):
+    """Some features of a table that is clustered by feature inside each cohort."""
+    path = sinks.write_long(ad.expression(spark, sf_dir), staging_path(spark, "long"), ["cohort"], ["feature_id", "patient_id"])
+    return tables.only_features(spark.read.parquet(path), CLUSTERED).select("cohort", "patient_id", "feature_id", "value")
+
+
 @query(
     "wide_table_roundtrip",
     f"WITH {ad.SQL_ARMS} SELECT patient_id, "

@@ -11,14 +11,37 @@ from cohortviews.operators.quality import require_unique
 from cohortviews.sources import folders
 
 
-def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort", "modality")) -> str:
-    """Long table, partitioned by folder; files follow the plan's partitions."""
-    df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
+def clustered(df: DataFrame, by: Sequence[str], folders_by: Sequence[str] = ()) -> DataFrame:
+    """Rows in ranges of ``by`` inside each folder, sorted, so that files, row groups and pages hold few values each.
+
+    End ``by`` with the entity: a feature with a third of all rows then spreads over many ranges.
+    """
+    order = [*folders_by, *by]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _writer(df: DataFrame, by: Sequence[str] = ()):
+    """Parquet writer; the first clustering column also gets a bloom filter in each row group."""
+    writer = df.write.option("compression", "snappy")
+    return writer.option(f"parquet.bloom.filter.enabled#{by[0]}", "true") if by else writer
+
+
+def write_long(
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("cohort", "modality"), cluster_by: Sequence[str] = ()
+) -> str:
+    """Long table, partitioned by folder; clustered inside each, or else in files that follow the plan's partitions."""
+    rows = clustered(df, cluster_by, partition_by) if cluster_by else df
+    _writer(rows, cluster_by).mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def write_table(
-    df: DataFrame, path: str, unique: Sequence[str] = (), what: str = "result", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    unique: Sequence[str] = (),
+    what: str = "result",
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
 ) -> int:
     """Rows of a table that is written once, checked, and only then put at its place.
 
@@ -27,7 +50,7 @@ def write_table(
     ``tables.state`` knows a table by the mark that is written last.
     """
     spark = df.sparkSession
-    new, writer = folders.beside(path), df.write.option("compression", "snappy")
+    new, writer = folders.beside(path), _writer(clustered(df, cluster_by, partition_by) if cluster_by else df, cluster_by)
     try:
         writer.partitionBy(*partition_by).parquet(new) if partition_by else writer.parquet(new)
         written = spark.read.schema(df.schema).parquet(new)

@@ -20,6 +20,25 @@ MEASUREMENT_COLUMNS = {
 }
 
 
+#: Values of one list that Parquet's reader still compares one by one; a longer list is only tested by its ends.
+EXACT_LIST = 10
+
+
+def cluster_columns(modality: str) -> tuple[str, ...]:
+    """How the table of a modality is clustered: by feature, then by subject. Others keep the order of their files."""
+    return (MEASUREMENT_COLUMNS[modality][0], "patient_id") if modality in MEASUREMENT_COLUMNS else ()
+
+
+def only_features(df: DataFrame, names: Sequence[str], feature: str = "feature_id") -> DataFrame:
+    """Rows of some named features, as lists short enough for the scan to skip files, row groups and pages without them.
+
+    Meant for panels of up to some hundred names; ``select.keep_features`` takes sets that come from a table.
+    """
+    names = sorted(set(names))
+    lists = [F.col(feature).isin(names[at : at + EXACT_LIST]) for at in range(0, len(names), EXACT_LIST)]
+    return df.where(reduce(lambda a, b: a | b, lists, F.lit(False)))
+
+
 def path_of(root: str, project: str, modality: str) -> str:
     return f"{root}/{project}/{modality}.parquet"
 

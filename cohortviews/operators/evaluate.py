@@ -7,12 +7,13 @@ contingency cell, so the row tables are read once per metric family.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.operators import distances as ds
 from cohortviews.operators.quality import require_unique
 from cohortviews.operators.ranking import running_totals, top_per_key
 from cohortviews.session import small_side, stage
@@ -394,9 +395,9 @@ def silhouettes_exact(
     """``(id, clustering, __cluster, silhouette)`` under Euclidean distance, for several cluster columns of one type.
 
     The measure itself needs every distance once; all clusterings share it. Rows are hashed into blocks of
-    at most about ``block_rows``; each unordered pair of blocks is one task that holds
-    two blocks and returns, per row, distance sums per cluster. Distances never
-    become rows, and no task sees more than two blocks. Ids must be unique.
+    about ``block_rows``; each unordered pair of blocks is measured once, for both of them. Distances never
+    become rows, and what is moved are distance sums per row and cluster (see ``distances``). The driver gets a row
+    for each cluster. Ids must be unique; rows without a cluster count for none and get 0.
     """
     require_unique(df, [id_col], "the rows of a silhouette")
     n = df.count()
@@ -405,92 +406,113 @@ def silhouettes_exact(
     blocks = max(1, math.ceil(n / block_rows), min(for_cores, math.ceil(n / 64)))
     kind = df.schema[id_col].dataType.simpleString()
     ckind = df.schema[clusterings[0]].dataType.simpleString()
+    members = df.select(F.posexplode(F.array(*clusterings)).alias("m", "target")).where(F.col("target").isNotNull())
+    counted = members.groupBy("m", "target").agg(F.count("*").alias("n")).orderBy("m", "target")
+    sizes = [(r.m, r.target, r.n) for r in counted.collect()] or [(-1, None, 0)]  # a row for each cluster
     rows = df.select(
+        F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"),
         F.col(id_col).alias("id"),
         F.array(*clusterings).alias("c"),
         F.col(vector).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"),
-    )
-    # the row's block meets every block; the smaller number comes first
-    tiles = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        "id", "c", "v", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-
-    sums = (
-        tiles.groupBy("i", "j")
-        .applyInPandas(_tile_sums(), f"id {kind}, m int, c {ckind}, target {ckind}, total double")
-        .groupBy("id", "m", "c", "target")
-        .agg(F.sum("total").alias("total"))
-    )
-    members = df.select(F.posexplode(F.array(*clusterings)).alias("m", "target"))
-    sizes = small_side(stage(members.groupBy("m", "target").agg(F.count("*").alias("n"))))
-    own = F.col("c") == F.col("target")
-    means = sums.join(sizes, ["m", "target"]).withColumn(
-        "mean", F.try_divide("total", F.when(own, F.col("n") - 1).otherwise(F.col("n")))
-    )
-    return (
-        means.groupBy("id", "m", "c")
-        .agg(F.max(F.when(own, F.col("mean"))).alias("a"), F.min(F.when(~own, F.col("mean"))).alias("b"))
-        .select(
-            F.col("id").alias(id_col),
-            F.get(F.lit(list(clusterings)), F.col("m")).alias("clustering"),
-            F.col("c").alias("__cluster"),
-            F.when(F.col("a").isNull(), 0.0)
-            .otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-            .alias("silhouette"),
-        )
-    )
-
-
-def _tile_sums():
-    """Task function for one pair of blocks.
-
-    It is built inside a function so that it travels with the job: workers need
-    numpy and pandas, not this package.
-    """
-
-    def distance_sums(rows: pd.DataFrame, against: pd.DataFrame) -> pd.DataFrame:
-        """Per row of the first block, distance sums to the second block by cluster, for every clustering."""
-        if rows.empty or against.empty:
-            return pd.DataFrame({"id": rows["id"].iloc[:0], "m": [], "c": [], "target": [], "total": []})
-        x, y = np.stack(rows["v"].to_numpy()), np.stack(against["v"].to_numpy())
-        mine, theirs = np.stack(rows["c"].to_numpy()), np.stack(against["c"].to_numpy())
-        names, members = [], []
-        for m in range(theirs.shape[1]):
-            name, code = np.unique(theirs[:, m], return_inverse=True)
-            names.append(name)
-            members.append((np.arange(len(name)) == code[:, None]).astype(float))
-        member = np.hstack(members)
-        totals = np.empty((len(x), member.shape[1]))
-        for at in range(0, len(x), 64):  # 64 x block x dims doubles at a time
-            gap = x[at : at + 64, None, :] - y[None, :, :]
-            totals[at : at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap)) @ member
-        parts, before = [], 0
-        for m, name in enumerate(names):
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "id": np.repeat(rows["id"].to_numpy(), len(name)),
-                        "m": m,
-                        "c": np.repeat(mine[:, m], len(name)),
-                        "target": np.tile(name, len(x)),
-                        "total": totals[:, before : before + len(name)].ravel(),
-                    }
-                )
-            )
-            before += len(name)
-        return pd.concat(parts, ignore_index=True)
-
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        left = pdf[pdf["block"] == i]
-        right = pdf[pdf["block"] == j]
-        parts = [distance_sums(left, right)]
-        if i != j:
-            parts.append(distance_sums(right, left))
-        return pd.concat(parts, ignore_index=True)
-
-    return tile
+    packed = stage(
+        rows.groupBy("block").applyInArrow(
+            _packed(sizes, len(clusterings)), f"block int, ids array<{kind}>, names array<{ckind}>, codes binary, x binary"),
+        "blocks",
+    )
+    left = packed.select(F.col("block").alias("i"), F.col("codes").alias("ci"), F.col("x").alias("xi"))
+    right = packed.select(F.col("block").alias("j"), F.col("codes").alias("cj"), F.col("x").alias("xj"))
+    pairs = ds.meet(left, right, F.col("i") <= F.col("j"))
+    sums = ds.added(pairs.mapInArrow(_pair_sums(len(sizes), len(clusterings)), "block int, sums binary"), ["block"])
+    scored = sums.join(packed.select("block", "ids", "names", "codes"), "block").mapInArrow(
+        _scores(sizes, len(clusterings)), f"id {kind}, m int, c {ckind}, silhouette double")
+    return scored.select(
+        F.col("id").alias(id_col),
+        F.get(F.lit(list(clusterings)), F.col("m")).alias("clustering"),
+        F.col("c").alias("__cluster"),
+        "silhouette",
+    )
+
+
+def _packed(sizes: list[tuple], clusterings: int):
+    """Task function that packs a block; the code of a cluster is its place among ``sizes``, -1 without one."""
+    code = {(m, name): at for at, (m, name, _) in enumerate(sizes)}
+    matrix = ds.vectors_of()
+
+    def pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, names, xs = [], [], []
+        for batch in batches:
+            ids.append(batch.column("id"))
+            names.append(batch.column("c").flatten())
+            xs.append(matrix(batch.column("v")))
+        ids, names = pa.concat_arrays(ids), pa.concat_arrays(names)
+        codes = np.array([code.get((at % clusterings, name), -1) for at, name in enumerate(names.to_pylist())], dtype="<i4")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], pa.int32()), pa.ListArray.from_arrays([0, len(ids)], ids),
+             pa.ListArray.from_arrays([0, len(names)], names), pa.array([codes.tobytes()], pa.binary()),
+             pa.array([np.vstack(xs).astype("<f8").tobytes()], pa.binary())],
+            ["block", "ids", "names", "codes", "x"])
+
+    return pack
+
+
+def _pair_sums(clusters: int, clusterings: int):
+    """Task function for pairs of blocks: per row of either block, distance sums to the other by cluster."""
+    distances = ds.between()
+
+    def read(batch: pa.RecordBatch, row: int, side: str) -> tuple[int, np.ndarray, np.ndarray]:
+        codes = np.frombuffer(batch.column(f"c{side}")[row].as_buffer(), dtype="<i4").reshape(-1, clusterings)
+        member = np.zeros((len(codes), clusters))
+        at, m = np.nonzero(codes >= 0)
+        member[at, codes[at, m]] = 1.0
+        x = np.frombuffer(batch.column(f"x{side}")[row].as_buffer(), dtype="<f8").reshape(len(codes), -1)
+        return batch.column(side)[row].as_py(), x, member
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                i, x, mine = read(batch, row, "i")
+                j, y, theirs = read(batch, row, "j")
+                to, back = totals.setdefault(i, np.zeros((len(x), clusters))), totals.setdefault(j, np.zeros((len(y), clusters)))
+                for at, d in distances(x, y):
+                    to[at : at + len(d)] += d @ theirs
+                    if i != j:
+                        back += d.T @ mine[at : at + len(d)]
+        for block, total in totals.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "sums"])
+
+    return sums
+
+
+def _scores(sizes: list[tuple], clusterings: int):
+    """Task function: silhouettes from the whole sums of a block."""
+    which, n = np.array([m for m, _, _ in sizes], dtype=int), np.array([float(n) for _, _, n in sizes])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, names = batch.column("ids")[row].values, batch.column("names")[row].values
+                codes = np.frombuffer(batch.column("codes")[row].as_buffer(), dtype="<i4").reshape(len(ids), clusterings)
+                total = np.frombuffer(batch.column("sums")[row].as_buffer(), dtype="<f8").reshape(len(ids), -1)
+                out, at = np.zeros(codes.shape), np.arange(len(ids))
+                for m in range(clusterings):
+                    own, others = codes[:, m], which == m
+                    alone = (own < 0) | (n[own] < 2)
+                    a = total[at, own] / np.where(alone, 1.0, n[own] - 1)
+                    means = np.where(others, total / n, np.nan)
+                    means[at, own] = np.nan
+                    b = np.fmin.reduce(means, axis=1)  # none: the only cluster
+                    most = np.maximum(a, b)
+                    known = ~alone & (others.sum() > 1) & (most != 0)
+                    out[known, m] = ((b - a)[known]) / most[known]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(np.repeat(at, clusterings))), pa.array(np.tile(np.arange(clusterings, dtype="int32"), len(ids))),
+                     names, pa.array(out.ravel())],
+                    ["id", "m", "c", "silhouette"])
+
+    return score
 
 
 # --- factors and attributions ------------------------------------------------

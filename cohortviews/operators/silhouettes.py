@@ -9,10 +9,13 @@ k - 1; where clusters lie inside each other everything is measured, and the resu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortviews.operators import distances as ds
 from cohortviews.operators.quality import require_unique
 from cohortviews.session import small_side, stage
 
@@ -52,8 +55,9 @@ def silhouette_bounded(
 ) -> DataFrame:
     """``(id, cluster, silhouette, n_distances)``: the values of ``evaluate.silhouette_exact``, and what each one cost.
 
-    Rows are cut into blocks of one cluster and about ``block_rows`` rows; a task holds a block of points and a block that
-    some of them must be measured against. Points alone in their cluster, or in the only cluster, get 0. Rows without a
+    Rows are cut into blocks of one cluster and about ``block_rows`` rows; a block of points meets the blocks that some of
+    them must be measured against, and what is moved are distance sums per point and cluster (see ``distances``). The driver
+    gets a row for each cluster. Points alone in their cluster, or in the only cluster, get 0. Rows without a
     cluster take no part; ids must be unique.
     """
     df = df.where(F.col(cluster).isNotNull())
@@ -64,44 +68,118 @@ def silhouette_bounded(
     blocks = centres.select("c", "n", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
     sized = small_side(blocks)
     points = candidates(rows, centres).join(sized, "c").withColumn("t", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    points = stage(points.select("id", "c", "t", "v", "near"), "points")
-
-    wanted = points.withColumn("target", F.explode(F.concat(F.array("c"), "near")))
-    asked = wanted.join(sized.select(F.col("c").alias("target"), "blocks"), "target").select(
-        F.col("c").alias("qc"), F.col("t").alias("qt"), F.col("target").alias("mc"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mt"), "id", "v", F.lit(True).alias("asks"))
-    # blocks of points that must meet a cluster: at most (blocks x clusters) short rows
-    meetings = stage(wanted.select(F.col("c").alias("qc"), F.col("t").alias("qt"), F.col("target").alias("mc")).distinct(), "meetings")
-    members = points.select(F.col("c").alias("mc"), F.col("t").alias("mt"), "id", "v").join(small_side(meetings), "mc").select(
-        "qc", "qt", "mc", "mt", "id", "v", F.lit(False).alias("asks"))
-    sums = (
-        asked.unionByName(members).groupBy("qc", "qt", "mc", "mt")
-        .applyInPandas(_distance_sums(), f"id {kind}, c {ckind}, target {ckind}, total double, n long")
-        .groupBy("id", "c", "target").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    )
-    own = F.col("c") == F.col("target")
-    mean = F.try_divide("total", F.when(own, F.col("n") - 1).otherwise(F.col("n")))
-    a, b = F.max(F.when(own, mean)), F.min(F.when(~own, mean))
-    return sums.groupBy("id", "c").agg(a.alias("a"), b.alias("b"), F.sum("n").alias("n_distances")).select(
-        F.col("id").alias(id_col),
-        F.col("c").alias(cluster),
-        F.when(F.col("a").isNull(), 0.0)
-        .otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).alias("silhouette"),
-        "n_distances",
+    sizes = [(r.c, r.n) for r in centres.select("c", "n").orderBy("c").collect()]  # a row for each cluster
+    packed = stage(
+        points.select("c", "t", "id", "v", "near").groupBy("c", "t").applyInArrow(
+            _packed(sizes), f"c {ckind}, code int, t int, ids array<{kind}>, x binary, near binary, targets array<int>"),
+        "blocks",
     )
+    block = F.struct("code", "t", "x", "near", "targets")
+    left, right = packed.select(block.alias("p")), packed.select(block.alias("q"))
+    asked = ds.meet(
+        left, right,
+        (F.struct("p.code", "p.t") <= F.struct("q.code", "q.t"))
+        & (F.array_contains("p.targets", F.col("q.code")) | F.array_contains("q.targets", F.col("p.code"))),
+    ).select(*[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "pq" for c in ("code", "t", "x", "near", "targets")])
+    sums = ds.added(asked.mapInArrow(_asked_sums(), "code int, t int, sums binary"), ["code", "t"])
+    scored = sums.join(packed.drop("x"), ["code", "t"]).mapInArrow(
+        _scores(sizes), f"id {kind}, c {ckind}, silhouette double, n_distances long")
+    return scored.withColumnsRenamed({"id": id_col, "c": cluster})
+
+
+def _packed(sizes: list[tuple]):
+    """Task function that packs a block of one cluster, with the clusters that each row must be measured against.
+
+    ``near`` has a row for each vector and a column for each of the block's ``targets``, its own cluster among them.
+    """
+    code = {name: at for at, (name, _) in enumerate(sizes)}
+    matrix = ds.vectors_of()
+
+    def pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, ids, xs, near = code[key[0].as_py()], [], [], []
+        for batch in batches:
+            ids.append(batch.column("id"))
+            xs.append(matrix(batch.column("v")))
+            near += [[own, *(code[c] for c in names)] for names in batch.column("near").to_pylist()]
+        targets = sorted({c for row in near for c in row})
+        place = {c: at for at, c in enumerate(targets)}
+        wanted = np.zeros((len(near), len(targets)), dtype=bool)
+        for at, row in enumerate(near):
+            wanted[at, [place[c] for c in row]] = True
+        ids = pa.concat_arrays(ids)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], key[0].type), pa.array([own], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
+             pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([np.vstack(xs).astype("<f8").tobytes()], pa.binary()),
+             pa.array([wanted.tobytes()], pa.binary()), pa.array([targets], pa.list_(pa.int32()))],
+            ["c", "code", "t", "ids", "x", "near", "targets"])
+
+    return pack
+
+
+def _asked_sums():
+    """Task function for two blocks some points of which must be measured against the other; no distance is taken twice."""
+    distances = ds.between()
+
+    def read(batch: pa.RecordBatch, row: int, side: str, totals: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        key = tuple(batch.column(f"{side}_{c}")[row].as_py() for c in ("code", "t"))
+        targets = batch.column(f"{side}_targets")[row].as_py()
+        near = np.frombuffer(batch.column(f"{side}_near")[row].as_buffer(), dtype=bool).reshape(-1, len(targets))
+        x = np.frombuffer(batch.column(f"{side}_x")[row].as_buffer(), dtype="<f8").reshape(len(near), -1)
+        return x, near, totals.setdefault(key, np.zeros(near.shape)), targets
+
+    def asking(near: np.ndarray, targets: list[int], code: int) -> tuple[int, np.ndarray]:
+        if code not in targets:
+            return 0, np.zeros(0, dtype=int)
+        at = targets.index(code)
+        return at, np.flatnonzero(near[:, at])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                p, q = (tuple(batch.column(f"{side}_{c}")[row].as_py() for c in ("code", "t")) for side in "pq")
+                x, near, to, targets = read(batch, row, "p", totals)
+                at, asks = asking(near, targets, q[0])
+                y, near, back, targets = read(batch, row, "q", totals)
+                other, answers = asking(near, targets, p[0]) if p != q else (0, asks[:0])
+                for start, d in distances(x[asks], y) if len(asks) else ():
+                    to[asks[start : start + len(d)], at] += d.sum(1)
+                    if len(answers):
+                        back[answers, other] += d.sum(0)[answers]
+                rest = np.setdiff1d(np.arange(len(x)), asks)
+                for _, d in distances(x[rest], y[answers]) if len(rest) and len(answers) else ():
+                    back[answers, other] += d.sum(0)
+        for (code, t), total in totals.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([code], pa.int32()), pa.array([t], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                ["code", "t", "sums"])
 
+    return sums
 
-def _distance_sums():
-    """Task function of a block of points and a block of members; workers need numpy and pandas only."""
-
-    def sums(rows: pd.DataFrame) -> pd.DataFrame:
-        asks = rows["asks"].to_numpy()
-        points, members = rows[asks], rows[~asks]
-        x, y = np.stack(points["v"].to_numpy()), np.stack(members["v"].to_numpy())
-        totals = np.empty(len(x))
-        for at in range(0, len(x), 64):  # 64 x block x dims doubles at a time
-            gap = x[at : at + 64, None, :] - y[None, :, :]
-            totals[at : at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap)).sum(1)
-        return pd.DataFrame({"id": points["id"], "c": points["qc"], "target": points["mc"], "total": totals, "n": len(y)})
 
-    return sums
+def _scores(sizes: list[tuple]):
+    """Task function: silhouettes from the whole sums of a block, and the distances each one took."""
+    n = np.array([float(n) for _, n in sizes])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, targets = batch.column("ids")[row].values, batch.column("targets")[row].as_py()
+                shape = (len(ids), len(targets))
+                near = np.frombuffer(batch.column("near")[row].as_buffer(), dtype=bool).reshape(shape)
+                total = np.frombuffer(batch.column("sums")[row].as_buffer(), dtype="<f8").reshape(shape)
+                own, members = targets.index(batch.column("code")[row].as_py()), n[targets]
+                a = total[:, own] / max(members[own] - 1, 1.0)
+                means = np.where(near, total / members, np.nan)
+                means[:, own] = np.nan
+                b = np.fmin.reduce(means, axis=1)  # none: the only cluster
+                most = np.maximum(a, b)
+                known = (most != 0) & near[:, np.arange(len(targets)) != own].any(1) & (members[own] > 1)
+                out = np.zeros(len(ids))
+                out[known] = (b - a)[known] / most[known]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array([batch.column("c")[row].as_py()] * len(ids), batch.column("c").type), pa.array(out),
+                     pa.array((near @ members).astype("int64"))],
+                    ["id", "c", "silhouette", "n_distances"])
+
+    return score

@@ -39,3 +39,27 @@ def test_alone_repeated_and_without_a_cluster(spark):
     assert si.silhouette_bounded(df.limit(0), "id").count() == 0
     with pytest.raises(Exception):
         si.silhouette_bounded(df.unionByName(df), "id").count()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("of", [ev.silhouette_exact, si.silhouette_bounded])
+def test_blocks_meet_without_copies_in_a_shuffle(spark, of):
+    """Blocks pair up where they lie: no row is repeated for each block it must meet."""
+    rng = np.random.default_rng(5)
+    text = plan(of(frame(spark, rng.normal(size=(60, 3)), [i % 3 for i in range(60)]), "id", block_rows=8))
+    assert "CartesianProduct" in text and "Generate explode" not in text and "FlatMapGroupsInPandas" not in text
+
+
+@pytest.mark.parametrize("of", [ev.silhouette_exact, si.silhouette_bounded])
+def test_copies_far_from_the_origin(spark, of):
+    """Copies have distance zero, near rows their own distance, wherever the cloud lies; clusters may be text."""
+    x = np.array([[0.0, 0.0], [0.0, 0.0], [3e-5, 4e-5], [1.0, 1.0], [1.0, 1.0 + 1e-4]]) + 1e3
+    df = frame(spark, x, [0, 0, 0, 1, 1]).withColumn("cluster", F.col("cluster").cast("string"))
+    got = values(of(df, "id", block_rows=2))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    own = np.array([d[0, :3].sum() / 2, d[1, :3].sum() / 2, d[2, :3].sum() / 2, d[3, 4], d[4, 3]])
+    other = np.concatenate([d[:3, 3:].mean(1), d[3:, :3].mean(1)])
+    assert np.allclose([got[i] for i in range(5)], (other - own) / other, rtol=1e-9)

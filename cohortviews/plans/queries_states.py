@@ -19,7 +19,7 @@ from cohortviews.session import stage, staging_path
 )
 def incremental_selection(spark, sf_dir):
     """Selection over all cohorts from the states that each cohort left; the same as over the rows of all."""
-    rows, root = ad.expression(spark, sf_dir), staging_path(spark, "states")
+    rows, root = stage(ad.expression(spark, sf_dir), "loads", by=["cohort"]), staging_path(spark, "states")  # joined once
     cohorts = [r.cohort for r in rows.select("cohort").distinct().orderBy("cohort").collect()]  # a row for each cohort
     for cohort in cohorts:
         st.add_load(rows.where(F.col("cohort") == cohort), root, cohort)

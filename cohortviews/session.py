@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
@@ -64,17 +64,18 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/staged-{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "table") -> DataFrame:
+def stage(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and scan that instead.
 
     Cuts the lineage where a result is needed more than once, or where a
     partition number has to stay the same when a task is run again. The copy
     outlives executors, later passes read only the columns they use, and the
-    planner knows its size.
+    planner knows its size. With ``by``, rows that agree in these columns lie in
+    a folder of their own, which a filter on them reads alone.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

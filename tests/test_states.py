@@ -82,3 +82,19 @@ def test_quantile_sketches_merge(spark):
     assert whole.n == 90_000
     for share, q in zip((0.0, 0.25, 0.9), whole.quantiles):
         assert abs(q / n - share) <= st.KLL_RANK_ERROR + 1e-3
+
+
+def test_loads_are_read_from_rows_joined_once(spark, monkeypatch):
+    """A load of the query scans its own folder: the joins behind the rows are not run again for each load."""
+    from cohortviews.plans import queries_states as qs
+
+    plans, add_load = [], st.add_load
+
+    def watched(rows, root, load):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return add_load(rows, root, load)
+
+    monkeypatch.setattr(st, "add_load", watched)
+    qs.incremental_selection(spark, "/root/testdata/sf0.001").collect()
+    assert len(plans) > 1 and not any("Join" in p for p in plans)
+    assert all("PartitionFilters: [isnotnull(cohort" in p for p in plans)

@@ -9,10 +9,8 @@ ordered.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS
@@ -20,10 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortviews.dims import inline_table
 from cohortviews.functions.values import known, view_transform
+from cohortviews.operators import kmeans as km
 from cohortviews.operators.evaluate import silhouettes_exact, variance_explained
 from cohortviews.operators.quality import view_gate
 from cohortviews.operators.ranking import best_row, ranked
-from cohortviews.session import small_side, stage, together
+from cohortviews.session import small_side, stage
 
 
 def zero_filled(vector: str) -> Column:
@@ -33,19 +32,11 @@ def zero_filled(vector: str) -> Column:
 def kmeans_best(df: DataFrame, k: int, vector: str = "vector", restarts: int = 10, seed: int = 42, max_iter: int = 50):
     """The fit with the smallest inertia among the restarts, and the rows with its ``cluster``.
 
-    Missing coordinates count as 0. Restarts run at the same time over one kept copy of the vectors.
+    Missing coordinates count as 0. Restarts run at the same time over one written copy of the vectors.
     """
-    ready = df.withColumn("__v", array_to_vector(zero_filled(vector)))
-    points = ready.select("__v").persist()
-
-    def fit(attempt: int):
-        means = KMeans(featuresCol="__v", predictionCol="cluster", k=k, seed=seed + attempt, maxIter=max_iter)
-        return means.fit(points)
-
-    fits = together(*[partial(fit, attempt) for attempt in range(restarts)])
-    points.unpersist()
-    best = min(fits, key=lambda f: f.summary.trainingCost)
-    return best, best.transform(ready).drop("__v")
+    ready = stage(df.withColumn("__filled", zero_filled(vector)), "points")
+    best = km.best_fits(ready, [k], "__filled", restarts, seed, max_iter)[0]
+    return best, km.with_clusters(ready, {"cluster": best.means}, "__filled").drop("__filled")
 
 
 def kmeans_runs(
@@ -63,14 +54,10 @@ def kmeans_runs(
     squared-distance form. Both see the zero-filled vectors that the clusters were fitted on.
     """
     filled_rows = stage(df.withColumn("__filled", zero_filled(vector)), "points")
-    fits, placed = [], filled_rows.withColumn("__v", array_to_vector("__filled"))
-    for k in k_range:
-        best, _ = kmeans_best(filled_rows, k, "__filled", restarts, seed)
-        fits.append((int(k), float(best.summary.trainingCost)))
-        # one frame passes through the models of all k: nothing is joined
-        placed = best.setPredictionCol(f"cluster_{k}").transform(placed)
-    placed = stage(placed.drop("__v"), "clusters")
+    best = km.best_fits(filled_rows, list(k_range), "__filled", restarts, seed)  # all k and restarts in the same passes
+    fits = [(fit.k, fit.cost) for fit in best]
     names = [f"cluster_{k}" for k, _ in fits]
+    placed = stage(km.with_clusters(filled_rows, dict(zip(names, (fit.means for fit in best))), "__filled"), "clusters")
     if exact:
         scores = silhouettes_exact(placed, id_col, names, "__filled").groupBy("clustering").agg(F.avg("silhouette").alias("s"))
         score = {r.clustering: r.s for r in scores.collect()}

@@ -1,10 +1,13 @@
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cohortviews import dims
 from cohortviews.operators import evaluate as ev
 from cohortviews.operators import factors as fa
+from cohortviews.operators import kmeans as km
 from cohortviews.operators import model as md
 
 
@@ -115,3 +118,45 @@ def test_gated_views(spark):
     cells = spark.createDataFrame(rows, "patient_id int, view string, feature_id string, value double")
     out = fa.gated_views(cells, cells.select("patient_id").distinct(), dims.view_config(spark)).collect()
     assert {(r.feature_id, r.value) for r in out} == {("a", 2.0)}
+
+
+def test_kmeans_steps_serve_all_fits(spark):
+    """The number of jobs does not grow with the restarts; means, costs and places are those of one another."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) + 6 * rng.normal(size=(5, 4))[np.arange(300) % 5] + 1000
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, vector array<double>").repartition(3)
+    jobs = spark.sparkContext.statusTracker()
+
+    def run(group, restarts):
+        spark.sparkContext.setJobGroup(group, group)
+        fits = km.best_fits(df, range(2, 7), restarts=restarts, max_iter=2, tol=0.0)
+        spark.sparkContext.setJobGroup("", "")
+        return fits, len(jobs.getJobIdsForGroup(group))
+
+    (one, few), (fits, many) = run("one restart", 1), run("eight restarts", 8)
+    assert many <= few + 6  # a fit that drew too few rows may ask for one more draw
+    assert [f.k for f in fits] == [len(f.means) for f in fits] == [2, 3, 4, 5, 6]
+    assert all(b.cost <= a.cost * (1 + 1e-9) for a, b in zip(one, fits))
+    for fit, placed in zip(fits, [km.with_clusters(df, {"c": f.means}).orderBy("id").collect() for f in fits]):
+        d = ((x[:, None] - fit.means) ** 2).sum(2)
+        assert [r.c for r in placed] == d.argmin(1).tolist() and np.isclose(fit.cost, d.min(1).sum(), rtol=1e-9)
+
+
+def test_kmeans_ends_at_the_means_of_its_clusters(spark):
+    """As good as Spark ML's best restart, and no mean moves at the end."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 3)) + 8 * rng.normal(size=(4, 3))[np.arange(400) % 4]
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, vector array<double>")
+    best, placed = fa.kmeans_best(df, 4)
+    own = np.array([r.cluster for r in placed.orderBy("id").collect()])
+    assert np.allclose(best.means, [x[own == c].mean(0) for c in range(4)], atol=1e-3)
+    theirs = min(KMeans(k=4, seed=s, maxIter=50).fit(df.select(array_to_vector("vector").alias("features"))).summary.trainingCost for s in range(4))
+    assert best.cost <= theirs * 1.001
+
+
+def test_kmeans_of_few_distinct_vectors(spark):
+    df = spark.createDataFrame([(i, [float(i % 2), 0.5]) for i in range(50)], "id long, vector array<double>")
+    fit = km.best_fits(df, [5], restarts=2)[0]
+    assert fit.k == 5 and sorted(fit.means.tolist()) == [[0.0, 0.5], [1.0, 0.5]] and fit.cost == 0
+    with pytest.raises(ValueError, match="no rows"):
+        km.best_fits(df.limit(0), [2])

@@ -78,26 +78,26 @@ def dense_arrays(
     value: str = "value",
     fill: float | None = None,
     name: str = "values",
+    unique: bool = False,
 ) -> DataFrame:
     """One array per entity, position = ordinal; missing cells are ``fill``.
 
     Rows of other features are dropped where they are read (the dictionary is
     broadcast if its size allows), duplicates are averaged, and only then is
     anything moved. Gaps are padded between neighbours, which is linear in the
-    array length. Entities without any row of the dictionary have no array.
+    array length. Entities without any row of the dictionary have no array. With
+    ``unique`` every cell has one row already, so nothing is moved for a mean.
     """
     width = dictionary.count()
     small = F.broadcast(dictionary) if width <= BROADCAST_ROWS else dictionary
     gap = F.lit(fill).cast("double")
-    cell = F.avg(nan_to_null(F.col(value)))
-    entries = (
-        rows.join(small, feature)
-        .groupBy(*keys, "ordinal")
-        .agg(cell.alias("x") if fill is None else F.coalesce(cell, F.lit(fill)).alias("x"))
-        # at most one struct per dictionary entry
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("ordinal", "x"))).alias("__e"))
-    )
+    one = nan_to_null(F.col(value))
+    cell = one.cast("double") if unique else F.avg(one)
+    cell = (cell if fill is None else F.coalesce(cell, F.lit(fill))).alias("x")
+    placed = rows.join(small, feature)
+    cells = placed.select(*keys, "ordinal", cell) if unique else placed.groupBy(*keys, "ordinal").agg(cell)
+    # at most one struct per dictionary entry
+    entries = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ordinal", "x"))).alias("__e"))
 
     def padded(entry: Column, i: Column) -> Column:
         previous = F.coalesce(F.get(F.col("__e"), i - 1)["ordinal"], F.lit(-1))

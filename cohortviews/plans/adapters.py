@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cohortviews.dims import CENTROMERES
+from cohortviews.session import stage
 
 #: Panels over part brands; Brand#99 is in no table.
 BRAND_PANELS = {
@@ -45,6 +46,35 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items joined once for all adapters that read them, and written.
+
+    ``cohorts`` and ``parts`` hold what customer and part have for the line's keys, null where they have nothing, so that an
+    adapter repeats and drops lines just as its own join would. Lines move twice, by order and by part.
+    """
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"
+    )
+    people = table(spark, sf_dir, "customer").groupBy(F.col("c_custkey").alias("patient_id")).agg(
+        F.collect_list(F.struct(F.col("c_mktsegment").alias("cohort"))).alias("cohorts")  # a row for each customer
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("patient_id"))
+    parts = table(spark, sf_dir, "part").groupBy("p_partkey").agg(
+        F.collect_list(F.struct("p_brand", "p_size", "p_type")).alias("parts")  # a row for each part
+    )
+    sold = items.join(orders.join(people, "patient_id", "left"), F.col("l_orderkey") == F.col("o_orderkey"))
+    sold = sold.drop("l_orderkey", "o_orderkey").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").drop("p_partkey")
+    return stage(sold, "lines")
+
+
+def _cohort_lines(facts: DataFrame) -> DataFrame:
+    return facts.select("*", F.inline("cohorts")).drop("cohorts")
+
+
+def _part_lines(facts: DataFrame) -> DataFrame:
+    return facts.select("*", F.inline("parts")).drop("parts")
+
+
 def _with_cohort(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("patient_id"), F.col("c_mktsegment").alias("cohort")
@@ -52,16 +82,20 @@ def _with_cohort(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.join(people, "patient_id")
 
 
-def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RNA-like: versioned ids, every seventh line without a value."""
-    parts = table(spark, sf_dir, "part").select(
-        "p_partkey", F.concat("p_brand", F.lit("."), F.col("p_size") % 4).alias("feature_id")
-    )
-    rows = _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+def _brand_size() -> Column:
+    return F.concat("p_brand", F.lit("."), F.col("p_size") % 4)
+
+
+def expression(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """RNA-like: versioned ids, every seventh line without a value. ``facts`` are those of :func:`line_facts`."""
     value = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice"))
-    return _with_cohort(rows, spark, sf_dir).select(
-        "cohort", "patient_id", "feature_id", value.alias("value")
-    )
+    if facts is None:
+        parts = table(spark, sf_dir, "part").select("p_partkey", _brand_size().alias("feature_id"))
+        rows = _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        rows = _with_cohort(rows, spark, sf_dir)
+    else:
+        rows = _part_lines(_cohort_lines(facts)).withColumn("feature_id", _brand_size())
+    return rows.select("cohort", "patient_id", "feature_id", value.alias("value"))
 
 
 SQL_EXPRESSION = """expression AS (
@@ -113,11 +147,13 @@ SQL_METHYLATION = """methylation AS (
   FROM events e JOIN customer c ON e.user_id = c.c_custkey)"""
 
 
-def protein(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("feature_id"))
-    return _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        "patient_id", "feature_id", F.col("l_quantity").alias("value")
-    )
+def protein(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    if facts is None:
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+        rows = _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    else:
+        rows = _part_lines(facts)
+    return rows.select("patient_id", F.col("p_type").alias("feature_id"), F.col("l_quantity").alias("value"))
 
 
 SQL_PROTEIN = """protein AS (
@@ -135,7 +171,7 @@ def mirna(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_MIRNA = """mirna AS (SELECT user_id AS patient_id, event_type AS feature_id, value FROM events)"""
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segments(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """Intervals on 25 chromosomes, of which Y and M are not canonical."""
     n_parts = table(spark, sf_dir, "part").agg(F.count("*").alias("n")).scalar()
     number = F.col("l_suppkey") % 25
@@ -146,14 +182,15 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((number + 1).cast("string"))
     )
     start = F.floor(F.col("l_partkey") * F.lit(1e8) / n_parts)
-    rows = _sales(spark, sf_dir).select(
+    lines = _with_cohort(_sales(spark, sf_dir), spark, sf_dir) if facts is None else _cohort_lines(facts)
+    return lines.select(
         "patient_id",
         chromosome.alias("chromosome"),
         start.alias("start"),
         (start + (F.col("l_quantity") * 100000).cast("long")).alias("end"),
         (F.col("l_discount") + 0.0).alias("copy_number"),
+        "cohort",
     )
-    return _with_cohort(rows, spark, sf_dir)
 
 
 def _sql_segments() -> str:
@@ -178,14 +215,14 @@ arms AS (
 SQL_ARMS = _sql_segments()
 
 
-def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+def variants(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """Variant calls: return flag as the class, brand and size as the gene."""
-    parts = table(spark, sf_dir, "part").select(
-        "p_partkey", F.concat("p_brand", F.lit("."), F.col("p_size") % 4).alias("hugo_symbol")
-    )
-    return _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        "patient_id", "hugo_symbol", F.col("l_returnflag").alias("variant_class")
-    )
+    if facts is None:
+        parts = table(spark, sf_dir, "part").select("p_partkey", _brand_size().alias("hugo_symbol"))
+        rows = _sales(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    else:
+        rows = _part_lines(facts).withColumn("hugo_symbol", _brand_size())
+    return rows.select("patient_id", "hugo_symbol", F.col("l_returnflag").alias("variant_class"))
 
 
 SQL_MUTATION = """mutation AS (

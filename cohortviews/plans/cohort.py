@@ -63,14 +63,14 @@ def arm_view(
     """Arm means; segments are read once, the rest works on the means. Arms in natural or in alphabetical order."""
     cells = stage(arm_means(segments, keys), "arms")
     dictionary = arm_dictionary(cells) if natural else feature_dictionary(cells)
-    return View(name, dense_arrays(cells, dictionary, keys), dictionary)
+    return View(name, dense_arrays(cells, dictionary, keys, unique=True), dictionary)
 
 
 def whole_view(name: str, rows: DataFrame, prefix: str, keys: Sequence[str] = ("patient_id",)) -> View:
     """Every feature of a panel-sized modality, with prefixed names."""
     cells = stage(mean_cells(prefixed(rows, prefix), keys), "cells")
     dictionary = feature_dictionary(cells)
-    return View(name, dense_arrays(cells, dictionary, keys), dictionary)
+    return View(name, dense_arrays(cells, dictionary, keys, unique=True), dictionary)
 
 
 def indicator_view(

@@ -52,8 +52,8 @@ def brand_ids(spark):
     return dims.panel_ids(dims.panels(spark, ad.BRAND_PANELS))
 
 
-def mutations(spark, sf_dir):
-    calls = altering(ad.variants(spark, sf_dir), "hugo_symbol", "variant_class", ("A", "R"))
+def mutations(spark, sf_dir, facts=None):
+    calls = altering(ad.variants(spark, sf_dir, facts), "hugo_symbol", "variant_class", ("A", "R"))
     return rs.distinct_indicators(calls)
 
 
@@ -257,13 +257,14 @@ def three(spark, sf_dir):
 
 
 def six(spark, sf_dir):
+    facts = ad.line_facts(spark, sf_dir)  # four of the six read the line items
     return co.six_views(
-        ad.expression(spark, sf_dir).drop("cohort"),
-        ad.segments(spark, sf_dir).drop("cohort"),
+        ad.expression(spark, sf_dir, facts).drop("cohort"),
+        ad.segments(spark, sf_dir, facts).drop("cohort"),
         ad.methylation(spark, sf_dir).drop("cohort"),
-        ad.protein(spark, sf_dir),
+        ad.protein(spark, sf_dir, facts),
         ad.mirna(spark, sf_dir),
-        mutations(spark, sf_dir),
+        mutations(spark, sf_dir, facts),
         n_rna=TOP,
         n_methylation=TOP,
         min_coverage=COVERAGE,

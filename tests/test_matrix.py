@@ -4,6 +4,8 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from cohortviews.plans import adapters as ad
+from cohortviews.plans import queries_matrix as qm
 from cohortviews import dims
 from cohortviews.operators import merge as mg
 from cohortviews.operators import quality as ql
@@ -244,3 +246,42 @@ def test_panels_dimension(spark):
     assert {r["panel"]: r["count"] for r in panel.groupBy("panel").count().collect()} == {"BRCA": 20, "LUAD": 7, "PRAD": 9}
     assert dims.panel_ids(panel).count() == 34
     assert dims.centromeres(spark).count() == 23 and len(dims.ARM_COLUMNS) == 46
+
+
+def test_six_views_join_the_lines_once(spark, monkeypatch):
+    read = []
+    given = ad.table
+    monkeypatch.setattr(ad, "table", lambda spark, sf_dir, name: read.append(name) or given(spark, sf_dir, name))
+    qm.six(spark, "/root/testdata/sf0.001")
+    assert read.count("lineitem") == read.count("orders") == 1
+
+
+def test_line_facts_keep_every_join(spark, tmp_path):
+    """Keys that repeat in customer and part, keys that are in neither, and missing keys: the rows are those of the joins."""
+    sf = "/root/testdata/sf0.001"
+    for name in ("customer", "part", "orders", "lineitem", "supplier"):
+        df = spark.read.parquet(f"{sf}/{name}.parquet")
+        if name == "customer":
+            df = df.where("c_custkey % 3 > 0").unionByName(df.where("c_custkey % 5 = 0").withColumn("c_mktsegment", F.lit(None).cast("string")))
+        if name == "part":
+            df = df.where("p_partkey % 4 > 0").unionByName(df.where("p_partkey % 7 = 0").withColumn("p_size", F.col("p_size") + 1))
+        if name == "orders":
+            df = df.withColumn("o_custkey", F.expr("if(o_orderkey % 11 = 0, null, o_custkey)"))
+        if name == "lineitem":
+            df = df.withColumn("l_partkey", F.expr("if(l_orderkey % 13 = 0, null, l_partkey)"))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    sf = str(tmp_path)
+    facts = ad.line_facts(spark, sf)
+    for adapter in (ad.expression, ad.segments, ad.protein, ad.variants):
+        one, other = adapter(spark, sf), adapter(spark, sf, facts)
+        assert one.dtypes == other.dtypes and one.count() > 0
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_arrays_of_unique_cells(spark):
+    rows = [(1, "a", 1.0), (1, "c", None), (2, "b", float("nan")), (2, "c", 4.0), (3, "x", 1.0)]
+    df = spark.createDataFrame(rows, "patient_id int, feature_id string, value double")
+    dictionary = rs.feature_dictionary(df.where("feature_id <> 'x'"))
+    for fill in (None, 0.0):
+        one, other = (rs.dense_arrays(df, dictionary, fill=fill, unique=unique) for unique in (False, True))
+        assert sorted(one.collect()) == sorted(other.collect())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortviews.plans.adapters import table
-from cohortviews.session import staging_path
+from cohortviews.session import small_side, stage, staging_path
 
 ROWS_PER_FILE = 500_000
 HITS_PER_PAGE = 10_000
@@ -60,18 +60,12 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").join(people, F.col("user_id") == F.col("c_custkey")).withColumn("k", k)
 
 
-def write_files(
-    rows: DataFrame, files: DataFrame, path: str, compression: str = "none", mode: str = "overwrite"
-) -> str:
-    """Write ``(nation, salt, line)`` rows, one folder per file id.
-
-    ``files`` is ``(nation, file_id, preamble)``; the preamble lines open every
-    physical file of the id.
-    """
+def placed_lines(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``(file_id, chunk, at, line)`` of the files to write; lines are given their place where they lie."""
     parts = rows.groupBy("nation").agg(F.count("*").alias("n")).select(
         "nation", F.ceil(F.col("n") / ROWS_PER_FILE).cast("int").alias("parts")
     )
-    sized = files.join(parts, "nation")
+    sized = small_side(stage(files.join(parts, "nation"), "sized"))  # a row for each file id
     heads = sized.select(
         "file_id", "preamble", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("chunk")
     ).select("file_id", "chunk", F.posexplode("preamble").alias("at", "line"))
@@ -81,8 +75,19 @@ def write_files(
         F.lit(1_000).alias("at"),
         "line",
     )
+    return heads.unionByName(body)
+
+
+def write_files(
+    rows: DataFrame, files: DataFrame, path: str, compression: str = "none", mode: str = "overwrite"
+) -> str:
+    """Write ``(nation, salt, line)`` rows, one folder per file id.
+
+    ``files`` is ``(nation, file_id, preamble)``; the preamble lines open every
+    physical file of the id. Lines move once, to the file they lie in.
+    """
     (
-        heads.unionByName(body)
+        placed_lines(rows, files)
         .repartition("file_id", "chunk")
         .sortWithinPartitions("file_id", "chunk", "at")
         .select("file_id", "chunk", "line")

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cohortviews.plans import raw_files
 from cohortviews import schemas
 from cohortviews.sources import artefacts, files, manifest as mf, sinks
 from cohortviews.streaming.ingest import load_new_files, loaded_rows
@@ -189,3 +190,19 @@ def test_long_table_prunes_partitions(spark, tmp_path):
 @pytest.mark.parametrize("layout", [files.RNA, files.SEGMENTS, files.METHYLATION, files.MIRNA, files.PROTEIN])
 def test_layouts_name_their_columns(layout):
     assert {raw for raw, _ in layout.output.values()} <= set(layout.columns)
+
+
+def test_lines_of_files_move_once(spark):
+    """Their place needs no shuffle by subject, whatever Spark believes of the sizes."""
+    rows = spark.range(1000).select((F.col("id") % 3).alias("nation"), F.col("id").alias("salt"), F.col("id").cast("string").alias("line"))
+    described = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "nation long, file_id string").withColumn("preamble", raw_files.lines("head"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = raw_files.placed_lines(rows, described)
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    found = {(r.file_id, r.at): r.n for r in placed.groupBy("file_id", "at").count().withColumnRenamed("count", "n").collect()}
+    assert found == {("a", 0): 1, ("b", 0): 1, ("c", 0): 1, ("a", 1000): 334, ("b", 1000): 333, ("c", 1000): 333}

@@ -1,9 +1,11 @@
 """Each file is loaded exactly once, and if asked for each of its rows, whatever is restarted or delivered again.
 
 The file source's checkpoint remembers which files were seen. With keys that name a row within its file, which rows have
-come is state of the query, in the same checkpoint: a part that is delivered again under another name adds nothing. A
-micro-batch writes to a folder of its own, replaced if the batch is run again, so a lost driver between write and commit
-leaves no duplicates. A file may come in several parts; one damaged part, whenever it comes, takes the whole file back.
+come is state of the query, in the same checkpoint: a part that is delivered again under another name adds nothing. This
+state is a table, the new lines of each batch with their digests, so its size is bounded by disk and not by memory; a batch
+reads the digests (12 bytes a line) of all earlier ones. A micro-batch writes to folders of its own, replaced if the batch is
+run again, so a lost driver between write and commit leaves no duplicates. A file may come in several parts; one damaged part,
+whenever it comes, takes the whole file back.
 """
 
 from __future__ import annotations
@@ -15,9 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cohortviews.schemas import LEDGER
 from cohortviews.session import small_side, stage
+from cohortviews.sources import folders
 from cohortviews.sources.files import CORRUPT, HEADER, KIND, UNREADABLE, Layout, typed_lines, usable_rows, with_file
 
-DIGEST = "_digest"
+#: What tells the lines of all files apart: a digest of file and line, and a shorter one of the file.
+DIGEST, OWNER = "_digest", "_owner"
+#: Folder of the checkpoint that holds the state: the lines that were new in each batch.
+LINES = "lines"
 
 
 def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_batch: int) -> DataFrame:
@@ -36,19 +42,33 @@ def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_bat
     return with_file(reader.csv(folder))
 
 
-def new_lines(raw: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
-    """Typed lines; with ``keys``, output columns that name a row within its file, none that an earlier line repeats.
+def marked_lines(raw: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
+    """Typed lines; with ``keys``, output columns that name a row within its file, also digests that tell lines apart.
 
-    The first row of a key stays. Headers belong to their part, so each part keeps its own; lines that cannot be read are
-    told apart by all their fields. What has come is kept as 64-bit digests, in as many pieces as there are shuffle
-    partitions.
+    Headers belong to their part, so each part keeps its own; lines that cannot be read are told apart by all their fields.
+    A part is named by a digest of its path, as lines with digests move.
     """
     if not keys:
         return typed_lines(raw, layout)
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in layout.columns], F.col(CORRUPT))
-    lines = typed_lines(raw.withColumn(DIGEST, whole), layout, beside=(DIGEST,))
-    digest = F.when(F.col(KIND) == HEADER, F.xxhash64("path")).when(~F.col(UNREADABLE), F.xxhash64(*keys)).otherwise(F.col(DIGEST))
-    return lines.withColumn(DIGEST, digest).dropDuplicates(["file_id", KIND, DIGEST]).drop(DIGEST)
+    lines = typed_lines(raw.withColumn(DIGEST, whole), layout, beside=(DIGEST,)).withColumn("path", F.xxhash64("path"))
+    digest = F.when(F.col(KIND) == HEADER, F.col("path")).when(~F.col(UNREADABLE), F.xxhash64(*keys)).otherwise(F.col(DIGEST))
+    return lines.withColumns({DIGEST: F.xxhash64("file_id", KIND, digest), OWNER: F.hash("file_id", KIND)})
+
+
+def new_lines(batch: DataFrame, batch_id: int, state: str) -> DataFrame:
+    """Marked lines that no earlier line repeats, kept in the folder ``state``; the first line of a key stays.
+
+    Lines move once, by their digest, to where they meet the digests that came before and each other in one sorted pass.
+    """
+    key, spark = [DIGEST, OWNER], batch.sparkSession
+    lines = batch.repartition(*key)
+    if folders.exists(spark, state):
+        came = spark.read.schema(f"{DIGEST} bigint, {OWNER} int, batch_id bigint").parquet(state)
+        lines = lines.join(came.where(F.col("batch_id") < batch_id), key, "left_anti")
+    path = f"{state}/batch_id={batch_id}"
+    lines.dropDuplicates(key).write.mode("overwrite").parquet(path)
+    return spark.read.schema(batch.schema).parquet(path).drop(*key)
 
 
 def load_new_files(
@@ -68,12 +88,13 @@ def load_new_files(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows, errors, _ = usable_rows(stage(batch, "batch"), manifest, layout)
+        lines = new_lines(batch, batch_id, f"{checkpoint}/{LINES}") if keys else stage(batch, "batch")
+        rows, errors, _ = usable_rows(lines, manifest, layout)
         rows.write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
         errors.write.mode("overwrite").parquet(f"{target}/errors/batch_id={batch_id}")
 
     return (
-        new_lines(stream_lines(spark, folder, layout, files_per_batch), layout, keys)
+        marked_lines(stream_lines(spark, folder, layout, files_per_batch), layout, keys)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cohortviews.functions.ids import file_id_of_path
 from cohortviews.schemas import LEDGER
-from cohortviews.session import small_side, stage
+from cohortviews.session import BROADCAST_ROWS, small_side, stage
 from cohortviews.sources import folders
 from cohortviews.sources.files import CORRUPT, HEADER, KIND, UNREADABLE, Layout, typed_lines, usable_rows, with_file
 
@@ -39,7 +40,24 @@ def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_bat
     )
     if layout.comment:
         reader = reader.option("comment", layout.comment)
-    return with_file(reader.csv(folder))
+    raw, parts = reader.csv(folder), listed_parts(spark, folder)
+    if parts is None:
+        return with_file(raw)
+    lines = raw.withColumn("path", F.col("_metadata.file_path")).join(F.broadcast(parts), "path", "left")
+    return lines.withColumn("file_id", F.coalesce("listed", file_id_of_path("path"))).drop("listed")
+
+
+def listed_parts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """``(path, listed)``: the file ids of the parts that lie in ``folder`` now, few enough to broadcast, or none.
+
+    Lines look their id up here, as to search the path of each line takes about as long as to parse it. A part that comes
+    later is not listed; its lines are searched.
+    """
+    if not folders.exists(spark, folder):
+        return None
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    parts = stage(there.select(F.col("_metadata.file_path").alias("path")).withColumn("listed", file_id_of_path("path")), "parts")
+    return parts if parts.count() <= BROADCAST_ROWS else None
 
 
 def marked_lines(raw: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
@@ -57,17 +75,18 @@ def marked_lines(raw: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> Da
 
 
 def new_lines(batch: DataFrame, batch_id: int, state: str) -> DataFrame:
-    """Marked lines that no earlier line repeats, kept in the folder ``state``; the first line of a key stays.
+    """Marked lines that no earlier line repeats, kept in the folder ``state``; one line of a key stays.
 
-    Lines move once, by their digest, to where they meet the digests that came before and each other in one sorted pass.
+    Lines move once, by their digest, to where they meet each other and the digests that came before in one sorted pass.
     """
     key, spark = [DIGEST, OWNER], batch.sparkSession
-    lines = batch.repartition(*key)
+    first = F.row_number().over(Window.partitionBy(*key).orderBy("path")) == 1
+    lines = batch.repartition(*key).withColumn("first", first).where("first").drop("first")
     if folders.exists(spark, state):
         came = spark.read.schema(f"{DIGEST} bigint, {OWNER} int, batch_id bigint").parquet(state)
         lines = lines.join(came.where(F.col("batch_id") < batch_id), key, "left_anti")
     path = f"{state}/batch_id={batch_id}"
-    lines.dropDuplicates(key).write.mode("overwrite").parquet(path)
+    lines.write.mode("overwrite").parquet(path)
     return spark.read.schema(batch.schema).parquet(path).drop(*key)
 
 

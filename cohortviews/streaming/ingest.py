@@ -19,7 +19,7 @@ from cohortviews.functions.ids import file_id_of_path
 from cohortviews.schemas import LEDGER
 from cohortviews.session import BROADCAST_ROWS, small_side, stage
 from cohortviews.sources import folders
-from cohortviews.sources.files import CORRUPT, HEADER, KIND, UNREADABLE, Layout, typed_lines, usable_rows, with_file
+from cohortviews.sources.files import CORRUPT, HEADER, KIND, UNREADABLE, Layout, split_lines, typed_lines, usable_rows
 
 #: What tells the lines of all files apart: a digest of file and line, and a shorter one of the file.
 DIGEST, OWNER = "_digest", "_owner"
@@ -28,22 +28,12 @@ LINES = "lines"
 
 
 def stream_lines(spark: SparkSession, folder: str, layout: Layout, files_per_batch: int) -> DataFrame:
-    ddl = ", ".join(f"`{c}` string" for c in layout.columns) + f", {CORRUPT} string"
-    reader = (
-        spark.readStream.schema(ddl)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("columnPruning", False)  # judged and read in one pass
-    )
-    if layout.comment:
-        reader = reader.option("comment", layout.comment)
-    raw, parts = reader.csv(folder), listed_parts(spark, folder)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+    text, parts = reader.text(folder).select("value", F.col("_metadata.file_path").alias("path")), listed_parts(spark, folder)
+    lines = split_lines(text, layout)  # judged and read in one pass
     if parts is None:
-        return with_file(raw)
-    lines = raw.withColumn("path", F.col("_metadata.file_path")).join(F.broadcast(parts), "path", "left")
+        return lines.withColumn("file_id", file_id_of_path("path"))
+    lines = lines.join(F.broadcast(parts), "path", "left")
     return lines.withColumn("file_id", F.coalesce("listed", file_id_of_path("path"))).drop("listed")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortviews.plans import raw_files
 from cohortviews import schemas
 from cohortviews.sources import artefacts, files, manifest as mf, sinks
-from cohortviews.streaming.ingest import load_new_files, loaded_rows
+from cohortviews.streaming.ingest import listed_parts, load_new_files, loaded_rows, stream_lines
 
 IDS = [f"{i:08d}-aaaa-bbbb-cccc-{i:012d}" for i in range(6)]
 RNA_HEAD = "gene_id\tgene_name\tgene_type\tunstranded\tstranded_first\tstranded_second\ttpm_unstranded\tfpkm_unstranded\tfpkm_uq_unstranded"
@@ -210,6 +210,35 @@ def test_streamed_lines_are_kept_on_disk(spark, tmp_path):
     assert run() == [IDS[0]] * 4 + [IDS[1]] * 3
 
 
+@pytest.mark.parametrize("layout", [files.RNA, files.SEGMENTS, files.METHYLATION, files.PROTEIN])
+def test_split_lines_are_those_of_the_reader(spark, tmp_path, layout):
+    """Lines split by the stream have the fields that the reader of single loads finds, whatever they look like."""
+    n = len(layout.columns)
+    odd = ["", "   ", "\t" * (n - 1), "\t" * n, " \t ", "#", "# x\ty", " #\ty", "x", "\t".join(layout.columns)]
+    odd += ["\t".join(cell for _ in range(k)) for k in (n - 1, n, n + 1) for cell in ("a", '"', '"a"', "'b", "a b ", " c", "\\", "\\t", "a,b;c", "\u00e9\u4e2d", "NA", "0.5", "1e3", "\u00a0", "#")]
+    odd += ["a" + "\t" * (n - 1), "\t" * (n - 1) + "z", '"' + "\t".join("a" * n) + '"', '"a\tb"' + "\tc" * (n - 1), "a\rb\tc"]
+    data = "\n".join(odd).encode() + b"\r\n" + "\t".join("w" * n).encode() + b"\r\n\r\n" + b"\t".join([b"\xe9x"] * n) + b"\n" + b"\xff" + b"\tlast" * (n - 1)
+    put(tmp_path, {IDS[0]: data})
+    text = spark.read.option("recursiveFileLookup", True).text(str(tmp_path))
+    columns = [*(f"`{c}`" for c in layout.columns), files.CORRUPT]
+    found = [tuple(r) for r in files.split_lines(text, layout).select(*columns).collect()]
+    want = [tuple(r) for r in files.scan(spark, str(tmp_path), layout, whole=True).select(*columns).collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr) and len(found) > 40
+
+
+def test_parts_that_come_later_are_searched(spark, tmp_path):
+    """Parts that were not yet there when the folder was listed have their file id all the same."""
+    put(tmp_path, {IDS[0]: SEGMENTS})
+    parts = listed_parts(spark, str(tmp_path))
+    assert [r.listed for r in parts.collect()] == [IDS[0]]
+    assert listed_parts(spark, str(tmp_path / "nothing")) is None
+    stream = stream_lines(spark, str(tmp_path), files.SEGMENTS, 10)
+    put(tmp_path, {IDS[1]: SEGMENTS})
+    query = stream.writeStream.format("memory").queryName("parts").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r.file_id: r.n for r in spark.sql("SELECT file_id, count(*) AS n FROM parts GROUP BY 1").collect()} == {IDS[0]: 4, IDS[1]: 4}
+
+
 def test_long_table_prunes_partitions(spark, tmp_path):
     rows = spark.createDataFrame([("B", "rna", "p", "f", 1.0), ("L", "rna", "q", "f", 2.0)], schemas.MEASUREMENT)
     path = sinks.write_long(rows, str(tmp_path / "long"))

@@ -14,7 +14,7 @@ from cohortviews.plans.queries_evaluation import SQL_SCORES, SQL_SUMMARY, sql_cl
 from cohortviews.plans.queries_matrix import _rounded_views, mutations
 from cohortviews.plans import cohort as co
 from cohortviews import schemas
-from cohortviews.session import staging_path
+from cohortviews.session import stage, staging_path
 from cohortviews.sources import artefacts, files, folders, labels, sinks, tables
 from cohortviews.sources.manifest import read_manifest, with_modality
 from cohortviews.streaming.ingest import load_new_files, loaded_rows
@@ -247,7 +247,7 @@ def ingest_stream_late_damage(spark, sf_dir):
 @query("ingest_stream_repeated_part", f"SELECT DISTINCT * FROM ({SQL_SEGMENTS})")
 def ingest_stream_repeated_part(spark, sf_dir):
     """Half of the subjects; the same parts again, under other names, with the other half; and all once more."""
-    rows = raw.segment_rows(spark, sf_dir)
+    rows = stage(raw.segment_rows(spark, sf_dir), "segments")  # written to files three times, joined once
     listing = raw.manifest(spark, sf_dir, "cnv")
     described = listing.withColumn("preamble", raw.lines(raw.SEGMENT_HEADER))
     folder, target, mark = (staging_path(spark, n) for n in ("stream-in", "stream-out", "stream-mark"))
